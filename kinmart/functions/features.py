@@ -24,6 +24,15 @@ def tokens(text: Column) -> Column:
     return F.split(F.trim(text, F.lit(_SPACE)), _SPACES)
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once per row.
+
+    A lambda evaluates whatever it captures for every element, so an array it walks over
+    has to reach it as a variable and not as the expression that makes the array.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _runs(parts: Column, length: int, glue: str) -> Column:
     """Every run of ``length`` neighbours in an array, or none when it is shorter."""
     joined = F.transform(
@@ -35,8 +44,10 @@ def _runs(parts: Column, length: int, glue: str) -> Column:
 
 def ngrams(text: Column, radius: int = 2) -> Column:
     """Each word with its neighbourhoods up to ``radius`` steps: runs of 1 to radius+1 words."""
-    words = tokens(text)
-    return F.concat(words, *[_runs(words, size, " ") for size in range(2, radius + 2)])
+    sizes = range(2, radius + 2)
+    return _once(
+        tokens(text), lambda words: F.concat(words, *[_runs(words, n, " ") for n in sizes])
+    )
 
 
 def qgrams(text: Column, q: int = 4) -> Column:
@@ -46,8 +57,9 @@ def qgrams(text: Column, q: int = 4) -> Column:
     from the start each time and would make long texts quadratic.
     """
     trimmed = F.trim(text, F.lit(_SPACE))
-    letters = F.split(trimmed, "")
-    return F.when(F.size(letters) >= q, _runs(letters, q, "")).otherwise(F.array(trimmed))
+    return F.when(
+        F.length(trimmed) >= q, _once(F.split(trimmed, ""), lambda letters: _runs(letters, q, ""))
+    ).otherwise(F.array(trimmed))
 
 
 MAKERS: dict[str, Callable[..., Column]] = {

@@ -38,3 +38,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of ``df`` as the optimizer estimates it; runs nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def scan_tasks(df: DataFrame) -> int:
+    """About how many tasks reading ``df`` takes."""
+    split = df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "128MB")
+    unit = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    text = split.lower().rstrip("b") or "0"
+    size = int(text[:-1]) * unit[text[-1]] if text[-1] in unit else int(text)
+    return max(1, -(-estimated_bytes(df) // max(1, size)))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a small input to every core before a step that is dear per row.
+
+    A file of a few megabytes is one split, so one core would do all the work. An input
+    that already fills the cores is left where it is: moving it would cost a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if scan_tasks(df) >= cores else df.repartition(2 * cores, key)
