@@ -165,7 +165,7 @@ def read_records(lines: DataFrame) -> DataFrame:
 
 
 def _normal_header(cell: Column) -> Column:
-    bare = F.regexp_replace(cell, "^﻿+", "")
+    bare = F.regexp_replace(cell, r"^\uFEFF+", "")
     return F.lower(F.regexp_replace(bare, r"(?U)^\s+|\s+$", ""))
 
 

@@ -39,9 +39,15 @@ def _renamed(schema: T.StructType, id_field: str) -> T.StructType:
     return T.StructType([T.StructField(id_field, T.StringType()), *rest])
 
 
-def lookup_rows(records: DataFrame, column: str = "record", mode: str = "FAILFAST") -> DataFrame:
+def lookup_rows(
+    records: DataFrame,
+    column: str = "record",
+    mode: str = "FAILFAST",
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """Identifier lookup rows; a record whose identifier is missing or empty is skipped."""
-    parsed = records.select(_parse(F.col(column), ID_LOOKUP, mode).alias("r")).select("r.*")
+    parsed = records.select(_parse(F.col(column), ID_LOOKUP, mode).alias("r"), *keep)
+    parsed = parsed.select("r.*", *keep)
     return parsed.where(_filled(F.col(KEY)))
 
 
