@@ -89,6 +89,9 @@ class Transaction(Mapping):
     def __getitem__(self, table: str) -> DataFrame:
         return self._store.spark.read.parquet(f"{self._store.path}/{self._current[table]}")
 
+    def __contains__(self, table: object) -> bool:
+        return table in self._current
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._current)
 
@@ -126,6 +129,9 @@ class TableStore(Mapping):
     def __getitem__(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{self.current()[table]}")
 
+    def __contains__(self, table: object) -> bool:
+        return table in self.current()
+
     def __iter__(self) -> Iterator[str]:
         return iter(self.current())
 

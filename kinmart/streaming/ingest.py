@@ -16,12 +16,16 @@ from pyspark.sql import types as T
 from kinmart.schemas import KEY
 from kinmart.sources.records import MoleculeLayout, lookup_rows, molecule_tables
 from kinmart.sources.store import Folder
-from kinmart.streaming.upserts import ARRIVAL, append_batch, read_latest
+from kinmart.streaming.upserts import ARRIVAL, BATCH, append_batch, read_latest
 
 Loader = Callable[[DataFrame], dict[str, DataFrame]]
 
 PROGRESS = "epoch bigint, release string, batch bigint, records bigint, total_count bigint"
+
+# Room for the batches and records of one run over a resource, so that whatever a later run
+# lands is newer than everything before it.
 _BATCHES_PER_EPOCH = 1_000_000_000
+_RECORDS_PER_EPOCH = 1_000_000_000_000
 
 
 @dataclass(frozen=True)
@@ -61,6 +65,7 @@ class Watermark:
 
     resource: str
     release: str
+    epoch: int
     next_offset: int
     total_count: int | None
     is_complete: bool
@@ -75,30 +80,31 @@ class Landing:
 
     def table(self, name: str) -> DataFrame:
         """A landed table, the newest row of every key."""
-        return read_latest(self.spark, f"{self.path}/{name}", [KEY])
+        # Pages have an order of their own, whichever micro-batch read them.
+        return read_latest(self.spark, f"{self.path}/{name}", [KEY], (ARRIVAL, BATCH))
 
-    def _progress(self, resource: str) -> DataFrame | None:
+    def progress(self, resource: str) -> DataFrame:
+        """Per run over a resource: records landed so far, and whether that is all."""
         folder = Folder(self.spark, f"{self.path}/_progress/{resource}")
         if not folder.names():
-            return None
-        return self.spark.read.schema(PROGRESS).parquet(folder.path)
-
-    def _latest_epoch(self, resource: str):
-        progress = self._progress(resource)
-        if progress is None:
-            return None
-        epochs = progress.groupBy("epoch", "release").agg(
-            F.sum("records").alias("records"), F.max("total_count").alias("total_count")
+            rows = self.spark.createDataFrame([], PROGRESS)
+        else:
+            rows = self.spark.read.schema(PROGRESS).parquet(folder.path)
+        complete = F.coalesce(F.col("records") >= F.col("total_count"), F.lit(False))
+        return (
+            rows.groupBy("epoch", "release")
+            .agg(F.sum("records").alias("records"), F.max("total_count").alias("total_count"))
+            .withColumn("is_complete", complete)
         )
-        return epochs.orderBy(F.col("epoch").desc()).first()
 
     def watermark(self, resource: str) -> Watermark | None:
         """Progress of the latest run over a resource, or None before the first."""
-        row = self._latest_epoch(resource)
+        row = self.progress(resource).orderBy(F.col("epoch").desc()).first()
         if row is None:
             return None
-        complete = row.total_count is not None and row.records >= row.total_count
-        return Watermark(resource, row.release, row.records, row.total_count, complete)
+        return Watermark(
+            resource, row.release, row.epoch, row.records, row.total_count, row.is_complete
+        )
 
     def ingest(
         self,
@@ -107,22 +113,24 @@ class Landing:
         release: str,
         force: bool = False,
         files_per_batch: int = 6,
+        whole_files: bool = True,
         timeout: int | None = None,
     ) -> int:
         """Land the page files under ``pages`` that were not landed yet; returns records.
 
         A release that is complete is skipped. A new release, or ``force``, starts from the
-        first page. Anything else goes on where the last run stopped.
+        first page. Anything else goes on where the last run stopped. A file is one page, or
+        without ``whole_files`` every line is.
         """
-        mark, last = self.watermark(resource.name), self._latest_epoch(resource.name)
-        same = mark is not None and mark.release == release
-        if same and mark.is_complete and not force:
+        mark = self.watermark(resource.name)
+        resumes = mark is not None and mark.release == release and not force
+        if resumes and mark.is_complete:
             return 0
-        epoch = last.epoch if same and not force else (last.epoch + 1 if last else 0)
-        before = mark.next_offset if same and not force else 0
+        epoch = mark.epoch + (not resumes) if mark else 0
+        before = mark.next_offset if resumes else 0
 
         stream = (
-            self.spark.readStream.option("wholetext", "true")
+            self.spark.readStream.option("wholetext", whole_files)
             .option("maxFilesPerTrigger", files_per_batch)
             .text(pages)
         )
@@ -138,7 +146,7 @@ class Landing:
         finally:
             query.stop()
         mark = self.watermark(resource.name)
-        return (mark.next_offset if mark else 0) - before
+        return mark.next_offset - before if mark and mark.epoch == epoch else 0
 
     def _land(self, resource: Resource, release: str, epoch: int) -> Callable:
         meta = T.StructType(
@@ -153,12 +161,15 @@ class Landing:
 
         def land(batch: DataFrame, batch_id: int) -> None:
             number = epoch * _BATCHES_PER_EPOCH + batch_id
+            first = F.lit(epoch * _RECORDS_PER_EPOCH)
             parsed = F.from_json("value", page_type, {"mode": "FAILFAST"}).alias("page")
             pages = batch.select(parsed).select("page.*")
             records = pages.select(
                 F.coalesce("page_meta.offset", F.lit(0)).alias("offset"),
                 F.posexplode(resource.collection).alias("place", "record"),
-            ).select((F.col("offset") + F.col("place")).alias(ARRIVAL), "record")
+            ).select(
+                (first + F.col("offset") + F.col("place")).alias(ARRIVAL), "record"
+            )
             for name, rows in resource.load(records).items():
                 append_batch(rows, f"{self.path}/{name}", number, [KEY])
             done = pages.agg(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kinmart.operators.ranking import latest_per_key
 
@@ -22,10 +21,14 @@ def append_batch(batch: DataFrame, path: str, number: int, keys: Sequence[str])
     newest.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{BATCH}={number}")
 
 
-def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+def read_latest(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    recency: Sequence[str] = (BATCH, ARRIVAL),
+) -> DataFrame:
     """The newest row of every key over all batches."""
-    rows = spark.read.parquet(path)
-    return latest_per_key(rows, keys, BATCH, ARRIVAL).drop(BATCH, ARRIVAL)
+    return latest_per_key(spark.read.parquet(path), keys, *recency).drop(BATCH, ARRIVAL)
 
 
 def upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str], *recency: str) -> DataFrame:
@@ -42,5 +45,4 @@ def upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str], *recency:
 def compact(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> None:
     """Fold all batches into one, written to ``target`` as its batch zero."""
     rows = latest_per_key(spark.read.parquet(path), keys, BATCH, ARRIVAL)
-    folded = rows.drop(BATCH).withColumn(ARRIVAL, F.lit(0).cast("bigint"))
-    folded.write.option("compression", "zstd").parquet(f"{target}/{BATCH}=0")
+    rows.drop(BATCH).write.option("compression", "zstd").parquet(f"{target}/{BATCH}=0")
