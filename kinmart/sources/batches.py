@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinmart.schemas import INPUT_COLUMNS, NAME_COLUMN
 from kinmart.workspace import stage
@@ -66,12 +67,12 @@ def line_effect(line: str | None) -> int:
     return SWAP if from_outside else KEEP
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _effects(lines: pd.Series) -> pd.Series:
     return lines.map(line_effect, na_action=None).astype("int32")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _cells(records: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Trimmed cells of each record. A blank record has none."""
     for series in records:
