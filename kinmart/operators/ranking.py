@@ -57,12 +57,18 @@ def top_matches(scored: DataFrame, n: int, fan_in: int = 1) -> DataFrame:
     """
     others = scored.where(F.col("source_id") != F.col("target_id"))
     ranked = best_scores(others, n + 1, fan_in)
+    marked = ranked.select(
+        "*",
+        F.when(F.col("match_rank") == n, F.col("score")).alias("_at_n"),
+        F.when(F.col("match_rank") == n + 1, F.col("score")).alias("_after_n"),
+    )
     source = Window.partitionBy("source_id")
-    last_in = F.max(F.when(F.col("match_rank") == n, F.col("score"))).over(source)
-    first_out = F.max(F.when(F.col("match_rank") == n + 1, F.col("score"))).over(source)
     return (
-        ranked.withColumn("_last_in", last_in)
-        .withColumn("_first_out", first_out)
+        marked.select(
+            "*",
+            F.max("_at_n").over(source).alias("_last_in"),
+            F.max("_after_n").over(source).alias("_first_out"),
+        )
         .where(F.col("match_rank") <= n)
         .select(
             "source_id",

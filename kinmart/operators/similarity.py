@@ -22,9 +22,10 @@ from kinmart.config import Settings
 from kinmart.operators.fingerprints import in_range, shard_plan
 from kinmart.operators.ranking import top_matches
 from kinmart.schemas import TIE_FLAG
-from kinmart.workspace import scan_tasks, stage
+from kinmart.workspace import estimated_bytes, scan_tasks, spread, stage
 
 _ROWS_AT_ONCE = 4096
+_PAIRS_WORTH_MOVING = 20_000_000
 
 PAIR_DDL = "source_id string, target_id string, score double"
 
@@ -161,6 +162,15 @@ def _score_pass(library: DataFrame, sources: SourcePass) -> DataFrame:
     )
 
 
+def _shared_out(library: DataFrame, passes: list[SourcePass]) -> DataFrame:
+    """The library, over all cores when it is small and there is a lot to compare."""
+    sources = sum(len(held.ids) for held in passes)
+    words = passes[0].words.shape[1]
+    pairs = estimated_bytes(library) // (8 * words) * sources
+    rows = library.select("item_id", "fp", "pc")
+    return spread(rows, "item_id") if pairs >= _PAIRS_WORTH_MOVING else rows
+
+
 def score_table(
     library: DataFrame, sources: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
@@ -168,7 +178,8 @@ def score_table(
     passes = source_passes(sources, library, settings)
     if not passes:
         return library.sparkSession.createDataFrame([], PAIR_DDL)
-    return reduce(DataFrame.unionAll, [_score_pass(library, held) for held in passes])
+    rows = _shared_out(library, passes)
+    return reduce(DataFrame.unionAll, [_score_pass(rows, held) for held in passes])
 
 
 class _Best:
@@ -239,7 +250,8 @@ def search(
     if not passes:
         empty = library.sparkSession.createDataFrame([], PAIR_DDL)
         return top_matches(empty, n)
-    best = [_best_pass(library, held, n + 1) for held in passes]
+    rows = _shared_out(library, passes)
+    best = [_best_pass(rows, held, n + 1) for held in passes]
     fan_in = math.isqrt(max(1, scan_tasks(library) // 64))
     return top_matches(reduce(DataFrame.unionAll, best), n, fan_in)
 

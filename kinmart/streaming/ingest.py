@@ -163,7 +163,7 @@ class Landing:
             number = epoch * _BATCHES_PER_EPOCH + batch_id
             first = F.lit(epoch * _RECORDS_PER_EPOCH)
             parsed = F.from_json("value", page_type, {"mode": "FAILFAST"}).alias("page")
-            pages = batch.select(parsed).select("page.*")
+            pages = batch.select(parsed).select("page.*").persist()
             records = pages.select(
                 F.coalesce("page_meta.offset", F.lit(0)).alias("offset"),
                 F.posexplode(resource.collection).alias("place", "record"),
@@ -185,5 +185,6 @@ class Landing:
             # Written last: progress never runs ahead of the rows it stands for.
             target = f"{self.path}/_progress/{resource.name}/part={number}"
             done.coalesce(1).write.mode("overwrite").parquet(target)
+            pages.unpersist()
 
         return land

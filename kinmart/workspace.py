@@ -58,7 +58,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a small input to every core before a step that is dear per row.
 
     A file of a few megabytes is one split, so one core would do all the work. An input
-    that already fills the cores is left where it is: moving it would cost a shuffle.
+    that already fills the cores is left where it is: moving it would cost a shuffle. What
+    is moved is therefore never more than one split per core.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if scan_tasks(df) >= cores else df.repartition(2 * cores, key)
