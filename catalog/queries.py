@@ -336,8 +336,9 @@ def score_archive(spark, sf_dir):
     """The archived score tables read back: rows, self rows and highest score per source."""
     mart = document_mart(spark, sf_dir)
     path = new_dir(spark, "scores")
-    scored = similarity.score_table(mart.library, mart.source_ids, SETTINGS)
-    similarity.write_scores(scored, path, mart.library.count(), SETTINGS)
+    similarity.write_scores(
+        similarity.score_table(mart.library, mart.source_ids, SETTINGS), path
+    )
     return (
         spark.read.parquet(path)
         .groupBy("source_id")

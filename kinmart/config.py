@@ -21,7 +21,6 @@ class Settings:
     top_n: int = 10
     pivot_sources: int = 10
     sources_per_pass: int = 4096
-    score_rows_per_file: int = 5_000_000
 
     def __post_init__(self) -> None:
         if self.n_bits <= 0 or self.n_bits % 8:

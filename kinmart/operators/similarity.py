@@ -265,15 +265,13 @@ def search_summary(top: DataFrame) -> DataFrame:
     )
 
 
-def write_scores(scored: DataFrame, path: str, library_rows: int, settings: Settings) -> None:
+def write_scores(scored: DataFrame, path: str) -> None:
     """Archive a score table, one folder per source, scores as float32.
 
-    A source holds as many rows as the library, so each is split over several files by a
-    hash of the target instead of going through one task. The archive is for reading back
-    whole tables; the mart is built from the double scores.
+    A source holds as many rows as the library. Rebalancing brings its rows together and
+    lets adaptive execution cut them into files of the advisory size, so no task gets a
+    whole source. The archive is for reading back; the mart is built from double scores.
     """
-    splits = max(1, -(-library_rows // settings.score_rows_per_file))
-    split = F.pmod(F.xxhash64("target_id"), F.lit(splits))
     (
         scored.select(
             "source_id",
@@ -281,7 +279,7 @@ def write_scores(scored: DataFrame, path: str, library_rows: int, settings: Sett
             "target_id",
             F.col("score").cast("float").alias("tanimoto_score"),
         )
-        .repartition("source", split)
+        .hint("rebalance", "source")
         .write.mode("overwrite")
         .option("compression", "zstd")
         .partitionBy("source")

@@ -105,8 +105,7 @@ def build_mart(
         require_fingerprints(sources, library)
         if archive:
             version = store.new_version(SCORES)
-            scored = score_table(library, sources, settings)
-            write_scores(scored, f"{store.path}/{version}", library.count(), settings)
+            write_scores(score_table(library, sources, settings), f"{store.path}/{version}")
             work.adopt(SCORES, version)
         top = work.write(TOP, search(library, sources, settings))
         work.write(q.DIM, mart.dim_molecule(work[q.MOLECULES], top))

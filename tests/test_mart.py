@@ -1,0 +1,106 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from kinmart.plans import mart
+from kinmart.schemas import DIM_MOLECULE, FACT_SIMILARITY, KEY, MOLECULE, SIMILARITY_TOP
+
+D = Decimal
+
+
+def fact(spark, *rows):
+    return spark.createDataFrame([(s, t, D(v), f) for s, t, v, f in rows], FACT_SIMILARITY)
+
+
+def dim(spark, *rows):
+    names = DIM_MOLECULE.fieldNames()
+    return spark.createDataFrame([tuple({**r}.get(n) for n in names) for r in rows], DIM_MOLECULE)
+
+
+@pytest.fixture
+def star(spark):
+    facts = fact(
+        spark,
+        ("A", "B", "0.9", False), ("A", "C", "0.5", True), ("A", "D", "0.5", True),
+        ("B", "A", "0.9", False), ("E", "A", "0.3", False),
+    )
+    dims = dim(
+        spark,
+        {KEY: "A", "alogp": D("1.0"), "aromatic_rings": 1, "heavy_atoms": 13},
+        {KEY: "B", "alogp": D("3.5"), "aromatic_rings": 2, "heavy_atoms": 13},
+        {KEY: "C", "alogp": None}, {KEY: "D", "alogp": D("0.5")}, {KEY: "E", "alogp": None},
+    )
+    return facts, dims
+
+
+def test_dimension_holds_only_mentioned_molecules(spark, rows):
+    top = spark.createDataFrame(
+        [("A", "B", D("0.5"), False, 1), ("B", "C", D("0.5"), False, 1)], SIMILARITY_TOP
+    )
+    names = MOLECULE.fieldNames()
+    molecules = spark.createDataFrame(
+        [tuple({KEY: k, "canonical_smiles": "C"}.get(n) for n in names) for k in "ABCD"], MOLECULE
+    )
+    made = mart.dim_molecule(molecules, top)
+    assert made.columns == DIM_MOLECULE.fieldNames()
+    assert [r[0] for r in rows(made)] == ["A", "B", "C"]
+    assert mart.fact_similarity(top).columns == FACT_SIMILARITY.fieldNames()
+
+
+def test_average_per_source(star, rows):
+    made = {r[0]: r[1] for r in mart.avg_similarity(star[0]).collect()}
+    assert made["A"] == D("0.633333333333") and made["E"] == D("0.3")
+    assert [r[0] for r in mart.top_sources(star[0], 2).collect()] == ["B", "A"]
+
+
+def test_deviation_skips_null_pairs_and_keeps_the_group(star):
+    made = {r[0]: r[1] for r in mart.avg_deviation(*star).collect()}
+    assert made == {"A": D("1.5"), "B": D("2.5"), "E": None}
+
+
+def test_pivot_columns_are_the_lowest_sources(spark, star):
+    made = mart.similarity_pivot(star[0], 2)
+    assert made.columns == ["target_id", "A", "B"]
+    by_target = {r[0]: r[1:] for r in made.collect()}
+    assert by_target == {
+        "A": (None, D("0.9")), "B": (D("0.9"), None), "C": (D("0.5"), None), "D": (D("0.5"), None)
+    }
+
+
+def test_pivot_takes_any_name(spark):
+    made = mart.similarity_pivot(fact(spark, ("a.b`c", "T", "0.5", False)), 10)
+    assert made.columns == ["target_id", "a.b`c"]
+
+
+def test_pivot_needs_a_source(spark):
+    with pytest.raises(ValueError, match="no source"):
+        mart.similarity_pivot(fact(spark), 10)
+
+
+def test_neighbours(star):
+    made = {r[:2]: r[3:] for r in map(tuple, mart.similarity_neighbours(star[0]).collect())}
+    assert made == {
+        ("A", "B"): ("C", "C"), ("A", "C"): ("D", "C"), ("A", "D"): (None, "C"),
+        ("B", "A"): (None, None), ("E", "A"): (None, None),
+    }
+
+
+def test_rollup_tells_a_data_null_from_a_total(star):
+    made = {tuple(r[:3]): r[3] for r in mart.similarity_rollup(*star).collect()}
+    assert made == {
+        ("A", "TOTAL", "TOTAL"): D("0.633333333333"), ("B", "TOTAL", "TOTAL"): D("0.9"),
+        ("E", "TOTAL", "TOTAL"): D("0.3"), ("TOTAL", "1", "13"): D("0.633333333333"),
+        ("TOTAL", "2", "13"): D("0.9"), ("TOTAL", None, None): D("0.3"),
+        ("TOTAL", "TOTAL", "13"): D("0.7"), ("TOTAL", "TOTAL", None): D("0.3"),
+        ("TOTAL", "TOTAL", "TOTAL"): D("0.62"),
+    }
+
+
+def test_rollup_reads_the_fact_once(star):
+    plan = mart.similarity_rollup(*star)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan and "Union" not in plan
+
+
+def test_counts(star, rows):
+    assert rows(mart.table_counts({"f": star[0], "d": star[1]})) == [("d", 5), ("f", 5)]
