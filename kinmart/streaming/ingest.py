@@ -129,11 +129,8 @@ class Landing:
         epoch = mark.epoch + (not resumes) if mark else 0
         before = mark.next_offset if resumes else 0
 
-        stream = (
-            self.spark.readStream.option("wholetext", whole_files)
-            .option("maxFilesPerTrigger", files_per_batch)
-            .text(pages)
-        )
+        reader = self.spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+        stream = reader.text(pages, wholetext=whole_files)
         query = (
             stream.writeStream.foreachBatch(self._land(resource, release, epoch))
             .option("checkpointLocation", f"{self.path}/_checkpoints/{resource.name}/{epoch}")
