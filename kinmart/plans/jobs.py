@@ -5,6 +5,8 @@ A layer becomes current only after its gate has passed; its results are recorded
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,20 +18,25 @@ from kinmart.operators.ranking import latest_per_key
 from kinmart.operators.similarity import (
     require_complete,
     require_fingerprints,
+    require_unique,
     score_table,
     search,
     write_scores,
 )
 from kinmart.plans import mart
 from kinmart.plans import quality as q
-from kinmart.schemas import KEY
+from kinmart.schemas import KEY, WATERMARK
+from kinmart.sources import batches, release
 from kinmart.sources.store import TableStore, Transaction
+from kinmart.streaming.ingest import Landing, Resource
 
 LIBRARY = "silver.fingerprint"
 LIBRARY_REJECTS = "silver.fingerprint_rejected"
 TOP = "silver.similarity_top"
 SCORES = "silver.similarity_score"
+LOOKUP = "bronze.id_lookup"
 HISTORY = "meta.quality_check"
+WATERMARK_TABLE = "meta.ingest_watermark"
 
 
 def quality_history(store: TableStore) -> DataFrame:
@@ -62,6 +69,52 @@ def _gate(store: TableStore, work: Transaction, run_id: str, layer: str, s: Sett
         work.rebase(HISTORY)
 
 
+def drain_release(
+    store: TableStore,
+    release_name: str,
+    raw: Mapping[str, DataFrame],
+    surrogate: str,
+    force: bool = False,
+) -> dict[str, int]:
+    """The four tables of a full release to bronze, all at once; returns their rows.
+
+    ``raw`` holds the release's frames by bronze table name. A release that is already
+    loaded is skipped unless forced.
+    """
+    loaded = WATERMARK_TABLE in store and not (
+        store[WATERMARK_TABLE].where((F.col("release") == release_name) & F.col("is_complete"))
+    ).isEmpty()
+    if loaded and not force:
+        return {}
+    keys = release.key_map(raw[q.DICTIONARY], surrogate)
+    made = {
+        q.DICTIONARY: release.drain_dictionary(raw[q.DICTIONARY]),
+        q.PROPERTIES: release.drain_properties(raw[q.PROPERTIES], keys, surrogate),
+        q.STRUCTURES: release.drain_structures(raw[q.STRUCTURES], keys, surrogate),
+        LOOKUP: release.drain_lookup(raw[LOOKUP]),
+    }
+    done = [(name, release_name, 0, None, True) for name in ("molecule", "id_lookup")]
+    with store.transaction() as work:
+        counts = {name: work.write(name, frame).count() for name, frame in made.items()}
+        work.write(WATERMARK_TABLE, store.spark.createDataFrame(done, WATERMARK).coalesce(1))
+    return counts
+
+
+def publish_landed(store: TableStore, landing: Landing, resources: Iterable[Resource]) -> None:
+    """Tables a landing folder holds become the current bronze tables, together."""
+    with store.transaction() as work:
+        for resource in resources:
+            for name in resource.tables:
+                work.write(f"bronze.{name}", landing.table(name))
+
+
+def land_inputs(store: TableStore, path: str) -> DataFrame:
+    """Batch files under ``path`` replace the input rows; returns unknown headers."""
+    landed = batches.land_batches(store.spark, path)
+    store.write(q.INPUTS, landed.rows)
+    return landed.unknown_headers
+
+
 def build_silver(store: TableStore, run_id: str, settings: Settings = Settings()) -> q.Report:
     """Bronze tables to silver molecules."""
     with store.transaction() as work:
@@ -91,6 +144,7 @@ def build_library(
         library = work.adopt(LIBRARY, version)
         rejects = work.write(LIBRARY_REJECTS, text_rejects(molecules, KEY, "canonical_smiles"))
         require_complete(molecules, library, rejects)
+        require_unique(library)
         return rows
 
 

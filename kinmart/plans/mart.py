@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinmart.schemas import DIM_MOLECULE, FACT_SIMILARITY, KEY
+from kinmart.workspace import stage
 
 TOTAL = "TOTAL"
 
@@ -17,10 +18,13 @@ def referenced_ids(pairs: DataFrame) -> DataFrame:
 
 
 def dim_molecule(molecules: DataFrame, top: DataFrame) -> DataFrame:
-    """Molecules the top matches mention."""
-    return molecules.select(*DIM_MOLECULE.fieldNames()).join(
-        referenced_ids(top), KEY, "left_semi"
-    )
+    """Molecules the top matches mention.
+
+    The ids, few for each source, are staged: with their size known beforehand the library
+    is filtered where it is read and never shuffled.
+    """
+    ids = stage(referenced_ids(top), "referenced")
+    return molecules.select(*DIM_MOLECULE.fieldNames()).join(ids, KEY, "left_semi")
 
 
 def fact_similarity(top: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ class Resource:
     name: str
     collection: str
     load: Loader
+    tables: tuple[str, ...]
 
 
 def _lookup_tables(records: DataFrame) -> dict[str, DataFrame]:
@@ -55,8 +56,13 @@ def molecule_loader(layout: MoleculeLayout = MoleculeLayout()) -> Loader:
     return load
 
 
-MOLECULE = Resource("molecule", "molecules", molecule_loader())
-ID_LOOKUP = Resource("id_lookup", "id_lookups", _lookup_tables)
+MOLECULE = Resource(
+    "molecule",
+    "molecules",
+    molecule_loader(),
+    ("molecule_dictionary", "compound_properties", "compound_structures"),
+)
+ID_LOOKUP = Resource("id_lookup", "id_lookups", _lookup_tables, ("id_lookup",))
 
 
 @dataclass(frozen=True)

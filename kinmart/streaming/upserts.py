@@ -38,7 +38,7 @@ def upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str], *recency:
     filtered by key, so the fold reads them once and never sorts them.
     """
     newest = latest_per_key(batch, keys, *recency) if recency else batch
-    kept = existing.join(newest.select(*keys), list(keys), "left_anti")
+    kept = existing.join(batch.select(*keys), list(keys), "left_anti")
     return kept.unionByName(newest.select(*existing.columns))
 
 

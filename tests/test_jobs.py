@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,11 +10,13 @@ from kinmart.plans import quality as q
 from kinmart.schemas import (
     COMPOUND_PROPERTIES,
     COMPOUND_STRUCTURES,
+    ID_LOOKUP,
     INPUT_COMPOUND,
     KEY,
     MOLECULE_DICTIONARY,
 )
 from kinmart.sources.store import TableStore
+from kinmart.streaming.ingest import MOLECULE, Landing
 
 SMALL = Settings(n_bits=256, top_n=3, target_size=4, pivot_sources=2, shard_size=10)
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
@@ -123,3 +127,43 @@ def test_a_stale_library_is_refused(store):
     store.write(q.MOLECULES, store[q.MOLECULES].unionByName(extra))
     with pytest.raises(IncompleteLibraryError):
         jobs.build_mart(store, "run", SMALL)
+
+
+def test_release_is_drained_once(spark, store):
+    dictionary = frame(spark, MOLECULE_DICTIONARY, [{KEY: "R1", "pref_name": "one"}])
+    flags = [f.name for f in MOLECULE_DICTIONARY if f.dataType.simpleString() == "boolean"]
+    for name in flags:
+        dictionary = dictionary.withColumn(name, F.lit(1))
+    keyed = dictionary.withColumn("n", F.lit(7))
+    raw = {
+        q.DICTIONARY: keyed,
+        q.PROPERTIES: frame(spark, COMPOUND_PROPERTIES, [{"alogp": "1.5"}]).drop(KEY).withColumn(
+            "n", F.lit(7)
+        ),
+        q.STRUCTURES: frame(spark, COMPOUND_STRUCTURES, [{"canonical_smiles": "C"}])
+        .drop(KEY)
+        .withColumn("n", F.lit(7)),
+        jobs.LOOKUP: frame(spark, ID_LOOKUP, [{KEY: "R1"}]).drop("resource_url"),
+    }
+    counts = jobs.drain_release(store, "r1", raw, "n")
+    assert counts == {q.DICTIONARY: 1, q.PROPERTIES: 1, q.STRUCTURES: 1, jobs.LOOKUP: 1}
+    assert store[q.DICTIONARY].first().oral is True
+    assert store[q.PROPERTIES].first()[KEY] == "R1"
+    assert jobs.drain_release(store, "r1", raw, "n") == {}
+    assert jobs.drain_release(store, "r1", raw, "n", force=True) == counts
+    assert jobs.drain_release(store, "r2", raw, "n") == counts
+
+
+def test_landed_pages_and_batch_files_become_bronze(spark, store, tmp_path):
+    pages, files = tmp_path / "pages", tmp_path / "files"
+    pages.mkdir(), files.mkdir()
+    record = {KEY: "P1", "pref_name": "p", "molecule_properties": {"alogp": "2"},
+              "molecule_structures": {"canonical_smiles": "C"}}
+    (pages / "p.json").write_text(json.dumps({"molecules": [record], "page_meta": {"total_count": 1}}))
+    landing = Landing(spark, f"file://{tmp_path}/landing")
+    landing.ingest(MOLECULE, str(pages), "r1", timeout=120)
+    jobs.publish_landed(store, landing, [MOLECULE])
+    assert [store[t].first()[KEY] for t in (q.DICTIONARY, q.PROPERTIES, q.STRUCTURES)] == ["P1"] * 3
+    (files / "a.csv").write_text("compound_name,odd\nAspirin,1\n")
+    assert [r.header for r in jobs.land_inputs(store, str(files)).collect()] == ["odd"]
+    assert store[q.INPUTS].first().compound_name == "Aspirin"

@@ -13,6 +13,7 @@ from kinmart.operators.similarity import (
     missing_fingerprints,
     require_complete,
     require_fingerprints,
+    require_unique,
     score_table,
     search,
     search_summary,
@@ -136,8 +137,9 @@ def test_library_must_be_complete(spark):
     with pytest.raises(IncompleteLibraryError, match="1 items"):
         require_complete(items, held, rejects.limit(0))
     doubled = held.unionAll(held.where("item_id = 'A'"))
-    with pytest.raises(IncompleteLibraryError):
-        require_complete(items, doubled, rejects.limit(0))
+    with pytest.raises(IncompleteLibraryError, match="A more than once"):
+        require_unique(doubled)
+    require_unique(held)
 
 
 def test_summary_counts_flags(spark):
