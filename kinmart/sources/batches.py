@@ -28,6 +28,9 @@ KEEP, OUTSIDE, INSIDE, SWAP = range(4)
 _UNQUOTED = r'[^,"][^,]*'
 _CLOSED = rf'"(?:[^"]|"")*"(?:{_UNQUOTED})?'
 _FIELD = re.compile(rf"(?:{_CLOSED}|{_UNQUOTED}|)(?:,|$)", re.DOTALL)
+# A quote that is never closed would make the rest of its file one record.
+MAX_RECORD_CHARS = 16 * 1024 * 1024
+
 _REST = re.compile(rf'(?:[^"]|"")*"(?!")(?:{_UNQUOTED})?(?:,|$)', re.DOTALL)
 
 
@@ -156,8 +159,20 @@ def read_records(lines: DataFrame) -> DataFrame:
     in_split = Window.partitionBy("path", "split").orderBy("place")
     begins = (_then(F.col("opening"), F.col("so_far")) == OUTSIDE).cast("int")
     upto = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = within.join(offsets, ["path", "split"]).withColumn(
-        "source_row", F.col("offset") + F.sum(begins).over(upto)
+    seen_chars, length = F.sum(F.length("line") + 1).over(upto), F.length("line") + 1
+    numbered = (
+        within.join(offsets, ["path", "split"])
+        .withColumn("begins", begins)
+        .withColumn("source_row", F.col("offset") + F.sum("begins").over(upto))
+        .withColumn("chars", seen_chars)
+        .withColumn("_start", F.when(F.col("begins") == 1, F.col("chars") - length))
+        .withColumn("held", F.col("chars") - F.coalesce(F.last("_start", True).over(upto), F.lit(0)))
+        .withColumn(
+            "line",
+            F.when(F.col("held") <= MAX_RECORD_CHARS, F.col("line")).otherwise(
+                F.raise_error(F.concat(F.lit("unclosed quote in "), "path"))
+            ),
+        )
     )
     pieces = F.array_sort(F.collect_list(F.struct("split", "place", "line")))
     return numbered.groupBy("path", "source_file", "source_row").agg(

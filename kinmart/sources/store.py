@@ -87,7 +87,7 @@ class Transaction(Mapping):
         self._current.update({name: newest[name] for name in tables if name in newest})
 
     def __getitem__(self, table: str) -> DataFrame:
-        return self._store.spark.read.parquet(f"{self._store.path}/{self._current[table]}")
+        return self._store.open(self._current[table])
 
     def __contains__(self, table: object) -> bool:
         return table in self._current
@@ -110,6 +110,7 @@ class TableStore(Mapping):
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self._folder = Folder(spark, path)
+        self._opened: dict[str, DataFrame] = {}
         self.path = self._folder.path
 
     def new_version(self, table: str) -> str:
@@ -127,7 +128,13 @@ class TableStore(Mapping):
         return json.loads(self._folder.read(f"{self.COMMITS}/{number:012d}.json"))
 
     def __getitem__(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{self.current()[table]}")
+        return self.open(self.current()[table])
+
+    def open(self, version: str) -> DataFrame:
+        """A frame over one version. Versions never change, so each is looked up once."""
+        if version not in self._opened:
+            self._opened[version] = self.spark.read.parquet(f"{self.path}/{version}")
+        return self._opened[version]
 
     def __contains__(self, table: object) -> bool:
         return table in self.current()
@@ -172,5 +179,6 @@ class TableStore(Mapping):
         """Delete stale versions. Call it after a successful rebuild, never before."""
         stale = self.stale(keep)
         for version in stale:
+            self._opened.pop(version, None)
             self._folder.remove(version)
         return len(stale)

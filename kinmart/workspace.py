@@ -16,15 +16,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder. A local master without the setting gets a new folder."""
-    named = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not named:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        named = "file://" + tempfile.mkdtemp(prefix="kinmart-")
-        context.setCheckpointDir(named)
-        spark.conf.set(CHECKPOINT_DIR, named)
-    return f"{named.rstrip('/')}/kinmart/{spark.sparkContext.applicationId}"
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="kinmart-"))
+        named = context.getCheckpointDir()
+    return f"{named.rstrip('/')}/kinmart/{context.applicationId}"
 
 
 def new_dir(spark: SparkSession, name: str) -> str:

@@ -125,6 +125,13 @@ def test_files_split_over_tasks_keep_their_row_numbers(spark, tmp_path):
     assert made == {f"{name}.csv": plain_parse(text) for name, text in files.items()}
 
 
+def test_an_unclosed_quote_is_refused_before_it_swallows_the_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("kinmart.sources.batches.MAX_RECORD_CHARS", 200)
+    path = write(tmp_path, open="compound_name\n" + '"never closed\n' + "more text\n" * 50)
+    with pytest.raises(Exception, match="unclosed quote"):
+        land_batches(spark, path)
+
+
 def test_no_whole_file_in_one_row(spark, tmp_path):
     path = write(tmp_path, standard=STANDARD)
     records = read_records(read_lines(spark, path))
