@@ -15,10 +15,6 @@ def padded(prefix: str, key: str) -> str:
     return f"concat('{prefix}', lpad(CAST({key} AS STRING), 12, '0'))"
 
 
-def text(key: str) -> str:
-    return f"CAST({key} AS STRING)"
-
-
 def money(key: str) -> str:
     """A two-digit amount as an exact decimal."""
     return f"CAST({key} AS DECIMAL(14,2))"

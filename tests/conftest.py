@@ -12,8 +12,8 @@ from kinmart.session import session  # noqa: E402
 def spark(tmp_path_factory):
     made = session(
         "tests",
-        "local[8]",
-        spark__sql__shuffle__partitions="8",
+        "local[4]",
+        spark__sql__shuffle__partitions="4",
         spark__driver__memory="8g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

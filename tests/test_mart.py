@@ -1,8 +1,6 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
-
 from kinmart.plans import mart
 from kinmart.schemas import DIM_MOLECULE, FACT_SIMILARITY, KEY, MOLECULE, SIMILARITY_TOP
 
