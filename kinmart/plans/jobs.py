@@ -9,6 +9,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinmart.config import Settings
 from kinmart.operators import conform as conforming
@@ -25,7 +26,7 @@ from kinmart.operators.similarity import (
 )
 from kinmart.plans import mart
 from kinmart.plans import quality as q
-from kinmart.schemas import KEY, WATERMARK
+from kinmart.schemas import KEY, QUALITY_CHECK, WATERMARK
 from kinmart.sources import batches, release
 from kinmart.sources.store import TableStore, Transaction
 from kinmart.streaming.ingest import Landing, Resource
@@ -35,22 +36,31 @@ LIBRARY_REJECTS = "silver.fingerprint_rejected"
 TOP = "silver.similarity_top"
 SCORES = "silver.similarity_score"
 LOOKUP = "bronze.id_lookup"
-HISTORY = "meta.quality_check"
+HISTORY = "_history/quality_check"
 WATERMARK_TABLE = "meta.ingest_watermark"
 
 
 def quality_history(store: TableStore) -> DataFrame:
     """Every recorded check result."""
-    return store[HISTORY]
+    stamp = T.StructField("checked_at", T.TimestampType())
+    schema = T.StructType([*QUALITY_CHECK.fields, stamp])
+    return store.spark.read.schema(schema).parquet(f"{store.path}/{HISTORY}")
 
 
 def record_results(store: TableStore, results: DataFrame) -> None:
-    """Add results to the history; a result for the same run and check is replaced."""
-    keys = ["run_id", "check_name"]
-    stamped = results.withColumn("checked_at", F.current_timestamp())
-    if HISTORY in store:
-        stamped = store[HISTORY].join(results.select(*keys), keys, "left_anti").unionByName(stamped)
-    store.write(HISTORY, stamped.coalesce(1))
+    """Add results to the history; those of the same run and layer are replaced.
+
+    The history only grows by what is recorded. It lies outside the store's commits, so a
+    gate that fails keeps its evidence while its tables are dropped.
+    """
+    (
+        results.withColumn("checked_at", F.current_timestamp())
+        .coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id", "layer")
+        .parquet(f"{store.path}/{HISTORY}")
+    )
 
 
 def latest_results(history: DataFrame) -> DataFrame:
@@ -59,14 +69,10 @@ def latest_results(history: DataFrame) -> DataFrame:
 
 
 def _gate(store: TableStore, work: Transaction, run_id: str, layer: str, s: Settings) -> q.Report:
-    # Recording commits on its own, and must not be lost when the gate raises; the
-    # transaction then continues on top of that commit.
-    try:
-        return q.run_gate(
-            run_id, work, lambda results: record_results(store, results), (layer,), q.build_checks(s)
-        )
-    finally:
-        work.rebase(HISTORY)
+    def record(results: DataFrame) -> None:
+        record_results(store, results)
+
+    return q.run_gate(run_id, work, record, (layer,), q.build_checks(s))
 
 
 def drain_release(
@@ -176,9 +182,8 @@ def create_views(store: TableStore, settings: Settings = Settings()) -> list[str
         "v_similarity_pivot": mart.similarity_pivot(fact, settings.pivot_sources),
         "v_similarity_neighbours": mart.similarity_neighbours(fact),
         "v_avg_similarity_rollup": mart.similarity_rollup(fact, dim),
+        "v_quality_latest": latest_results(quality_history(store)),
     }
-    if HISTORY in store:
-        views["v_quality_latest"] = latest_results(store[HISTORY])
     for name, view in views.items():
         view.createOrReplaceTempView(name)
     return list(views)

@@ -77,15 +77,6 @@ class Transaction(Mapping):
         self._current[table] = version
         return self[table]
 
-    def rebase(self, *tables: str) -> None:
-        """Go on from the store's newest commit, taking over its version of ``tables``.
-
-        For commits of one's own that happened meanwhile and touched nothing else.
-        """
-        self._base = self._store.commit_number()
-        newest = self._store.current(self._base)
-        self._current.update({name: newest[name] for name in tables if name in newest})
-
     def __getitem__(self, table: str) -> DataFrame:
         return self._store.open(self._current[table])
 
@@ -171,7 +162,7 @@ class TableStore(Mapping):
             for number in range(max(1, newest - keep + 1), newest + 1)
             for version in self.current(number).values()
         }
-        tables = [name for name in self._folder.names() if name != self.COMMITS]
+        tables = [name for name in self._folder.names() if not name.startswith("_")]
         found = [f"{table}/{name}" for table in tables for name in self._folder.names(table)]
         return [version for version in found if version not in kept]
 

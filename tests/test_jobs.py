@@ -107,6 +107,11 @@ def test_a_run_recorded_twice_keeps_one_result_per_check(store):
     first = jobs.quality_history(store).count()
     jobs.build_silver(store, "run", SMALL)
     assert jobs.quality_history(store).count() == first
+    jobs.build_silver(store, "7", SMALL)
+    history = jobs.quality_history(store)
+    assert history.count() == 2 * first and history.schema["run_id"].dataType.simpleString() == "string"
+    assert {r.run_id for r in jobs.latest_results(history).collect()} == {"7"}
+    assert store.prune() == 2 and jobs.quality_history(store).count() == 2 * first
 
 
 def test_a_source_without_fingerprint_stops_before_anything_is_replaced(spark, store):
