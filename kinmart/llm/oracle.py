@@ -22,4 +22,22 @@ SELECT
 FROM o
 """
 
-ORACLES = {"op9_warc": WARC}
+LINE_DEDUP = """
+WITH l AS (
+  SELECT doc_id, place, line, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS place
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
+), k AS (
+  SELECT key, min(doc_id) AS owner FROM l WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+)
+SELECT l.doc_id, count(*) AS n_lines,
+  count(*) FILTER (WHERE owner < l.doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
+    FILTER (WHERE owner IS NULL OR owner = l.doc_id), '')) AS kept_sha256
+FROM l LEFT JOIN k ON l.key = k.key
+GROUP BY l.doc_id
+"""
+
+ORACLES = {"op6_line_dedup": LINE_DEDUP, "op9_warc": WARC}

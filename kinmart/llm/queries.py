@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinmart.llm import files, token_files, warc
+from kinmart.llm import files, packing, token_files, warc
+from kinmart.llm.line_dedup import LineIndex
 
 END_OF_DOCUMENT = 2
+END_OF_PACKED = 1
 
 
 def tokenizer_path(name: str) -> str:
@@ -30,6 +32,20 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(manifest)
 
 
+def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cleaned = LineIndex.build(docs).clean(docs)
+    return cleaned.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256")
+    )
+
+
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), END_OF_PACKED)
+    return pieces.drop("ids")
+
+
 def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     manifest = warc.write_archives(pages, files.folder_for(pages, "warc"))
@@ -41,5 +57,7 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_token_files": token_files_query,
+    "op6_line_dedup": line_dedup_query,
+    "op8_packing": packing_query,
     "op9_warc": warc_query,
 }
