@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinmart.llm import files, packing, token_files, warc
+from kinmart.llm import files, packing, quality_rules, token_files, warc
 from kinmart.llm.line_dedup import LineIndex
 
 END_OF_DOCUMENT = 2
@@ -32,6 +32,22 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(manifest)
 
 
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, model).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "score",
+    )
+
+
 def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     cleaned = LineIndex.build(docs).clean(docs)
@@ -57,6 +73,7 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_token_files": token_files_query,
+    "op4_quality_rules": quality_query,
     "op6_line_dedup": line_dedup_query,
     "op8_packing": packing_query,
     "op9_warc": warc_query,
