@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinmart.llm import files, packing, quality_rules, token_files, warc
 from kinmart.llm.line_dedup import LineIndex
+from kinmart.llm.near_dup import NearDup, near_duplicates
 
 END_OF_DOCUMENT = 2
 END_OF_PACKED = 1
@@ -21,6 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def near_dup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), NearDup(words=2))
+
+
 def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     manifest = token_files.write_token_files(
@@ -72,6 +77,7 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_dup": near_dup_query,
     "op3_token_files": token_files_query,
     "op4_quality_rules": quality_query,
     "op6_line_dedup": line_dedup_query,
