@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinmart.llm import files, packing, quality_rules, token_files, warc
+from kinmart.llm import files, packing, pii, quality_rules, token_files, warc
 from kinmart.llm.line_dedup import LineIndex
 from kinmart.llm.near_dup import NearDup, near_duplicates
 
@@ -76,6 +76,12 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    return found.select(F.col("row.doc_id").alias("doc_id"), *found.columns[1:])
+
+
 QUERIES = {
     "op1_near_dup": near_dup_query,
     "op3_token_files": token_files_query,
@@ -83,4 +89,5 @@ QUERIES = {
     "op6_line_dedup": line_dedup_query,
     "op8_packing": packing_query,
     "op9_warc": warc_query,
+    "op10_pii": pii_query,
 }
