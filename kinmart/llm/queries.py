@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinmart.llm import files, packing, pii, quality_rules, token_files, warc
+from kinmart.llm import decontaminate, files, license_scan, packing, pii, quality_rules, token_files, warc
 from kinmart.llm.line_dedup import LineIndex
 from kinmart.llm.near_dup import NearDup, near_duplicates
 
@@ -37,6 +37,15 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(manifest)
 
 
+def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.matches(docs, items)
+
+
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
@@ -84,8 +93,10 @@ def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_near_dup": near_dup_query,
+    "op2_license_scan": license_query,
     "op3_token_files": token_files_query,
     "op4_quality_rules": quality_query,
+    "op5_decontaminate": decontaminate_query,
     "op6_line_dedup": line_dedup_query,
     "op8_packing": packing_query,
     "op9_warc": warc_query,
