@@ -40,4 +40,55 @@ FROM l LEFT JOIN k ON l.key = k.key
 GROUP BY l.doc_id
 """
 
-ORACLES = {"op6_line_dedup": LINE_DEDUP, "op9_warc": WARC}
+QUOTES = r"""
+WITH RECURSIVE l AS (
+  SELECT conv_id, turn, place, whole,
+    length(regexp_replace(regexp_extract(whole, '^[ \t]*(?:>[ \t]*)+'), '[^>]', '', 'g')) AS level,
+    regexp_replace(whole, '^[ \t]*(?:>[ \t]*)+', '') AS line
+  FROM (SELECT conv_id, turn, unnest(parts) AS whole, unnest(range(len(parts))) AS place
+        FROM (SELECT conv_id, turn, string_split(coalesce(text, ''), chr(10)) AS parts
+              FROM conversations))
+), r AS (
+  SELECT *, sum(new) OVER (PARTITION BY conv_id, turn ORDER BY place) AS run
+  FROM (SELECT *, CASE WHEN level <> lag(level) OVER (PARTITION BY conv_id, turn ORDER BY place)
+          THEN 1 ELSE 0 END AS new FROM l)
+), u AS (
+  SELECT conv_id, turn, level, trim(regexp_replace(lower(unit), '\s+', ' ', 'g')) AS key, weight
+  FROM (SELECT conv_id, turn, level, string_agg(line, ' ' ORDER BY place) AS unit,
+          count(*) + 1 AS weight FROM r GROUP BY conv_id, turn, level, run
+        UNION ALL SELECT conv_id, turn, level, line, 1 FROM r)
+), o AS (
+  SELECT conv_id, key, min(turn) AS first FROM u WHERE level = 0 AND key <> ''
+  GROUP BY conv_id, key
+), v AS (
+  SELECT u.conv_id, u.turn, level, first, sum(weight) AS weight
+  FROM u JOIN o ON u.conv_id = o.conv_id AND u.key = o.key AND first < u.turn
+  WHERE level > 0 GROUP BY u.conv_id, u.turn, level, first
+), p AS (
+  SELECT conv_id, turn, first AS reply_to FROM v
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn
+    ORDER BY level, weight DESC, first DESC) = 1
+), t AS (
+  SELECT c.conv_id, c.turn, c.turn AS thread
+  FROM conversations c LEFT JOIN p ON p.conv_id = c.conv_id AND p.turn = c.turn
+  WHERE p.turn IS NULL
+  UNION ALL
+  SELECT p.conv_id, p.turn, t.thread
+  FROM p JOIN t ON t.conv_id = p.conv_id AND t.turn = p.reply_to
+), k AS (
+  SELECT conv_id, turn, bool_or(level > 0) AS quotes,
+    trim(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE level = 0), ''),
+      chr(10)) AS own
+  FROM l GROUP BY conv_id, turn
+)
+SELECT c.conv_id,
+  row_number() OVER (PARTITION BY c.conv_id ORDER BY thread, c.turn) - 1 AS position,
+  c.turn, c.role, CASE WHEN quotes THEN own ELSE coalesce(c.text, '') END AS content,
+  reply_to, thread
+FROM conversations c
+JOIN t ON t.conv_id = c.conv_id AND t.turn = c.turn
+JOIN k ON k.conv_id = c.conv_id AND k.turn = c.turn
+LEFT JOIN p ON p.conv_id = c.conv_id AND p.turn = c.turn
+"""
+
+ORACLES = {"op6_line_dedup": LINE_DEDUP, "op7_chat_quotes": QUOTES, "op9_warc": WARC}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kinmart.llm import decontaminate, files, license_scan, packing, pii, quality_rules, token_files, warc
 from kinmart.llm.line_dedup import LineIndex
 from kinmart.llm.near_dup import NearDup, near_duplicates
+from kinmart.llm.quotes import link_quotes
 
 END_OF_DOCUMENT = 2
 END_OF_PACKED = 1
@@ -70,6 +71,10 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quotes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), END_OF_PACKED)
@@ -98,6 +103,7 @@ QUERIES = {
     "op4_quality_rules": quality_query,
     "op5_decontaminate": decontaminate_query,
     "op6_line_dedup": line_dedup_query,
+    "op7_chat_quotes": quotes_query,
     "op8_packing": packing_query,
     "op9_warc": warc_query,
     "op10_pii": pii_query,
