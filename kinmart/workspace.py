@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,8 +37,55 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a frame that reads it back."""
     spark = df.sparkSession
     path = new_dir(spark, name)
+    if _open:
+        _open[-1].made.append((spark, path))
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system Spark itself uses for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """Tables staged inside a ``scratch`` block."""
+
+    def __init__(self):
+        self.made: list[tuple[SparkSession, str]] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Let this staged table outlive the block, or pass it on to the block around it."""
+        path = df.staged_at
+        own = [x for x in self.made if x[1] == path]
+        self.made = [x for x in self.made if x[1] != path]
+        outer = _open[_open.index(self) - 1] if self in _open and _open.index(self) else None
+        if outer:
+            outer.made.extend(own)
+        return df
+
+
+_open: list[Scratch] = []
+
+
+@contextmanager
+def scratch() -> Iterator[Scratch]:
+    """Tables staged inside the block are deleted when it ends, but for those it keeps.
+
+    Only for blocks that run all they read: a frame that still has to read a staged table must
+    not leave the block, unless it was staged and kept itself.
+    """
+    held = Scratch()
+    _open.append(held)
+    try:
+        yield held
+    finally:
+        _open.remove(held)
+        for spark, path in held.made:
+            remove_dir(spark, path)
 
 
 def estimated_bytes(df: DataFrame) -> int:
