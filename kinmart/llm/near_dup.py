@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kinmart.llm.components import components
 from kinmart.llm.files import rows_of
-from kinmart.workspace import stage
+from kinmart.workspace import scratch, stage
 
 ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 PROBES = 4096
