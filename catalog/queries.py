@@ -520,49 +520,14 @@ CHECK_SETTINGS = Settings(top_n=600, target_size=100)
 
 
 def draft_observations(spark, sf_dir, layer: str, names: tuple[str, ...] = ()) -> DataFrame:
-    checks = q.select_checks(q.build_checks(CHECK_SETTINGS), (layer,))
-    chosen = [check for check in checks if not names or check.name in names]
-    return q.observe(chosen, DRAFTS[layer](spark, sf_dir))
-
-
-CHECK_LAYERS = {
-    "molecules_are_populated": "silver",
-    "every_structure_is_kept": "silver",
-    "structure_is_never_blank": "silver",
-    "casts_drop_nothing": "silver",
-    "molecule_key_is_unique": "silver",
-    "molecule_columns_are_filled": "silver",
-    "every_input_row_is_accounted_for": "source",
-    "source_set_has_its_size": "source",
-    "source_set_has_input_molecules": "source",
-    "source_key_is_unique": "source",
-    "source_columns_are_filled": "source",
-    "source_origin_is_known": "source",
-    "input_key_is_unique": "source",
-    "rejected_key_is_unique": "source",
-    "rejected_columns_are_filled": "source",
-    "fact_has_no_self_match": "gold",
-    "fact_has_top_n_per_source": "gold",
-    "fact_sources_are_in_source_set": "gold",
-    "dim_has_no_unreferenced_molecule": "gold",
-    "tie_flag_is_only_on_boundary": "gold",
-    "tie_flag_agrees_on_boundary": "gold",
-    "dim_alogp_coverage_is_high": "gold",
-    "gap_columns_are_still_empty": "gold",
-    "every_source_has_matches": "gold",
-    "dim_key_is_unique": "gold",
-    "fact_key_is_unique": "gold",
-    "fact_ids_are_in_dim": "gold",
-    "fact_score_is_in_range": "gold",
-    "fact_columns_are_filled": "gold",
-}
+    return q.observe(DRAFTS[layer](spark, sf_dir), (layer,), CHECK_SETTINGS, names)
 
 
 def _register_checks() -> None:
     def single(layer: str, name: str) -> Query:
         return lambda spark, sf_dir: draft_observations(spark, sf_dir, layer, (name,))
 
-    for name, layer in CHECK_LAYERS.items():
+    for _, layer, name, *_ in q.rules():
         QUERIES[f"check_{name}"] = single(layer, name)
 
 
@@ -591,8 +556,8 @@ def gate_report(spark, sf_dir):
         q.DIM: mart.dim,
         q.FACT: mart.fact,
     }
-    report = q.evaluate("documents", q.build_checks(SETTINGS), tables)
-    return q.report_counts(spark.createDataFrame(report.rows(), q.QUALITY_CHECK))
+    observed = q.observe(tables, tuple(q.LAYERS), SETTINGS)
+    return q.report_counts(q.judge(spark, "documents", observed, SETTINGS))
 
 
 @query

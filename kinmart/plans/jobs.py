@@ -68,11 +68,11 @@ def latest_results(history: DataFrame) -> DataFrame:
     return latest_per_key(history, ["check_name"], "checked_at")
 
 
-def _gate(store: TableStore, work: Transaction, run_id: str, layer: str, s: Settings) -> q.Report:
+def _gate(store: TableStore, work: Transaction, run_id: str, layer: str, s: Settings) -> DataFrame:
     def record(results: DataFrame) -> None:
         record_results(store, results)
 
-    return q.run_gate(run_id, work, record, (layer,), q.build_checks(s))
+    return q.run_gate(run_id, work, record, (layer,), s)
 
 
 def drain_release(
@@ -121,7 +121,7 @@ def land_inputs(store: TableStore, path: str) -> DataFrame:
     return landed.unknown_headers
 
 
-def build_silver(store: TableStore, run_id: str, settings: Settings = Settings()) -> q.Report:
+def build_silver(store: TableStore, run_id: str, settings: Settings = Settings()) -> DataFrame:
     """Bronze tables to silver molecules."""
     with store.transaction() as work:
         bronze = (work[name] for name in (q.DICTIONARY, q.PROPERTIES, q.STRUCTURES))
@@ -129,7 +129,7 @@ def build_silver(store: TableStore, run_id: str, settings: Settings = Settings()
         return _gate(store, work, run_id, "silver", settings)
 
 
-def build_sources(store: TableStore, run_id: str, settings: Settings = Settings()) -> q.Report:
+def build_sources(store: TableStore, run_id: str, settings: Settings = Settings()) -> DataFrame:
     """Input rows to the source set and the rejected rows."""
     with store.transaction() as work:
         molecules, inputs = work[q.MOLECULES], work[q.INPUTS]
@@ -156,7 +156,7 @@ def build_library(
 
 def build_mart(
     store: TableStore, run_id: str, settings: Settings = Settings(), archive: bool = True
-) -> q.Report:
+) -> DataFrame:
     """Score the source set, keep the score tables, load dimension and fact."""
     with store.transaction() as work:
         library = work[LIBRARY]
