@@ -1,7 +1,9 @@
-"""Page files of a resource to bronze: resumable, with progress recorded per micro-batch.
+"""Page files of a resource to bronze: resumable, with progress recorded page by page.
 
 Spark's checkpoint remembers which files were read. Rows and progress are written under the
 micro-batch's number, so a batch that is run again replaces itself and nothing counts twice.
+A page is known by its offset, or by its content if it states none, so one that is delivered
+twice counts once, and a run is complete only when its pages cover the release without a gap.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,12 +22,24 @@ from kinmart.streaming.upserts import ARRIVAL, BATCH, append_batch, read_latest
 
 Loader = Callable[[DataFrame], dict[str, DataFrame]]
 
-PROGRESS = "epoch bigint, release string, batch bigint, records bigint, total_count bigint"
+PROGRESS = (
+    "epoch bigint, release string, batch bigint, page string, offset bigint, records bigint, "
+    "total_count bigint"
+)
+
+
+def arrivals(lines: DataFrame) -> DataFrame:
+    """Text of page files with where and when each line came: value, seen, file, split."""
+    return lines.select(
+        "value",
+        F.col("_metadata.file_modification_time").alias("seen"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+    )
 
-# Room for the batches and records of one run over a resource, so that whatever a later run
-# lands is newer than everything before it.
+
+# Room for the batches of one run over a resource, so that no two runs share a number.
 _BATCHES_PER_EPOCH = 1_000_000_000
-_RECORDS_PER_EPOCH = 1_000_000_000_000
 
 
 @dataclass(frozen=True)
@@ -75,6 +89,7 @@ class Watermark:
     next_offset: int
     total_count: int | None
     is_complete: bool
+    landed: int = 0
 
 
 class Landing:
@@ -89,17 +104,42 @@ class Landing:
         # Pages have an order of their own, whichever micro-batch read them.
         return read_latest(self.spark, f"{self.path}/{name}", [KEY], (ARRIVAL, BATCH))
 
-    def progress(self, resource: str) -> DataFrame:
-        """Per run over a resource: records landed so far, and whether that is all."""
+    def pages(self, resource: str) -> DataFrame:
+        """Every distinct page landed, by run: its offset, if it states one, and its records."""
         folder = Folder(self.spark, f"{self.path}/_progress/{resource}")
         if not folder.names():
             rows = self.spark.createDataFrame([], PROGRESS)
         else:
             rows = self.spark.read.schema(PROGRESS).parquet(folder.path)
+        return rows.groupBy("epoch", "release", "page").agg(
+            F.max("offset").alias("offset"),
+            F.max("records").alias("records"),
+            F.max("total_count").alias("total_count"),
+        )
+
+    def progress(self, resource: str) -> DataFrame:
+        """Per run over a resource: records covered without a gap, and whether that is all.
+
+        Pages with offsets cover the stretch from 0 to the first record that none of them
+        holds. Pages without offsets can't leave a gap and add their records.
+        """
+        placed = F.col("offset").isNotNull()
+        end = F.when(placed, F.col("offset") + F.col("records"))
+        run = Window.partitionBy("epoch").orderBy(F.col("offset").asc_nulls_last(), "page")
+        before = run.rowsBetween(Window.unboundedPreceding, -1)
+        reached = F.coalesce(F.max(end).over(before), F.lit(0))
+        pages = self.pages(resource).withColumn("gap", F.coalesce(F.col("offset") > reached, F.lit(False)))
+        pages = pages.withColumn("cut", F.max("gap").over(run.rowsBetween(Window.unboundedPreceding, 0)))
+        covered = F.coalesce(F.max(F.when(~F.col("cut"), end)), F.lit(0))
+        loose = F.coalesce(F.sum(F.when(~placed, F.col("records"))), F.lit(0))
         complete = F.coalesce(F.col("records") >= F.col("total_count"), F.lit(False))
         return (
-            rows.groupBy("epoch", "release")
-            .agg(F.sum("records").alias("records"), F.max("total_count").alias("total_count"))
+            pages.groupBy("epoch", "release")
+            .agg(
+                (covered + loose).cast("bigint").alias("records"),
+                F.sum("records").cast("bigint").alias("landed"),
+                F.max("total_count").alias("total_count"),
+            )
             .withColumn("is_complete", complete)
         )
 
@@ -109,7 +149,13 @@ class Landing:
         if row is None:
             return None
         return Watermark(
-            resource, row.release, row.epoch, row.records, row.total_count, row.is_complete
+            resource,
+            row.release,
+            row.epoch,
+            row.records,
+            row.total_count,
+            row.is_complete,
+            row.landed,
         )
 
     def ingest(
@@ -122,7 +168,8 @@ class Landing:
         whole_files: bool = True,
         timeout: int | None = None,
     ) -> int:
-        """Land the page files under ``pages`` that were not landed yet; returns records.
+        """Land the page files under ``pages`` that were not read yet; returns the records of
+        pages that are new.
 
         A release that is complete is skipped. A new release, or ``force``, starts from the
         first page. Anything else goes on where the last run stopped. A file is one page, or
@@ -133,10 +180,10 @@ class Landing:
         if resumes and mark.is_complete:
             return 0
         epoch = mark.epoch + (not resumes) if mark else 0
-        before = mark.next_offset if resumes else 0
+        before = mark.landed if resumes else 0
 
         reader = self.spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-        stream = reader.text(pages, wholetext=whole_files)
+        stream = arrivals(reader.text(pages, wholetext=whole_files))
         query = (
             stream.writeStream.foreachBatch(self._land(resource, release, epoch))
             .option("checkpointLocation", f"{self.path}/_checkpoints/{resource.name}/{epoch}")
@@ -149,7 +196,7 @@ class Landing:
         finally:
             query.stop()
         mark = self.watermark(resource.name)
-        return mark.next_offset - before if mark and mark.epoch == epoch else 0
+        return mark.landed - before if mark and mark.epoch == epoch else 0
 
     def _land(self, resource: Resource, release: str, epoch: int) -> Callable:
         meta = T.StructType(
@@ -164,30 +211,65 @@ class Landing:
 
         def land(batch: DataFrame, batch_id: int) -> None:
             number = epoch * _BATCHES_PER_EPOCH + batch_id
-            first = F.lit(epoch * _RECORDS_PER_EPOCH)
             parsed = F.from_json("value", page_type, {"mode": "FAILFAST"}).alias("page")
-            pages = batch.select(parsed).select("page.*").persist()
-            records = pages.select(
-                F.coalesce("page_meta.offset", F.lit(0)).alias("offset"),
-                F.posexplode(resource.collection).alias("place", "record"),
-            ).select(
-                (first + F.col("offset") + F.col("place")).alias(ARRIVAL), "record"
-            )
-            for name, rows in resource.load(records).items():
-                append_batch(rows, f"{self.path}/{name}", number, [KEY])
-            done = pages.agg(
-                F.coalesce(F.sum(F.size(resource.collection)), F.lit(0)).alias("records"),
-                F.max("page_meta.total_count").alias("total_count"),
-            ).select(
-                F.lit(epoch).cast("bigint").alias("epoch"),
-                F.lit(release).alias("release"),
-                F.lit(batch_id).cast("bigint").alias("batch"),
-                F.col("records").cast("bigint").alias("records"),
-                "total_count",
+            came = ("seen", "file", "split", "line")
+            numbered = batch.withColumn("line", F.monotonically_increasing_id())
+            pages = numbered.select(parsed, F.md5("value").alias("content"), *came).select(
+                "page.*", "content", *came
             )
-            # Written last: progress never runs ahead of the rows it stands for.
-            target = f"{self.path}/_progress/{resource.name}/part={number}"
-            done.coalesce(1).write.mode("overwrite").parquet(target)
-            pages.unpersist()
+            pages = pages.persist()
+            try:
+                self._land_pages(resource, release, epoch, batch_id, number, pages)
+            finally:
+                pages.unpersist()
 
         return land
+
+    def _land_pages(
+        self,
+        resource: Resource,
+        release: str,
+        epoch: int,
+        batch_id: int,
+        number: int,
+        pages: DataFrame,
+    ) -> None:
+        """Rows of one micro-batch, then its progress.
+
+        Within a run the place in the release decides which row is newest. Pages that state no
+        offset are taken in the order in which they came: by batch, file time, file, and line.
+        """
+        offset = F.col("page_meta.offset")
+        exploded = pages.select(
+            offset.alias("offset"),
+            "seen",
+            "file",
+            "split",
+            "line",
+            F.posexplode(resource.collection).alias("place", "record"),
+        )
+        order = F.struct(
+            F.lit(epoch).cast("bigint").alias("epoch"),
+            F.coalesce(F.col("offset") + F.col("place"), F.lit(-1)).cast("bigint").alias("at"),
+            F.lit(batch_id).cast("bigint").alias("batch"),
+            "seen",
+            "file",
+            "split",
+            "line",
+            "place",
+        )
+        records = exploded.select(order.alias(ARRIVAL), "record")
+        for name, rows in resource.load(records).items():
+            append_batch(rows, f"{self.path}/{name}", number, [KEY])
+        done = pages.select(
+            F.lit(epoch).cast("bigint").alias("epoch"),
+            F.lit(release).alias("release"),
+            F.lit(batch_id).cast("bigint").alias("batch"),
+            F.coalesce(offset.cast("string"), "content").alias("page"),
+            offset.alias("offset"),
+            F.greatest(F.size(resource.collection), F.lit(0)).cast("bigint").alias("records"),
+            F.col("page_meta.total_count").alias("total_count"),
+        )
+        # Written last: progress never runs ahead of the rows it stands for.
+        target = f"{self.path}/_progress/{resource.name}/part={number}"
+        done.coalesce(1).write.mode("overwrite").parquet(target)

@@ -4,7 +4,7 @@ import pytest
 
 from kinmart.schemas import KEY
 from kinmart.sources.store import Folder
-from kinmart.streaming.ingest import ID_LOOKUP, MOLECULE, Landing
+from kinmart.streaming.ingest import ID_LOOKUP, MOLECULE, Landing, arrivals
 from kinmart.streaming.upserts import ARRIVAL, append_batch, compact, read_latest, upsert
 
 
@@ -68,10 +68,50 @@ def test_a_batch_that_runs_again_counts_once(spark, landing, pages):
     # As if the run had died after its writes and before its checkpoint was committed.
     Folder(spark, f"{landing.path}/_checkpoints/molecule/0/commits").remove("0")
     work = landing._land(MOLECULE, "r1", 0)
-    work(spark.read.text(str(pages), wholetext=True), 0)
+    work(arrivals(spark.read.text(str(pages), wholetext=True)), 0)
     assert landing.watermark("molecule").next_offset == 2 and len(names(landing)) == 2
 
 
+def test_a_page_delivered_twice_completes_nothing(landing, pages):
+    page(pages, "p0", 0, [record(1, "one"), record(2, "two")], 4)
+    page(pages, "again", 0, [record(1, "one"), record(2, "two")], 4)
+    assert landing.ingest(MOLECULE, str(pages), "r1", timeout=120) == 2
+    mark = landing.watermark("molecule")
+    assert (mark.next_offset, mark.is_complete) == (2, False)
+    page(pages, "p1", 2, [record(3, "three"), record(4, "four")], 4)
+    assert landing.ingest(MOLECULE, str(pages), "r1", timeout=120) == 2
+    assert landing.watermark("molecule").is_complete and len(names(landing)) == 4
+
+
+def test_a_gap_keeps_a_release_open(landing, pages):
+    page(pages, "p2", 2, [record(3, "three")], 3)
+    page(pages, "p0", 0, [record(1, "one")], 3)
+    assert landing.ingest(MOLECULE, str(pages), "r1", timeout=120) == 2
+    assert landing.watermark("molecule").next_offset == 1
+    page(pages, "p1", 1, [record(2, "two")], 3)
+    landing.ingest(MOLECULE, str(pages), "r1", timeout=120)
+    mark = landing.watermark("molecule")
+    assert (mark.next_offset, mark.is_complete) == (3, True)
+
+
+def bare_page(folder, name, records, total):
+    body = {"molecules": records, "page_meta": {"total_count": total}}
+    (folder / f"{name}.json").write_text(json.dumps(body))
+
+
+def test_without_offsets_the_page_that_came_last_wins(landing, pages):
+    bare_page(pages, "b", [record(7, "x"), record(8, "x"), record(1, "old")], 9)
+    landing.ingest(MOLECULE, str(pages), "r1", timeout=120)
+    bare_page(pages, "a", [record(1, "new")], 9)
+    bare_page(pages, "c", [record(7, "x"), record(8, "x"), record(1, "old")], 9)
+    assert landing.ingest(MOLECULE, str(pages), "r1", timeout=120) == 1
+    assert landing.watermark("molecule").next_offset == 4
+    assert names(landing)["M7"] == "x"
+    bare_page(pages, "d", [record(1, "newest")], 9)
+    landing.ingest(MOLECULE, str(pages), "r1", timeout=120)
+    assert names(landing)["M1"] == "newest"
+
+
 def test_a_new_release_and_force_start_over(landing, pages, tmp_path):
     page(pages, "p0", 0, [record(1, "one"), record(2, "two")], 2)
     landing.ingest(MOLECULE, str(pages), "r1", timeout=120)
