@@ -28,22 +28,21 @@ KEEP, OUTSIDE, INSIDE, SWAP = range(4)
 _UNQUOTED = r'[^,"][^,]*'
 _CLOSED = rf'"(?:[^"]|"")*"(?:{_UNQUOTED})?'
 _FIELD = re.compile(rf"(?:{_CLOSED}|{_UNQUOTED}|)(?:,|$)", re.DOTALL)
-# A quote that is never closed would make the rest of its file one record.
-MAX_RECORD_CHARS = 16 * 1024 * 1024
-
+_ENDS = r"(?U)^\s+|\s+$"
 _REST = re.compile(rf'(?:[^"]|"")*"(?!")(?:{_UNQUOTED})?(?:,|$)', re.DOTALL)
 
 
-class MissingNameColumnError(ValueError):
-    """A batch file has no name column, so none of its rows can be matched."""
+class UnnamedBatches(ValueError):
+    """Batch files whose rows carry no name to resolve."""
 
 
 @dataclass(frozen=True)
 class Batches:
-    """Landed rows, and headers no column is known for."""
+    """Landed rows, headers no column is known for, and files without a name column."""
 
     rows: DataFrame
     unknown_headers: DataFrame
+    refused: DataFrame
 
 
 def _ends_inside(line: str, position: int) -> bool:
@@ -77,10 +76,19 @@ def _effects(lines: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _cells(records: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Trimmed cells of each record. A blank record has none."""
+    """Cells of each record. A blank record has none."""
     for series in records:
+        csv.field_size_limit(max(1, *map(len, series)) if len(series) else 1)
         rows = (next(csv.reader(io.StringIO(text, newline="")), []) for text in series)
-        yield pd.Series([[cell.strip() for cell in row] for row in rows], dtype=object)
+        yield pd.Series(list(rows), dtype=object)
+
+
+def _split_cells(record: Column) -> Column:
+    """Trimmed cells of each record. Only records with a quote need a parser."""
+    plain = F.when(record != "", F.split(record, ",", -1)).otherwise(F.array().cast("array<string>"))
+    quoted = F.contains(record, F.lit('"'))
+    cells = F.when(quoted, _cells(F.when(quoted, record).otherwise(""))).otherwise(plain)
+    return F.transform(cells, lambda x: F.regexp_replace(x, _ENDS, ""))
 
 
 def _carry(df: DataFrame, effect: str, keys: list[str], order: str, out: str) -> DataFrame:
@@ -112,26 +120,42 @@ def _then(first: Column, second: Column) -> Column:
     return F.when(fixed, second).when(second == SWAP, swapped).otherwise(first)
 
 
+def _below(spark: SparkSession, path: str, file: Column) -> Column:
+    """The part of a file's address below the folder that is read, or its bare name."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place)
+    bare = F.url_decode(F.regexp_replace(file, r"\+", "%2B"))
+    inside = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    folder = root.toUri().getPath().rstrip("/") + "/"
+    start = F.instr(inside, folder)
+    return F.when(start > 0, F.substr(inside, start + F.lit(len(folder)))).otherwise(
+        F.element_at(F.split(inside, "/"), -1)
+    )
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of all .csv files under ``path``, the extension in any case.
 
-    Columns: file, split (where the task's part of the file starts), place, line. Bytes that
-    are not UTF-8 become replacement characters.
+    Columns: path, source_file (the path below the folder, so that files of one name in two
+    folders stay apart), split (where the task's part of the file starts), place, line. Bytes
+    that are not UTF-8 become replacement characters.
     """
     reader = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.[cC][sS][vV]")
     return reader.option("recursiveFileLookup", "true").text(path).select(
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("source_file"),
+        _below(spark, path, F.col("_metadata.file_path")).alias("source_file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("place"),
         F.make_valid_utf8("value").alias("line"),
     )
 
 
-def read_records(lines: DataFrame) -> DataFrame:
+def read_records(lines: DataFrame, longest: int | None = None) -> DataFrame:
     """Whole records with their place in the file: path, source_file, source_row, record.
 
-    Blank lines are records, and a quoted line break does not start one.
+    Blank lines are records, and a quoted line break does not start one. A quote that is never
+    closed makes the rest of its file one record; ``longest``, in characters, refuses longer
+    ones by name of their file. Without it any record lands.
     """
     quoted = F.when(F.contains(F.col("line"), F.lit('"')), F.col("line"))
     seen = lines.withColumn("effect", _effects(quoted))
@@ -159,21 +183,17 @@ def read_records(lines: DataFrame) -> DataFrame:
     in_split = Window.partitionBy("path", "split").orderBy("place")
     begins = (_then(F.col("opening"), F.col("so_far")) == OUTSIDE).cast("int")
     upto = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen_chars, length = F.sum(F.length("line") + 1).over(upto), F.length("line") + 1
     numbered = (
         within.join(offsets, ["path", "split"])
         .withColumn("begins", begins)
         .withColumn("source_row", F.col("offset") + F.sum("begins").over(upto))
-        .withColumn("chars", seen_chars)
-        .withColumn("_start", F.when(F.col("begins") == 1, F.col("chars") - length))
-        .withColumn("held", F.col("chars") - F.coalesce(F.last("_start", True).over(upto), F.lit(0)))
-        .withColumn(
-            "line",
-            F.when(F.col("held") <= MAX_RECORD_CHARS, F.col("line")).otherwise(
-                F.raise_error(F.concat(F.lit("unclosed quote in "), "path"))
-            ),
-        )
     )
+    if longest is not None:
+        size = F.sum(F.length("line") + 1).over(Window.partitionBy("path", "source_row").orderBy("place"))
+        refuse = F.raise_error(F.concat(F.lit(f"a record of over {longest} characters in "), "path"))
+        numbered = numbered.withColumn("held", size).withColumn(
+            "line", F.when(F.col("held") <= longest + 1, F.col("line")).otherwise(refuse)
+        )
     pieces = F.array_sort(F.collect_list(F.struct("split", "place", "line")))
     return numbered.groupBy("path", "source_file", "source_row").agg(
         F.array_join(F.transform(pieces, lambda piece: piece["line"]), "\n").alias("record")
@@ -192,15 +212,18 @@ def _cell(name: str) -> Column:
     return F.when(from_end > 0, F.nullif(value, F.lit("")))
 
 
-def land_batches(spark: SparkSession, path: str) -> Batches:
+def land_batches(
+    spark: SparkSession, path: str, longest: int | None = None, strict: bool = True
+) -> Batches:
     """Parse every batch file under ``path`` onto the union of the known columns.
 
-    Raises when a file that is not empty has no name column. Header names keep their place
-    by name, so files may differ; row numbers count records with the header as row one.
+    A file with a header but no name column is refused: with ``strict`` nothing lands, without
+    it the other files do, and ``refused`` lists it with its headers. Header names keep their
+    place by name, so files may differ; row numbers count records with the header as row one.
     """
     cells = stage(
-        read_records(read_lines(spark, path)).select(
-            "path", "source_file", "source_row", _cells("record").alias("cells")
+        read_records(read_lines(spark, path), longest).select(
+            "path", "source_file", "source_row", _split_cells(F.col("record")).alias("cells")
         ),
         "batches",
     )
@@ -210,13 +233,13 @@ def land_batches(spark: SparkSession, path: str) -> Batches:
         ),
         "headers",
     )
-    nameless = headers.where(~F.array_contains("headers", NAME_COLUMN)).orderBy("path").first()
-    if nameless:
-        found = sorted(set(nameless.headers))
-        raise MissingNameColumnError(f"{nameless.path} has no {NAME_COLUMN} column, found {found}")
+    named = F.array_contains("headers", NAME_COLUMN)
+    refused = headers.where(~named).select("source_file", "headers")
+    if strict and (first := refused.orderBy("source_file").first()):
+        raise UnnamedBatches(f"no {NAME_COLUMN} among {first.headers} of {first.source_file}")
 
     filled = cells.where("source_row > 1").where(F.exists("cells", lambda cell: cell != ""))
-    rows = filled.join(headers.select("path", "headers"), "path").select(
+    rows = filled.join(headers.where(named).select("path", "headers"), "path").select(
         "source_file", "source_row", *[_cell(name).alias(name) for name in INPUT_COLUMNS]
     )
     unknown = (
@@ -224,4 +247,4 @@ def land_batches(spark: SparkSession, path: str) -> Batches:
         .where(~F.col("header").isin(*INPUT_COLUMNS))
         .distinct()
     )
-    return Batches(rows, unknown)
+    return Batches(rows, unknown, refused)

@@ -1,5 +1,3 @@
-import csv
-import io
 import json
 import random
 
@@ -13,7 +11,7 @@ from kinmart.sources.batches import (
     KEEP,
     OUTSIDE,
     SWAP,
-    MissingNameColumnError,
+    UnnamedBatches,
     land_batches,
     line_effect,
     read_lines,
@@ -22,9 +20,9 @@ from kinmart.sources.batches import (
 from kinmart.sources.records import MoleculeLayout, lookup_rows, molecule_tables
 
 STANDARD = (
-    "compound_id,compound_name,molecular_weight,logp,ic50_nm,assay_date,lab_id\n"
-    "CPD-001,Aspirin,180.16,1.19,2500.0,2024-01-15,LAB-A\n"
-    "CPD-002,Ibuprofen,206.28,3.97,1200.0,2024-01-15,LAB-A\n"
+    "lab_id,compound_name,logp,compound_id\n"
+    "North,Fenolan,0.75,K-7\n"
+    "South,Morbital,-1.2,K-8\n"
 )
 
 
@@ -35,21 +33,9 @@ def write(folder, **files):
     return str(folder)
 
 
-def plain_parse(text):
-    """Rows of one file as Python's reader gives them: (row number, cells by column)."""
-    reader = csv.reader(io.StringIO(text))
-    header = [h.lstrip("﻿").strip().lower() for h in next(reader, [])]
-    place = {name: index for index, name in enumerate(header)}
-    out = []
-    for number, cells in enumerate(reader, start=2):
-        if not any(cell.strip() for cell in cells):
-            continue
-        values = [
-            cells[place[c]].strip() if c in place and place[c] < len(cells) else ""
-            for c in INPUT_COLUMNS
-        ]
-        out.append((number, *[value or None for value in values]))
-    return out
+def row(number, **cells):
+    """One landed row: its number, then a cell for each known column."""
+    return (number, *[cells.get(name) for name in INPUT_COLUMNS])
 
 
 def landed(spark, path):
@@ -62,57 +48,117 @@ def landed(spark, path):
 
 
 CASES = {
-    "standard": STANDARD,
-    "no_logp": "compound_id,compound_name,lab_id\nCPD-043,,LAB-F\n",
-    "mixed": "COMPOUND_name , IC50_nM,collection_date\nEscitalopram,145.0,2024-01-25\n",
-    "blank_lines": STANDARD + "\n,,,,,,\nCPD-3,Last,1,2,3,4,5\n",
-    "unknown": "compound_name,mystery\nAspirin,x\n",
-    "marked": "﻿compound_name,lab_id\nAspirin,LAB-A\n",
-    "short": "compound_id,compound_name,lab_id\nCPD-1,Aspirin\n",
-    "long": "compound_name\nAspirin,extra,more\n",
-    "repeated": "compound_name,lab_id,compound_name\nfirst,LAB,second\n",
-    "windows": "compound_name,lab_id\r\nAspirin,A\r\n\"two\r\nlines\",B\r\n",
-    "no_last_break": "compound_name\nAspirin\nLast",
+    "standard": (
+        STANDARD,
+        [
+            row(2, lab_id="North", compound_name="Fenolan", logp="0.75", compound_id="K-7"),
+            row(3, lab_id="South", compound_name="Morbital", logp="-1.2", compound_id="K-8"),
+        ],
+    ),
+    "some_columns": ("compound_name,compound_id\n,K-1\n", [row(2, compound_id="K-1")]),
+    "mixed": (
+        " Compound_NAME ,IC50_nM,collection_date\n Salvone , 12 ,2019-05-03\n",
+        [row(2, compound_name="Salvone", ic50_nm="12", collection_date="2019-05-03")],
+    ),
+    "blank_lines": (
+        STANDARD + "\n , ,,\nWest,Tarine,3,K-9\n",
+        [
+            row(2, lab_id="North", compound_name="Fenolan", logp="0.75", compound_id="K-7"),
+            row(3, lab_id="South", compound_name="Morbital", logp="-1.2", compound_id="K-8"),
+            row(6, lab_id="West", compound_name="Tarine", logp="3", compound_id="K-9"),
+        ],
+    ),
+    "unknown": ("colour,compound_name\nred,Ilmenol\n", [row(2, compound_name="Ilmenol")]),
+    "marked": ("\ufeffcompound_name\nIlmenol\n", [row(2, compound_name="Ilmenol")]),
+    "short": ("lab_id,compound_name,logp\nEast,Ilmenol\n", [row(2, lab_id="East", compound_name="Ilmenol")]),
+    "long": ("compound_name\nIlmenol,more,cells\n", [row(2, compound_name="Ilmenol")]),
+    "repeated": (
+        "compound_name,lab_id,compound_name\nfirst,East,second\n",
+        [row(2, compound_name="second", lab_id="East")],
+    ),
+    "windows": (
+        'compound_name,lab_id\r\nIlmenol,A\r\n"on two\r\nlines",B\r\n',
+        [
+            row(2, compound_name="Ilmenol", lab_id="A"),
+            row(3, compound_name="on two\r\nlines", lab_id="B"),
+        ],
+    ),
+    "no_last_break": ("compound_name\nIlmenol\nEnd", [row(2, compound_name="Ilmenol"), row(3, compound_name="End")]),
     "quotes": (
         'compound_name,lab_id\n"a, b",1\n"say ""hi""",2\n5" pipe,3\n"one\ntwo\n\nthree",4\n'
-        'x,"y\n",\n"closed"tail,5\n"a"b"c,6\nlast,7\n'
+        'x,"y\n",\n"closed"tail,5\nlast,7\n',
+        [
+            row(2, compound_name="a, b", lab_id="1"),
+            row(3, compound_name='say "hi"', lab_id="2"),
+            row(4, compound_name='5" pipe', lab_id="3"),
+            row(5, compound_name="one\ntwo\n\nthree", lab_id="4"),
+            row(6, compound_name="x", lab_id="y"),
+            row(7, compound_name="closedtail", lab_id="5"),
+            row(8, compound_name="last", lab_id="7"),
+        ],
     ),
 }
 
 
-def test_every_case_lands_like_a_plain_reader(spark, tmp_path):
-    made, unknown = landed(spark, write(tmp_path, **CASES))
-    want = {f"{name}.csv": plain_parse(text) for name, text in CASES.items()}
-    want = {name: found for name, found in want.items() if found}
-    assert made == want
-    assert unknown == {("unknown.csv", "mystery")}
+def test_every_case_lands_as_written_out(spark, tmp_path):
+    files = {name: text for name, (text, _) in CASES.items()}
+    made, unknown = landed(spark, write(tmp_path, **files))
+    assert made == {f"{name}.csv": rows for name, (_, rows) in CASES.items()}
+    assert unknown == {("unknown.csv", "colour")}
+
+
+def test_files_of_one_name_in_two_folders_stay_apart(spark, tmp_path):
+    for folder, name in (("jan", "Ilmenol"), ("feb 1%", "Tarine")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.csv").write_text(f"compound_name\n{name}\n")
+    made, _ = landed(spark, str(tmp_path))
+    assert made == {
+        "jan/x.csv": [row(2, compound_name="Ilmenol")],
+        "feb 1%/x.csv": [row(2, compound_name="Tarine")],
+    }
+
+
+def test_a_field_may_be_long(spark, tmp_path):
+    name = "long, " * 200_000
+    made, _ = landed(spark, write(tmp_path, wide=f'compound_name,lab_id\n"{name}",A\n'))
+    assert made == {"wide.csv": [row(2, compound_name=name.strip(), lab_id="A")]}
 
 
 def test_empty_file_other_extension_and_bad_bytes(spark, tmp_path):
     (tmp_path / "notes.txt").write_text("compound_name\nno\n")
-    (tmp_path / "UP.CSV").write_bytes(b"compound_name\nAsp\xffirin\n")
+    (tmp_path / "UP.CSV").write_bytes(b"compound_name\nIlm\xffenol\n")
     write(tmp_path, empty="")
     made, _ = landed(spark, str(tmp_path))
-    assert set(made) == {"UP.CSV"} and made["UP.CSV"][0][2] == "Asp�irin"
+    assert set(made) == {"UP.CSV"} and made["UP.CSV"][0][2] == "Ilm�enol"
 
 
 def test_a_file_without_names_is_refused(spark, tmp_path):
-    path = write(tmp_path, good=STANDARD, nameless="compound_id,lab_id\nCPD-1,LAB-A\n")
-    with pytest.raises(MissingNameColumnError, match="nameless.csv .*compound_id"):
+    path = write(tmp_path, good=STANDARD, nameless="logp,lab_id\n1,North\n")
+    with pytest.raises(UnnamedBatches, match="lab_id.* of nameless.csv"):
         land_batches(spark, path)
+    made = land_batches(spark, path, strict=False)
+    assert [tuple(r) for r in made.refused.collect()] == [("nameless.csv", ["logp", "lab_id"])]
+    assert {r.source_file for r in made.rows.collect()} == {"good.csv"}
 
 
-def random_file(seed, lines):
-    """Well and badly formed lines that still parse."""
+def random_file(seed, n):
+    """A file of random records as text, and the rows it must land as."""
     rnd = random.Random(seed)
-    pieces = ["a", 'b"c', '"q"', '"two\nlines"', '"x ""y"" z"', "", '"a,b"', '"\n\n"', "é ü"]
-    body = "\n".join(",".join(rnd.choices(pieces, k=rnd.randint(0, 4))) for _ in range(lines))
-    return "compound_name,lab_id,logp\n" + body + "\n"
+    cells = {"a": "a", 'b"c': 'b"c', '"q"': "q", '"two\nlines"': "two\nlines", '"x ""y"" z"': 'x "y" z'}
+    cells |= {"": None, '"a,b"': "a,b", '"\n\n"': None, "é ü": "é ü"}
+    text, rows, columns = ["compound_name,lab_id,logp"], [], ("compound_name", "lab_id", "logp")
+    for number in range(2, n + 2):
+        picked = rnd.choices(list(cells), k=rnd.randint(0, 4))
+        text.append(",".join(picked))
+        values = {c: cells[x] for c, x in zip(columns, picked)}
+        if any(cells[x] for x in picked):
+            rows.append(row(number, **values))
+    return "\n".join(text) + "\n", rows
 
 
 def test_files_split_over_tasks_keep_their_row_numbers(spark, tmp_path):
     files = {f"f{seed}": random_file(seed, 120) for seed in range(4)}
-    path = write(tmp_path, **files)
+    path = write(tmp_path, **{name: text for name, (text, _) in files.items()})
     size, cost = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
     spark.conf.set(size, "300b")
     spark.conf.set(cost, "0")
@@ -122,14 +168,14 @@ def test_files_split_over_tasks_keep_their_row_numbers(spark, tmp_path):
     finally:
         spark.conf.unset(size)
         spark.conf.unset(cost)
-    assert made == {f"{name}.csv": plain_parse(text) for name, text in files.items()}
+    assert made == {f"{name}.csv": rows for name, (_, rows) in files.items()}
 
 
-def test_an_unclosed_quote_is_refused_before_it_swallows_the_file(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("kinmart.sources.batches.MAX_RECORD_CHARS", 200)
+def test_an_unclosed_quote_lands_or_is_refused_as_asked(spark, tmp_path):
     path = write(tmp_path, open="compound_name\n" + '"never closed\n' + "more text\n" * 50)
-    with pytest.raises(Exception, match="unclosed quote"):
-        land_batches(spark, path)
+    assert land_batches(spark, path).rows.count() == 1
+    with pytest.raises(Exception, match="over 200 characters"):
+        land_batches(spark, path, longest=200)
 
 
 def test_no_whole_file_in_one_row(spark, tmp_path):
