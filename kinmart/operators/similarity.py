@@ -30,12 +30,12 @@ _PAIRS_WORTH_MOVING = 20_000_000
 PAIR_DDL = "source_id string, target_id string, score double"
 
 
-class MissingFingerprintError(RuntimeError):
-    """A source cannot be scored, because the library holds no fingerprint for it."""
+class UnscorableSources(RuntimeError):
+    """Some sources are not in the library, so no score of theirs would be right."""
 
 
-class IncompleteLibraryError(RuntimeError):
-    """The library and its rejects do not add up to the items they were built from."""
+class LibraryMismatch(RuntimeError):
+    """Library, rejects and items disagree about what there is to score."""
 
 
 def missing_fingerprints(sources: DataFrame, library: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def require_fingerprints(sources: DataFrame, library: DataFrame) -> None:
     missing = missing_fingerprints(sources, library)
     named = [row[0] for row in missing.orderBy("source_id").limit(5).collect()]
     if named:
-        raise MissingFingerprintError(
+        raise UnscorableSources(
             f"{missing.count()} sources have no fingerprint: {', '.join(named)}"
         )
 
@@ -79,14 +79,14 @@ def require_complete(items: DataFrame, library: DataFrame, rejects: DataFrame) -
     """Raise when fingerprints and rejects do not add up to the items."""
     gap = library_gap(items, library, rejects).first()[0]
     if gap:
-        raise IncompleteLibraryError(f"the library is {gap:g} items away from complete")
+        raise LibraryMismatch(f"the library is {gap:g} items away from complete")
 
 
 def require_unique(library: DataFrame) -> None:
     """Raise when the library holds an identifier twice. Done once, when it is built."""
     repeated = repeated_ids(library).first()
     if repeated:
-        raise IncompleteLibraryError(f"the library holds {repeated[0]} more than once")
+        raise LibraryMismatch(f"the library holds {repeated[0]} more than once")
 
 
 @dataclass(frozen=True)

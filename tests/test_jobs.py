@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinmart import Settings
-from kinmart.operators.similarity import IncompleteLibraryError, MissingFingerprintError
+from kinmart.operators.similarity import LibraryMismatch, UnscorableSources
 from kinmart.plans import jobs
 from kinmart.plans import quality as q
 from kinmart.schemas import (
@@ -120,7 +120,7 @@ def test_a_source_without_fingerprint_stops_before_anything_is_replaced(spark, s
     before = store.current()
     stranger = store[q.SOURCES].limit(1).withColumn(KEY, F.lit("M99"))
     store.write(q.SOURCES, store[q.SOURCES].unionByName(stranger))
-    with pytest.raises(MissingFingerprintError, match="M99"):
+    with pytest.raises(UnscorableSources, match="M99"):
         jobs.build_mart(store, "run", SMALL)
     assert {t: store.current()[t] for t in (q.FACT, jobs.TOP, jobs.SCORES)} == {
         t: before[t] for t in (q.FACT, jobs.TOP, jobs.SCORES)
@@ -131,7 +131,7 @@ def test_a_stale_library_is_refused(store):
     build(store)
     extra = store[q.MOLECULES].limit(1).withColumn(KEY, F.lit("M98"))
     store.write(q.MOLECULES, store[q.MOLECULES].unionByName(extra))
-    with pytest.raises(IncompleteLibraryError):
+    with pytest.raises(LibraryMismatch):
         jobs.build_mart(store, "run", SMALL)
 
 

@@ -8,8 +8,8 @@ from kinmart import Settings
 from kinmart.functions.bits import tanimoto
 from kinmart.operators.ranking import top_matches
 from kinmart.operators.similarity import (
-    IncompleteLibraryError,
-    MissingFingerprintError,
+    LibraryMismatch,
+    UnscorableSources,
     missing_fingerprints,
     require_complete,
     require_fingerprints,
@@ -124,7 +124,7 @@ def test_missing_sources_are_named_first_five(spark):
     held = library(spark, {"A": {1}})
     wanted = ids(spark, "A", *[f"M{n}" for n in range(7)])
     assert missing_fingerprints(wanted, held).count() == 7
-    with pytest.raises(MissingFingerprintError, match="7 sources .*: M0, M1, M2, M3, M4$"):
+    with pytest.raises(UnscorableSources, match="7 sources .*: M0, M1, M2, M3, M4$"):
         require_fingerprints(wanted, held)
     require_fingerprints(ids(spark, "A"), held)
 
@@ -134,10 +134,10 @@ def test_library_must_be_complete(spark):
     items = spark.createDataFrame([("A",), ("B",), ("C",)], "item_id string")
     rejects = items.where("item_id = 'C'")
     require_complete(items, held, rejects)
-    with pytest.raises(IncompleteLibraryError, match="1 items"):
+    with pytest.raises(LibraryMismatch, match="1 items"):
         require_complete(items, held, rejects.limit(0))
     doubled = held.unionAll(held.where("item_id = 'A'"))
-    with pytest.raises(IncompleteLibraryError, match="A more than once"):
+    with pytest.raises(LibraryMismatch, match="A more than once"):
         require_unique(doubled)
     require_unique(held)
 
