@@ -248,8 +248,8 @@ DRAFT_DIM = Role(
     "part",
     (
         f"{padded('M', 'p_partkey + 20')} AS molecule_id",
-        "CASE WHEN p_size > 10 THEN CAST(p_size AS DECIMAL(20,8)) END AS alogp",
-        "CASE WHEN p_size > 45 THEN CAST(1 AS DECIMAL(20,8)) END AS cx_logp",
+        "CASE WHEN p_size > 10 THEN CAST(p_size AS DECIMAL(28,8)) END AS alogp",
+        "CASE WHEN p_size > 45 THEN CAST(1 AS DECIMAL(28,8)) END AS cx_logp",
         "CASE p_brand WHEN 'Brand#17' THEN 'ACID' END AS molecular_species",
     ),
 )

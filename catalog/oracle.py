@@ -7,6 +7,7 @@ scores start from all pairs, ranks come from plain windows over everything.
 from __future__ import annotations
 
 from catalog import inputs
+from kinmart import schemas
 
 ORACLES: dict[str, str] = {}
 
@@ -22,7 +23,7 @@ def rows_of(name: str, role: inputs.Role) -> str:
 _PLAIN_NUMBER = r"^\s*-?\d+(\.\d+)?([eE][-+]?\d+)?\s*$"
 
 
-def safe(column: str, kind: str = "DECIMAL(20,8)") -> str:
+def safe(column: str, kind: str = "DECIMAL(28,8)") -> str:
     return (
         f"CASE WHEN regexp_matches({column}, '{_PLAIN_NUMBER}') "
         f"THEN TRY_CAST(trim({column}) AS {kind}) END"
@@ -39,6 +40,17 @@ def avg12(column: str, digits: int = 8) -> str:
 
 # Landing
 
+
+def absent(layout, *delivered: str) -> str:
+    """The columns of a layout that the records don't deliver, as nulls."""
+    kinds = {"string": "VARCHAR", "int": "INT", "boolean": "BOOLEAN"}
+    return ", ".join(
+        f"CAST(NULL AS {kinds[f.dataType.simpleString()]}) AS {f.name}"
+        for f in layout
+        if f.name not in delivered
+    )
+
+
 ORACLES["land_lookup"] = """
 SELECT c_name AS molecule_id, c_mktsegment AS entity_type, CAST(NULL AS BIGINT) AS entity_id,
        c_nationkey AS last_active, concat('/x/', c_custkey) AS resource_url,
@@ -50,22 +62,26 @@ ORACLES["land_dictionary"] = """
 SELECT concat('E', event_id) AS molecule_id, event_type AS pref_name,
        concat(user_id, '.0') AS max_phase, CAST(user_id AS INT) AS first_approval,
        CASE WHEN user_id < 50 THEN true WHEN user_id < 100 THEN false END AS oral,
-       CAST(NULL AS VARCHAR) AS usan_stem
+       {rest}
 FROM events WHERE event_type <> 'error'
-"""
+""".replace("{rest}", absent(
+    schemas.MOLECULE_DICTIONARY, "molecule_id", "pref_name", "max_phase", "first_approval", "oral"))
 
 ORACLES["land_properties"] = """
 SELECT concat('E', event_id) AS molecule_id,
-       CASE event_type WHEN 'purchase' THEN '1.310' END AS alogp, CAST(NULL AS VARCHAR) AS psa,
-       CASE event_type WHEN 'purchase' THEN CAST(user_id AS INT) END AS heavy_atoms
+       CASE event_type WHEN 'purchase' THEN '1.310' END AS alogp,
+       CASE event_type WHEN 'purchase' THEN CAST(user_id AS INT) END AS heavy_atoms,
+       {rest}
 FROM events WHERE event_type IN ('purchase', 'signup')
-"""
+""".replace("{rest}", absent(
+    schemas.COMPOUND_PROPERTIES, "molecule_id", "alogp", "heavy_atoms"))
 
 ORACLES["land_structures"] = """
 SELECT concat('E', event_id) AS molecule_id, concat('C', event_id) AS canonical_smiles,
-       concat('a', chr(10), 'b') AS molfile
+       concat('a', chr(10), 'b') AS molfile, {rest}
 FROM events WHERE event_type = 'purchase'
-"""
+""".replace("{rest}", absent(
+    schemas.COMPOUND_STRUCTURES, "molecule_id", "canonical_smiles", "molfile"))
 
 _WHOLE = "CAST(round({}, 0) AS {})"
 
@@ -124,7 +140,14 @@ SELECT CASE WHEN p_size < 17 THEN CAST(p_partkey AS VARCHAR) END AS compound_id,
        CASE WHEN p_size >= 17 AND p_size < 34 THEN CAST(p_size AS VARCHAR) END AS ic50_nm,
        CAST(NULL AS VARCHAR) AS assay_date,
        CASE WHEN p_size >= 34 AND p_size <= 45 THEN '2024-01-25' END AS collection_date,
-       CASE WHEN p_size < 34 THEN p_brand END AS lab_id
+       CASE WHEN p_size < 34 THEN p_brand END AS lab_id,
+       CASE WHEN p_size < 17 THEN 'a' WHEN p_size < 34 THEN 'b' ELSE 'c' END AS source_file
+FROM part
+"""
+
+ORACLES["csv_refused"] = """
+SELECT 'bad' AS folder, 's_suppkey,s_name,s_nationkey,s_acctbal' AS headers,
+       count(*) AS landed_rows
 FROM part
 """
 
@@ -162,7 +185,7 @@ MOLECULES = (
            {", ".join(f"{safe(f'p.{n}')} AS {n}" for n in _NUMBERS)},
            {", ".join(f"p.{n}" for n in _COUNTS)},
            CASE upper(p.ro3_pass) WHEN 'Y' THEN true WHEN 'N' THEN false END AS ro3_pass,
-           CAST(NULL AS DECIMAL(20,8)) AS cx_logp, CAST(NULL AS VARCHAR) AS molecular_species
+           CAST(NULL AS DECIMAL(28,8)) AS cx_logp, CAST(NULL AS VARCHAR) AS molecular_species
     FROM structures s JOIN dictionary d USING (molecule_id)
     LEFT JOIN properties p USING (molecule_id)
     WHERE s.canonical_smiles IS NOT NULL)""",
@@ -806,3 +829,26 @@ ORACLES["stream_watermark"] = """
 SELECT 'r1' AS release, count(*) AS next_offset, count(*) AS total_count, true AS is_complete
 FROM events
 """
+
+ORACLES["stream_restart"] = """
+WITH sizes AS (
+    SELECT count(*) FILTER (WHERE event_id // 250 % 2 = 0) AS even,
+           count(*) FILTER (WHERE event_id // 250 % 2 = 1) AS odd,
+           count(*) FILTER (WHERE event_type = 'purchase') AS newer
+    FROM events),
+newest AS (
+    SELECT DISTINCT ON (user_id) user_id, event_type, event_id FROM events
+    ORDER BY user_id, event_type = 'purchase' DESC, event_id DESC)
+SELECT concat('U', user_id) AS molecule_id, event_type AS pref_name,
+       CAST(event_id AS INT) AS first_approval, false AS complete_early, true AS complete_late,
+       concat_ws(',', even, odd, 0, newer, newer) AS landed
+FROM newest, sizes
+"""
+
+ORACLES["stream_no_offset"] = """
+SELECT concat('U', user_id) AS molecule_id,
+       count(*) FILTER (WHERE event_id % 2 = 0 AND event_type = 'click') > 0 AS renewed
+FROM events
+GROUP BY user_id
+HAVING count(*) FILTER (WHERE event_id % 2 = 1 OR event_type = 'click') > 0
+"""

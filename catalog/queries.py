@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,20 +66,17 @@ def land_lookup(spark, sf_dir):
 
 @query
 def land_dictionary(spark, sf_dir):
-    made = records.molecule_tables(event_records(spark, sf_dir)).dictionary
-    return made.select(KEY, "pref_name", "max_phase", "first_approval", "oral", "usan_stem")
+    return records.molecule_tables(event_records(spark, sf_dir)).dictionary
 
 
 @query
 def land_properties(spark, sf_dir):
-    made = records.molecule_tables(event_records(spark, sf_dir)).properties
-    return made.select(KEY, "alogp", "psa", "heavy_atoms")
+    return records.molecule_tables(event_records(spark, sf_dir)).properties
 
 
 @query
 def land_structures(spark, sf_dir):
-    made = records.molecule_tables(event_records(spark, sf_dir)).structures
-    return made.select(KEY, "canonical_smiles", "molfile")
+    return records.molecule_tables(event_records(spark, sf_dir)).structures
 
 
 @query
@@ -141,7 +138,22 @@ def batch_files(spark: SparkSession, sf_dir: str) -> str:
 @query
 def land_csv(spark, sf_dir):
     landed = batches.land_batches(spark, batch_files(spark, sf_dir)).rows
-    return landed.drop("source_file", "source_row")
+    layout = F.split("source_file", "/")[0]
+    return landed.drop("source_row").withColumn("source_file", layout)
+
+
+@query
+def csv_refused(spark, sf_dir):
+    """Files without a name column: the supplier table written out as it is."""
+    path = new_dir(spark, "nameless")
+    named = table(spark, sf_dir, "part").select(F.col("p_name").alias("compound_name"))
+    named.write.option("header", True).csv(f"{path}/good")
+    table(spark, sf_dir, "supplier").coalesce(1).write.option("header", True).csv(f"{path}/bad")
+    landed = batches.land_batches(spark, path, strict=False)
+    rows = landed.rows.agg(F.count("*").alias("landed_rows"))
+    headers = F.array_join("headers", ",").alias("headers")
+    folder = F.split("source_file", "/")[0].alias("folder")
+    return landed.refused.select(folder, headers).withColumn("landed_rows", rows.scalar())
 
 
 @query
@@ -611,10 +623,21 @@ def upsert_latest(spark, sf_dir):
 PAGE_ROWS = 250
 
 
-def event_pages(spark: SparkSession, sf_dir: str) -> str:
-    """Events as pages of JSON records, one page a line, over several files."""
+def event_pages(
+    spark: SparkSession,
+    sf_dir: str,
+    path: str | None = None,
+    pages: Column | None = None,
+    kinds: Column | None = None,
+    offsets: bool = True,
+) -> str:
+    """Events as pages of JSON records, one page a line, over several files.
+
+    ``pages`` picks pages by number, ``kinds`` events. Pages may state no offset.
+    """
     events = table(spark, sf_dir, "events")
     total = events.count()
+    events = events.where(kinds) if kinds is not None else events
     record = F.struct(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias(KEY),
         F.col("event_type").alias("pref_name"),
@@ -623,11 +646,14 @@ def event_pages(spark: SparkSession, sf_dir: str) -> str:
     page = F.floor(F.col("event_id") / PAGE_ROWS).alias("page")
     rows = F.array_sort(F.collect_list(F.struct("event_id", record.alias("record"))))
     paged = events.groupBy(page).agg(F.transform(rows, lambda row: row["record"]).alias("molecules"))
-    meta = F.struct((F.col("page") * PAGE_ROWS).alias("offset"), F.lit(total).alias("total_count"))
-    path = new_dir(spark, "pages")
+    total_count = F.lit(total).alias("total_count")
+    offset = (F.col("page") * PAGE_ROWS).alias("offset")
+    meta = F.struct(offset, total_count) if offsets else F.struct(total_count)
+    path = path or new_dir(spark, "pages")
+    paged = paged.where(pages) if pages is not None else paged
     paged.repartition(12, "page").select(
         F.to_json(F.struct("molecules", meta.alias("page_meta")))
-    ).write.text(path)
+    ).write.mode("append").text(path)
     return path
 
 
@@ -649,3 +675,56 @@ def stream_watermark(spark, sf_dir):
     return landing.progress("molecule").select(
         "release", F.col("records").alias("next_offset"), "total_count", "is_complete"
     )
+
+
+def land_pages(landing: ingest.Landing, pages: str, release_name: str, force: bool = False) -> int:
+    return landing.ingest(
+        ingest.MOLECULE, pages, release_name, force=force, whole_files=False, timeout=600
+    )
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """Even pages, the first of them twice, then the late ones; a new release, and it again.
+
+    Beside the newest row of each key: whether the release was complete before and after the
+    late pages, and how many records each step landed.
+    """
+    landing = ingest.Landing(spark, new_dir(spark, "landing"))
+    even = F.col("page") % 2 == 0
+    pages = event_pages(spark, sf_dir, pages=even)
+    event_pages(spark, sf_dir, pages, F.col("page") == 0)
+    steps = [land_pages(landing, pages, "r1")]
+    early = landing.watermark("molecule").is_complete
+    event_pages(spark, sf_dir, pages, ~even)
+    steps.append(land_pages(landing, pages, "r1"))
+    late = landing.watermark("molecule").is_complete
+    steps.append(land_pages(landing, pages, "r1"))
+    newer = event_pages(spark, sf_dir, kinds=F.col("event_type") == "purchase")
+    steps.append(land_pages(landing, newer, "r2"))
+    steps.append(land_pages(landing, newer, "r2", force=True))
+    rows = landing.table("molecule_dictionary").select(KEY, "pref_name", "first_approval")
+    return rows.select(
+        "*",
+        F.lit(early).alias("complete_early"),
+        F.lit(late).alias("complete_late"),
+        F.lit(",".join(map(str, steps))).alias("landed"),
+    )
+
+
+@query
+def stream_no_offset(spark, sf_dir):
+    """Pages that state no offset: what came in a later run is newer, whatever its place.
+
+    Odd events land first, even clicks in a second run; a key is renewed if its row is of the
+    second.
+    """
+    landing = ingest.Landing(spark, new_dir(spark, "landing"))
+    odd = F.col("event_id") % 2 == 1
+    pages = event_pages(spark, sf_dir, kinds=odd, offsets=False)
+    land_pages(landing, pages, "r1")
+    clicks = ~odd & (F.col("event_type") == "click")
+    event_pages(spark, sf_dir, pages, kinds=clicks, offsets=False)
+    land_pages(landing, pages, "r1")
+    rows = landing.table("molecule_dictionary")
+    return rows.select(KEY, (F.col("first_approval") % 2 == 0).alias("renewed"))

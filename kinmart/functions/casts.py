@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 PLAIN_NUMBER = r"^\s*-?\d+(\.\d+)?([eE][-+]?\d+)?\s*$"
 
 
-def safe_decimal(text: Column, kind: str = "decimal(20,8)") -> Column:
+def safe_decimal(text: Column, kind: str = "decimal(28,8)") -> Column:
     """A decimal when ``text`` is a plain number that fits ``kind``, else null. Never raises."""
     return F.when(text.rlike(PLAIN_NUMBER), text.try_cast(kind))
 
@@ -18,8 +18,8 @@ def register_safe_numeric(spark: SparkSession, name: str = "safe_numeric") -> No
     """Make the same cast callable from SQL text in this session."""
     pattern = PLAIN_NUMBER.replace("\\", "\\\\")
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) RETURNS DECIMAL(20,8) "
-        f"RETURN CASE WHEN value RLIKE '{pattern}' THEN try_cast(value AS DECIMAL(20,8)) END"
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) RETURNS DECIMAL(28,8) "
+        f"RETURN CASE WHEN value RLIKE '{pattern}' THEN try_cast(value AS DECIMAL(28,8)) END"
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 KEY = "molecule_id"
 
-DECIMAL = T.DecimalType(20, 8)
+DECIMAL = T.DecimalType(28, 8)
 PHASE = T.DecimalType(3, 1)
 SCORE = T.DecimalType(9, 8)
 

@@ -140,3 +140,14 @@ def test_most_rows_may_share_one_name(spark, rows):
     assert made.count() == 301
     assert rows(made.select("input_compound_id").distinct()) == [("1",), ("2",)]
     assert rejected_rows(library, given).count() == 1667
+
+
+def test_numbers_of_many_digits_keep_their_value(spark):
+    texts = ["123456789012345678.5", "-99999999999999999999.12345678", "123456789012345678901"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    made = [r[0] for r in frame.select(safe_decimal(F.col("t"))).collect()]
+    assert [None if v is None else format(v, "f") for v in made] == [
+        "123456789012345678.50000000",
+        "-99999999999999999999.12345678",
+        None,
+    ]
