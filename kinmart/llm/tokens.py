@@ -10,52 +10,94 @@ library works on new units only. Any other text goes to the library whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
 from functools import lru_cache
 
 UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-OTHER_SPACE = re.compile(r"[^\S \n]")
-KEPT_UNITS = 250_000
+#: White space of Unicode and of Python, but for space and line feed (fixed values).
+OTHER_SPACE = (
+    "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004"
+    "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
+BLANK_RUNS = ("  ", " \n", "\n ", "\n\n")
+KEPT_UNITS = 400_000
 
 
 class UnitIds(dict):
-    """Unit to its ids as little-endian unsigned 32-bit bytes; two generations bound its size."""
+    """Unit to its ids as little-endian unsigned 32-bit bytes; two generations bound its size.
 
-    def __init__(self, tokenizer, kept: int = KEPT_UNITS):
-        super().__init__()
-        self.tokenizer, self.kept, self.older = tokenizer, kept, {}
-        self.marks = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    ``before`` is put before each unit when it is encoded, so that words can be looked up
+    without the blank they come with.
+    """
 
-    def whole(self, text: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return ids.tobytes()
+    def __init__(self, tokenizer, before: str = "", kept: int = KEPT_UNITS):
+        super().__init__()
+        self.tokenizer, self.before, self.kept, self.older = tokenizer, before, kept, {}
 
     def __missing__(self, unit: str) -> bytes:
         found = self.older.get(unit)
         if found is None:
-            found = self.whole(unit)
+            found = ids_of(self.tokenizer, self.before + unit)
         if len(self) >= self.kept:
             self.older = dict(self)
             self.clear()
         self[unit] = found
         return found
 
+
+def ids_of(tokenizer, text: str) -> bytes:
+    return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class Encoder:
+    """Whole texts to ids, 4 bytes each."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer = tokenizer
+        self.marks = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        self.lowers = "Lowercase" in json.dumps(json.loads(tokenizer.to_str())["normalizer"])
+        blank = [ids_of(tokenizer, text) for text in ("a b", "\n a\n\n b ")]
+        self.blanks_vanish = blank[0] == blank[1]
+        self.words = UnitIds(tokenizer)
+        self.spaced = UnitIds(tokenizer, " ")
+        self.lined = UnitIds(tokenizer, "\n", KEPT_UNITS // 4)
+
     def encode(self, text: str) -> bytes:
-        """Ids of the whole text, 4 bytes each."""
-        if OTHER_SPACE.search(text) or any(mark in text for mark in self.marks):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, UNIT.findall(text)))
+        if any(c in text for c in OTHER_SPACE) or any(mark in text for mark in self.marks):
+            return ids_of(self.tokenizer, text)
+        if self.blanks_vanish:
+            # Lower-casing ahead of the tokenizer is the same for these letters, and only these.
+            plain = text.isascii() or is_latin(text)
+            units = (text.lower() if self.lowers and plain else text).split()
+            return b"".join(map(self.words.__getitem__, units))
+        if any(run in text for run in BLANK_RUNS) or text != text.strip(" \n"):
+            return b"".join(map(self.words.__getitem__, UNIT.findall(text)))
+        parts = []
+        for line in text.split("\n"):
+            first, *others = line.split(" ")
+            parts.append(self.lined[first] if parts else self.words[first])
+            parts.extend(map(self.spaced.__getitem__, others))
+        return b"".join(parts)
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> UnitIds:
+def encoder(path: str) -> Encoder:
     """One encoder for each tokenizer file in a worker; it outlives a task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return UnitIds(Tokenizer.from_file(path))
+    return Encoder(Tokenizer.from_file(path))
 
 
 @lru_cache(maxsize=4)
