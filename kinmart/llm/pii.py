@@ -42,6 +42,8 @@ WORD = re.compile(r"[^\s\"'(),;<>=|]+")
 MARKED = re.compile(r"[0-9@]")
 LOOSE_ENDS = ".,:;!?#*$%&-"
 FEATURES = 12
+#: Pairs of equal labels that skip edges start from: copies of a token agree unless shown not to.
+PRIOR_AGREEING = 10.0
 BUCKETS = 1 << 14
 Span = tuple[int, int, int]
 
@@ -160,7 +162,7 @@ def graph_of(text: str, base: list[Span]) -> Graph:
             chain.append((at - 1, at))
         same = re.sub(r"[^0-9a-z@]", "", low)
         for key in {"=" + same, "~" + same[-8:]} if len(same) >= 6 else ():
-            if key in seen and seen[key] != at - 1:
+            if key in seen and (seen[key], at) not in (chain[-1:] + skip[-1:]):
                 skip.append((seen[key], at))
             seen[key] = at
     return Graph(
@@ -297,7 +299,7 @@ def fit(
     pots = []
     for kind in (0, 1):
         some = held[held["edge"] == kind]
-        counts = np.full((n, n), 0.5)
+        counts = np.full((n, n), 0.5) + kind * PRIOR_AGREEING * np.eye(n)
         np.add.at(counts, (some["before"].to_numpy(), some["label"].to_numpy()), 1.0)
         counts = counts + counts.T
         share = counts / counts.sum()
