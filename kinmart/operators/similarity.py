@@ -98,8 +98,13 @@ class SourcePass:
     counts: np.ndarray
 
 
-def source_passes(sources: DataFrame, library: DataFrame, settings: Settings) -> list[SourcePass]:
-    """Look the sources up in the library and split them into passes of a bounded size."""
+def source_passes(
+    sources: DataFrame, library: DataFrame, settings: Settings
+) -> Iterator[SourcePass]:
+    """Look the sources up in the library and give them pass by pass, each of a bounded size.
+
+    Only the pass in hand is on the driver; it is fetched as Arrow, not as rows.
+    """
     found = stage(
         library.join(
             sources.select(F.col("source_id").alias("item_id")).distinct(), "item_id", "left_semi"
@@ -110,16 +115,16 @@ def source_passes(sources: DataFrame, library: DataFrame, settings: Settings) ->
     if found.count() <= limit:
         parts = [found]
     else:
-        bounds = shard_plan(found, "item_id", limit, partitions=8).orderBy("shard").collect()
-        parts = [found.where(in_range(F.col("item_id"), b.first_id, b.next_id)) for b in bounds]
-    passes = []
+        tasks = scan_tasks(found) + 1
+        bounds = shard_plan(found, "item_id", limit, partitions=tasks).orderBy("shard").collect()
+        parts = (found.where(in_range(F.col("item_id"), b.first_id, b.next_id)) for b in bounds)
     for part in parts:
-        rows = part.orderBy("item_id").collect()
-        if rows:
-            words = np.array([row.fp for row in rows], dtype=np.int64).view(np.uint64)
-            counts = np.array([row.pc for row in rows], dtype=np.int32)
-            passes.append(SourcePass(tuple(row.item_id for row in rows), words, counts))
-    return passes
+        rows = part.orderBy("item_id").toArrow()
+        if rows.num_rows:
+            words = pc.list_flatten(rows.column("fp")).to_numpy().reshape(rows.num_rows, -1)
+            counts = rows.column("pc").to_numpy().astype(np.int32)
+            ids = tuple(rows.column("item_id").to_pylist())
+            yield SourcePass(ids, words.astype(np.int64).view(np.uint64), counts)
 
 
 def _broadcast(library: DataFrame, sources: SourcePass) -> Broadcast:
@@ -189,7 +194,7 @@ def score_table(
     library: DataFrame, sources: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Every source against every library item, itself included: source, target, score."""
-    passes = source_passes(sources, library, settings)
+    passes = list(source_passes(sources, library, settings))
     if not passes:
         return library.sparkSession.createDataFrame([], PAIR_DDL)
     rows = _shared_out(library, passes)
@@ -219,9 +224,7 @@ class _Best:
         self.rows = sorted([*self.rows, *named])[: self.size]
 
 
-def _best_pass(library: DataFrame, sources: SourcePass, keep: int) -> DataFrame:
-    shared = _broadcast(library, sources)
-
+def _best_pass(library: DataFrame, shared: Broadcast, keep: int) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = SourcePass(*shared.value)
         names = pa.array(held.ids, pa.string())
@@ -257,17 +260,25 @@ def search(
 
     Each task keeps the best N+1 rows per source while it streams its share of the library,
     so what is shuffled is tasks x sources x (N+1) rows whatever the library holds. The
-    extra row is what tells whether the boundary is tied.
+    extra row is what tells whether the boundary is tied. Passes share no source, so each is
+    ranked on its own; of several, each is run and staged and its broadcast dropped before the
+    next begins, so the driver and the executors hold one pass at a time.
     """
     n = top_n or settings.top_n
-    passes = source_passes(sources, library, settings)
-    if not passes:
-        empty = library.sparkSession.createDataFrame([], PAIR_DDL)
-        return top_matches(empty, n)
-    rows = _shared_out(library, passes)
-    best = [_best_pass(rows, held, n + 1) for held in passes]
     fan_in = math.isqrt(max(1, scan_tasks(library) // 64))
-    return top_matches(reduce(DataFrame.unionAll, best), n, fan_in)
+    ranked, passes = [], source_passes(sources, library, settings)
+    held = next(passes, None)
+    while held is not None:
+        rows, shared = _shared_out(library, [held]), _broadcast(library, held)
+        top = top_matches(_best_pass(rows, shared, n + 1), n, fan_in)
+        held = next(passes, None)
+        if held is not None or ranked:
+            top = stage(top, "pass")
+            shared.destroy()
+        ranked.append(top)
+    if not ranked:
+        return top_matches(library.sparkSession.createDataFrame([], PAIR_DDL), n)
+    return reduce(DataFrame.unionAll, ranked)
 
 
 def search_summary(top: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ A layer becomes current only after its gate has passed; its results are recorded
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from functools import wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from kinmart.schemas import KEY, QUALITY_CHECK, WATERMARK
 from kinmart.sources import batches, release
 from kinmart.sources.store import TableStore, Transaction
 from kinmart.streaming.ingest import Landing, Resource
+from kinmart.workspace import scratch, stage
 
 LIBRARY = "silver.fingerprint"
 LIBRARY_REJECTS = "silver.fingerprint_rejected"
@@ -40,6 +42,18 @@ HISTORY = "_history/quality_check"
 WATERMARK_TABLE = "meta.ingest_watermark"
 
 
+def tidy(job: Callable) -> Callable:
+    """Remove what a job has staged when it ends; a table it returns stays."""
+
+    @wraps(job)
+    def run(*args, **kwargs):
+        with scratch() as held:
+            made = job(*args, **kwargs)
+            return held.keep(made) if hasattr(made, "staged_at") else made
+
+    return run
+
+
 def quality_history(store: TableStore) -> DataFrame:
     """Every recorded check result."""
     stamp = T.StructField("checked_at", T.TimestampType())
@@ -75,6 +89,7 @@ def _gate(store: TableStore, work: Transaction, run_id: str, layer: str, s: Sett
     return q.run_gate(run_id, work, record, (layer,), s)
 
 
+@tidy
 def drain_release(
     store: TableStore,
     release_name: str,
@@ -106,6 +121,7 @@ def drain_release(
     return counts
 
 
+@tidy
 def publish_landed(store: TableStore, landing: Landing, resources: Iterable[Resource]) -> None:
     """Tables a landing folder holds become the current bronze tables, together."""
     with store.transaction() as work:
@@ -114,13 +130,15 @@ def publish_landed(store: TableStore, landing: Landing, resources: Iterable[Reso
                 work.write(f"bronze.{name}", landing.table(name))
 
 
+@tidy
 def land_inputs(store: TableStore, path: str) -> DataFrame:
     """Batch files under ``path`` replace the input rows; returns unknown headers."""
     landed = batches.land_batches(store.spark, path)
     store.write(q.INPUTS, landed.rows)
-    return landed.unknown_headers
+    return stage(landed.unknown_headers, "unknown-headers")
 
 
+@tidy
 def build_silver(store: TableStore, run_id: str, settings: Settings = Settings()) -> DataFrame:
     """Bronze tables to silver molecules."""
     with store.transaction() as work:
@@ -129,6 +147,7 @@ def build_silver(store: TableStore, run_id: str, settings: Settings = Settings()
         return _gate(store, work, run_id, "silver", settings)
 
 
+@tidy
 def build_sources(store: TableStore, run_id: str, settings: Settings = Settings()) -> DataFrame:
     """Input rows to the source set and the rejected rows."""
     with store.transaction() as work:
@@ -138,6 +157,7 @@ def build_sources(store: TableStore, run_id: str, settings: Settings = Settings(
         return _gate(store, work, run_id, "source", settings)
 
 
+@tidy
 def build_library(
     store: TableStore, settings: Settings = Settings(), features: str = "ngrams"
 ) -> int:
@@ -154,10 +174,11 @@ def build_library(
         return rows
 
 
+@tidy
 def build_mart(
-    store: TableStore, run_id: str, settings: Settings = Settings(), archive: bool = True
+    store: TableStore, run_id: str, settings: Settings = Settings(), archive: bool = False
 ) -> DataFrame:
-    """Score the source set, keep the score tables, load dimension and fact."""
+    """Score the source set, load dimension and fact; with ``archive`` keep every score too."""
     with store.transaction() as work:
         library = work[LIBRARY]
         sources = work[q.SOURCES].select(F.col(KEY).alias("source_id"))

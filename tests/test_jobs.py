@@ -17,6 +17,7 @@ from kinmart.schemas import (
 )
 from kinmart.sources.store import TableStore
 from kinmart.streaming.ingest import MOLECULE, Landing
+from kinmart.workspace import shared_dir
 
 SMALL = Settings(n_bits=256, top_n=3, target_size=4, pivot_sources=2, shard_size=10)
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
@@ -69,7 +70,7 @@ def build(store):
     jobs.build_silver(store, "run", SMALL)
     jobs.build_sources(store, "run", SMALL)
     jobs.build_library(store, SMALL)
-    return jobs.build_mart(store, "run", SMALL)
+    return jobs.build_mart(store, "run", SMALL, archive=True)
 
 
 def test_from_bronze_to_views(spark, store, rows):
@@ -89,6 +90,22 @@ def test_from_bronze_to_views(spark, store, rows):
     assert {t: rows(store[t]) for t in before} == before
 
 
+def staged(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {str(x.getPath().getName()) for x in files.listStatus(path)} if files.exists(path) else set()
+
+
+def test_a_job_leaves_nothing_staged_but_what_it_returns(spark, store):
+    jobs.build_silver(store, "run", SMALL)
+    before = staged(spark)
+    results = jobs.build_sources(store, "run", SMALL)
+    left = staged(spark) - before
+    assert len(left) == 1 and results.staged_at.endswith(left.pop())
+    jobs.build_library(store, SMALL)
+    assert staged(spark) - before == {results.staged_at.rpartition("/")[2]}
+
+
 def test_a_failed_gate_records_and_publishes_nothing(spark, store):
     jobs.build_silver(store, "run-1", SMALL)
     before = store.current()[q.MOLECULES]
