@@ -245,7 +245,8 @@ def candidate_sets(
     rows = docs.select(
         F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")
     )
-    met = rows.join(wanted, rows["id"].eqNullSafe(wanted["doc_id"]))
+    # Texts always travel by id here: what is wanted grows with the corpus.
+    met = rows.join(wanted.hint("merge"), rows["id"].eqNullSafe(wanted["doc_id"]))
     made = met.select("node", "s1", "s2", "text")
     return stage(made.mapInArrow(make, "node long, vals binary, bands binary"), "dup-sets")
 
@@ -343,7 +344,7 @@ def near_duplicates(
     rows = bucket_rows(distinct)
     shared = rows.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n"))
     shared = stage(shared.where("n > 1").select("key", "centre"), "dup-shared")
-    buckets = stage(rows.join(shared, "key"), "dup-buckets")
+    buckets = stage(rows.join(shared.hint("merge"), "key"), "dup-buckets")
     wanted = filled.join(buckets.select("node").distinct(), "node", "left_semi")
     wanted = stage(wanted.select("node", "doc_id", "s1", "s2"), "dup-wanted")
     sets = candidate_sets(docs, wanted, job, doc_id, text)
