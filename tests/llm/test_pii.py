@@ -109,6 +109,34 @@ def test_skip_edges_carry_a_label_to_distant_copies():
     assert without[1].max() < 0.3
 
 
+def test_evidence_reaches_the_last_of_many_copies():
+    """Given away once, a token is found in all of its 50 copies, and exactly as a chain says."""
+    n, copies = len(pii.LABELS), 50
+    agree = np.full((n, n), -4.0) + 8.0 * np.eye(n)
+    token = "k3y-77-xyzzy"
+    text = " and some words between ".join([token] * copies)
+    graph = pii.graph_of(text, [(3, 0, len(token))])
+    assert graph.skip == [(k, k + 1) for k in range(copies - 1)] and not graph.chain
+    flat = np.zeros((n, n))
+    got = pii.SkipChain(np.zeros((pii.BUCKETS, n)), flat, agree).beliefs([graph])
+    step = np.exp(agree) / np.exp(agree).sum(axis=1)
+    want = np.linalg.matrix_power(step, copies - 1)[4]
+    assert np.allclose(got[-1], want, atol=1e-6) and got[-1][4] > 0.9
+
+
+def test_loops_settle_and_documents_do_not_mix():
+    """More rounds change nothing, and a document's beliefs don't depend on its batch."""
+    dice, n = np.random.default_rng(6), len(pii.LABELS)
+    agree = np.full((n, n), -1.0) + 2.5 * np.eye(n)
+    model = pii.SkipChain(dice.normal(size=(pii.BUCKETS, n)) / 4, dice.normal(size=(n, n)) / 2, agree)
+    texts = [" ".join(f"id-{k}{dice.integers(100, 104)}xyz" for k in (7, 8)) for _ in range(9)]
+    graphs = [pii.graph_of(" ".join(texts[: k + 1]), []) for k in range(9)]
+    together = np.split(model.beliefs(graphs), np.cumsum([len(g.spans) for g in graphs])[:-1])
+    for graph, got in zip(graphs, together):
+        assert np.allclose(got, model.beliefs([graph]), atol=1e-9)
+        assert np.allclose(got, model.beliefs([graph], rounds=1000), atol=1e-3)
+
+
 def test_message_passing_is_exact_on_a_chain():
     """On a graph without loops the beliefs are the true marginals."""
     dice, n = np.random.default_rng(4), len(pii.LABELS)
