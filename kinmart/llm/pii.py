@@ -1,7 +1,8 @@
 """Personal data: fixed patterns, and a skip-chain conditional random field that adds to them.
 
-The field's nodes are the tokens of a document that hold a digit or an at sign; other tokens are
-never personal data here. Neighbouring nodes are joined by chain edges, and each node to the
+The field's nodes are the tokens of a document that hold a digit or an at sign, the quoted values
+of assignments to telling names, and all copies of such values in the document; other tokens
+are never personal data here. Neighbouring nodes are joined by chain edges, and each node to the
 last one of the same or similar characters by a skip edge, however far back it is, so a token
 repeated many times costs one edge each time. Loopy message passing then makes the labels of
 repeated tokens agree: what the context gives away in one place is found in the others.
@@ -38,6 +39,13 @@ SECRET = re.compile(
     r"(?i)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s{0,8}[=:]\s{0,8}[\"']"
     r"([^\"'\s]{8,200})[\"']"
 )
+#: What every match of ``SECRET`` holds, quick to look for.
+ASSIGNED = re.compile(r"[=:]\s{0,8}[\"']")
+#: ``SECRET`` and ``MARKED`` for Spark, where white space is that of Python.
+NODE_IN_SPARK = (
+    r"[0-9@]|(?iU)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)"
+    r"[\s\x1c-\x1f]{0,8}[=:][\s\x1c-\x1f]{0,8}[\"'][^\"'\s\x1c-\x1f]{8,200}[\"']"
+)
 WORD = re.compile(r"[^\s\"'(),;<>=|]+")
 MARKED = re.compile(r"[0-9@]")
 LOOSE_ENDS = ".,:;!?#*$%&-"
@@ -105,20 +113,74 @@ def shape(token: str) -> str:
     return re.sub(r"(.)\1*", lambda m: m[1] + str(size(len(m[0]))), classes)
 
 
+def assigned(text: str) -> list[tuple[int, int]]:
+    """Spans of the quoted values of assignments to telling names."""
+    return [m.span(1) for m in SECRET.finditer(text)] if ASSIGNED.search(text) else []
+
+
+def core(token: str) -> str:
+    return token.strip(LOOSE_ENDS) or token
+
+
+def tokens_of(text: str, held: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of the words of a text, where assigned values and their copies are one word each."""
+    words = [(m.start(), m.end()) for m in WORD.finditer(text)]
+    if not held:
+        return words
+    # By their first word, the values that are not a word as they stand: where they start, lengths.
+    broken: dict[str, set[tuple[int, int]]] = {}
+    values = {text[a:b] for a, b in held}
+    for value in values:
+        first = WORD.search(value)
+        if first and first[0] != value:
+            broken.setdefault(core(first[0]), set()).add((first.start(), len(value)))
+    found = list(held)
+    for a, b in words if broken else ():
+        lead = a + text[a:b].find(core(text[a:b]))
+        for offset, length in broken.get(core(text[a:b]), ()):
+            for start in {a - offset, lead - offset}:
+                end = start + length
+                if start >= 0 and text[start:end] in values and not text[end : end + 1].isalnum():
+                    found.append((start, end))
+    found.sort(key=lambda x: (x[0], -x[1]))
+    out, done, k = [], 0, 0
+    for a, b in found:
+        if a < done:
+            continue
+        while k < len(words) and words[k][0] < a:
+            if words[k][0] >= done:
+                out.append((words[k][0], min(words[k][1], a)))
+            k += 1
+        out.append((a, b))
+        done = b
+    return out + [x for x in words[k:] if x[0] >= done]
+
+
 @dataclass
 class Graph:
-    """Nodes and edges of one document. ``given`` is the pattern's label, 0 for none."""
+    """Nodes and edges of one document. ``given`` is the pattern's label, 0 for none.
+
+    ``values`` are the quoted values of assignments to telling names.
+    """
 
     spans: list[tuple[int, int]]
     features: np.ndarray
     given: np.ndarray
     chain: list[tuple[int, int]]
     skip: list[tuple[int, int]]
+    values: frozenset[str] = frozenset()
 
 
 def graph_of(text: str, base: list[Span]) -> Graph:
-    words = [(m.start(), m.end()) for m in WORD.finditer(text)]
-    nodes = [k for k, (a, b) in enumerate(words) if MARKED.search(text, a, b)]
+    held = assigned(text)
+    words = tokens_of(text, held)
+    values = frozenset(text[a:b] for a, b in held)
+    cores = {core(x) for x in values}
+    nodes = [
+        k
+        for k, (a, b) in enumerate(words)
+        if MARKED.search(text, a, b) or cores and core(text[a:b]) in cores
+    ]
     by_start = sorted((a, b, kind) for kind, a, b in base)
     reach, furthest = [], 0
     for _, b, _ in by_start:
@@ -163,7 +225,8 @@ def graph_of(text: str, base: list[Span]) -> Graph:
         if at and k - nodes[at - 1] <= 2:
             chain.append((at - 1, at))
         same = re.sub(r"[^0-9a-z@]", "", low)
-        for key in {"=" + same, "~" + same[-8:]} if len(same) >= 6 else ():
+        keys = ("=" + same, "~" + same[-8:]) if len(same) >= 6 else ("=" + core(low),)
+        for key in keys:
             if key in seen and (seen[key], at) not in (chain[-1:] + skip[-1:]):
                 skip.append((seen[key], at))
             seen[key] = at
@@ -173,6 +236,7 @@ def graph_of(text: str, base: list[Span]) -> Graph:
         np.array(given, np.int64),
         chain,
         skip,
+        values,
     )
 
 
@@ -247,8 +311,9 @@ class SkipChain:
             if not label or given:
                 continue
             token = text[start:end]
-            end = start + len(token.rstrip(LOOSE_ENDS))
-            if end <= start or not MARKED.search(text, start, end):
+            if token not in graph.values:
+                end = start + len(token.rstrip(LOOSE_ENDS))
+            if end <= start:
                 continue
             last = spans[-1] if spans else None
             if last and last[0] == label - 1 and not text[last[2] : start].strip(" ().-"):
@@ -262,10 +327,10 @@ class SkipChain:
 
 def training_label(text: str, graph: Graph) -> np.ndarray:
     """Pattern labels, and secrets: quoted values of telling names, wherever they recur."""
-    secret = {m[1] for m in SECRET.finditer(text)}
+    secret = {core(x) for x in graph.values}
     labels = graph.given.copy()
     for k, (start, end) in enumerate(graph.spans):
-        if not labels[k] and text[start:end].rstrip(LOOSE_ENDS) in secret:
+        if not labels[k] and core(text[start:end]) in secret:
             labels[k] = len(LABELS) - 1
     return labels
 
@@ -281,7 +346,7 @@ def fit(
     ``sample_nodes`` of their nodes; only hashed features and labels of these reach the driver.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    marked = rows.where(F.col("text").rlike("[0-9@]"))
+    marked = rows.where(F.col("text").rlike(NODE_IN_SPARK))
     ids = marked.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = [r[0] for r in ids.limit(sample_docs).collect() if r[0] is not None]
     spark = docs.sparkSession
@@ -371,7 +436,7 @@ def find(docs: DataFrame, model: SkipChain, text: str = "text") -> DataFrame:
             texts = [row["text"] or "" for row in rows_of(batch.select(["text"]))]
             bases = [base_spans(x) for x in texts]
             spans = list(bases)
-            marked = [k for k, x in enumerate(texts) if MARKED.search(x)]
+            marked = [k for k, x in enumerate(texts) if MARKED.search(x) or assigned(x)]
             graphs = [graph_of(texts[k], bases[k]) for k in marked]
             if graphs:
                 beliefs = model.beliefs(graphs)

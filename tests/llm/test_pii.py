@@ -159,3 +159,40 @@ def test_nulls_empty_and_repeated_rows(spark, model):
     assert sorted((r["row"]["doc_id"] or 0, r["n_email"]) for r in made) == [(0, 1), (0, 1), (1, 0), (2, 0), (3, 0)]
     empty = spark.createDataFrame([], SCHEMA)
     assert pii.find(empty, pii.fit(empty)).count() == 0
+
+
+LETTERS = "abcdefghijkmnopqrstuvwxyz"
+
+
+def test_assigned_values_and_their_copies_are_nodes_whatever_they_hold():
+    for value in ("correcthorsebattery", "open;sesame(now)", "YWJjZGVm==", "=abcdefgh", "quietly!", "пароль-слово"):
+        text = f'a password = "{value}" or so, {value}. then {value}, and ({value}) not x{value}x end'
+        graph = pii.graph_of(text, [])
+        places = [m.start() for m in re.finditer(re.escape(value), text)][:4]
+        assert [a for a, _ in graph.spans] == places
+        assert all(text[a:b].rstrip(".") == value for a, b in graph.spans)
+        assert [b for _, b in graph.skip] == [1, 2, 3] or len(graph.skip + graph.chain) >= 3
+        assert pii.training_label(text, graph).tolist() == [5] * 4
+    assert not pii.graph_of('say = "correcthorsebattery" correcthorsebattery', []).spans
+
+
+@pytest.mark.parametrize("token", ["1.2.3.4", "A-1-23", "x9"])
+def test_short_tokens_are_joined_to_their_copies(token):
+    text = " some words in between ".join([token, token + ".", token])
+    assert pii.graph_of(text, []).skip == [(0, 1), (1, 2)]
+
+
+def test_secrets_of_letters_are_found_with_their_copies(spark):
+    dice = random.Random(5)
+    value = lambda: "".join(dice.choices(LETTERS, k=dice.randint(10, 24)))
+    rows = []
+    for k in range(300):
+        key, tail = value(), f" on day {k} of {1900 + k}" if k % 2 else ""
+        rows.append((k, f"{prose(dice)} password = '{key}' {prose(dice)}{tail}, so {key}", 1, "", ""))
+    model = pii.fit(spark.createDataFrame(rows, SCHEMA))
+    key = value()
+    text = f'{prose(dice)} password = "{key}" {prose(dice)} ' + f"use {key} {prose(dice)} " * 12
+    got = found(spark, model, [(1, text, 1, "", ""), (2, prose(dice) + " " + key, 1, "", "")])
+    want = [f"secret:{m.start()}:{m.end()}" for m in re.finditer(key, text)]
+    assert got[1]["spans"].split(",") == want and len(want) == 13
+    assert got[2]["spans"] == ""
