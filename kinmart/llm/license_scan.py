@@ -33,7 +33,7 @@ class Template:
     must: tuple[str, ...] = ()
 
 
-#: Notices and headers as their licenses word them (fixed values).
+#: Notices, headers, grants and openings of whole licenses, as these word them (fixed values).
 TEMPLATES = (
     Template("Apache-2.0", "notice", "Licensed under the Apache License, Version 2.0", ("apache",)),
     Template(
@@ -111,6 +111,271 @@ TEMPLATES = (
         "This work is licensed under a Creative Commons Attribution 4.0 International License",
         ("creative", "commons", "attribution"),
     ),
+    Template(
+        "BSD-3-Clause",
+        "conditions",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. Neither the name of the copyright holder nor "
+        "the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission.",
+        ("redistributions", "neither", "endorse"),
+    ),
+    Template(
+        "BSD-4-Clause",
+        "conditions",
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met: Redistributions of source code "
+        "must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. All advertising materials mentioning features "
+        "or use of this software must display the following acknowledgement: This product "
+        "includes software developed by the organization. Neither the name of the copyright "
+        "holder nor the names of its contributors may be used to endorse or promote products "
+        "derived from this software without specific prior written permission.",
+        ("redistributions", "advertising", "neither", "endorse"),
+    ),
+    Template(
+        "GPL-2.0",
+        "notice",
+        "This work is licensed under the GNU General Public License, version 2",
+        ("gnu", "general", "2"),
+    ),
+    Template(
+        "GPL-2.0",
+        "header",
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
+        ("gnu", "general", "2"),
+    ),
+    Template(
+        "GPL-2.0",
+        "header-only",
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License version 2 as published by the Free Software "
+        "Foundation.",
+        ("gnu", "general", "2"),
+    ),
+    Template(
+        "GPL-2.0",
+        "body",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software "
+        "Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this "
+        "license document, but changing it is not allowed.",
+        ("general", "2", "1989"),
+    ),
+    Template(
+        "GPL-3.0",
+        "body",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software "
+        "Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this "
+        "license document, but changing it is not allowed.",
+        ("general", "3", "2007"),
+    ),
+    Template(
+        "LGPL-2.0",
+        "header",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Library General Public License as published by the Free Software Foundation; "
+        "either version 2 of the License, or (at your option) any later version.",
+        ("library", "general", "2"),
+    ),
+    Template(
+        "LGPL-2.0",
+        "body",
+        "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1991 Free Software "
+        "Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this "
+        "license document, but changing it is not allowed.",
+        ("library", "general", "1991"),
+    ),
+    Template(
+        "LGPL-2.1",
+        "notice",
+        "This work is licensed under the GNU Lesser General Public License, version 2.1",
+        ("gnu", "lesser", "2", "1"),
+    ),
+    Template(
+        "LGPL-2.1",
+        "header",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
+        ("gnu", "lesser", "2", "1"),
+    ),
+    Template(
+        "LGPL-2.1",
+        "body",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 "
+        "Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim "
+        "copies of this license document, but changing it is not allowed.",
+        ("lesser", "2", "1999"),
+    ),
+    Template(
+        "LGPL-3.0",
+        "notice",
+        "This work is licensed under the GNU Lesser General Public License, version 3",
+        ("gnu", "lesser", "3"),
+    ),
+    Template(
+        "LGPL-3.0",
+        "header",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+        ("gnu", "lesser", "3"),
+    ),
+    Template(
+        "LGPL-3.0",
+        "body",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free "
+        "Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies "
+        "of this license document, but changing it is not allowed.",
+        ("lesser", "3", "2007"),
+    ),
+    Template(
+        "AGPL-3.0",
+        "notice",
+        "This work is licensed under the GNU Affero General Public License, version 3",
+        ("gnu", "affero", "3"),
+    ),
+    Template(
+        "AGPL-3.0",
+        "header",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+        ("gnu", "affero", "3"),
+    ),
+    Template(
+        "AGPL-3.0",
+        "body",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free "
+        "Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies "
+        "of this license document, but changing it is not allowed.",
+        ("affero", "3", "2007"),
+    ),
+    Template(
+        "Apache-2.0",
+        "body",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND "
+        "CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+        ("apache", "january", "2004"),
+    ),
+    Template(
+        "MPL-2.0",
+        "body",
+        'Mozilla Public License Version 2.0 1. Definitions 1.1. "Contributor" means each '
+        "individual or legal entity that creates, contributes to the creation of, or owns Covered "
+        "Software.",
+        ("mozilla", "contributor", "2"),
+    ),
+    Template(
+        "Unlicense",
+        "grant",
+        "This is free and unencumbered software released into the public domain. Anyone is free "
+        "to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+        "source code form or as a compiled binary, for any purpose, commercial or non-commercial, "
+        "and by any means.",
+        ("unencumbered",),
+    ),
+    Template(
+        "0BSD",
+        "grant",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted.",
+        ("fee",),
+    ),
+    Template(
+        "Zlib",
+        "grant",
+        "Permission is granted to anyone to use this software for any purpose, including "
+        "commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: The origin of this software must not be misrepresented; you must "
+        "not claim that you wrote the original software.",
+        ("misrepresented",),
+    ),
+    Template(
+        "BSL-1.0",
+        "grant",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a "
+        "copy of the software and accompanying documentation covered by this license (the "
+        '"Software") to use, reproduce, display, distribute, execute, and transmit the Software, '
+        "and to prepare derivative works of the Software, and to permit third-parties to whom the "
+        "Software is furnished to do so, all subject to the following:",
+        ("execute", "transmit"),
+    ),
+    Template(
+        "EPL-2.0",
+        "header",
+        "This program and the accompanying materials are made available under the terms of the "
+        "Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        ("eclipse", "2"),
+    ),
+    Template(
+        "CC0-1.0",
+        "body",
+        "CC0 1.0 Universal CREATIVE COMMONS CORPORATION IS NOT A LAW FIRM AND DOES NOT PROVIDE "
+        "LEGAL SERVICES.",
+        ("cc0", "universal"),
+    ),
+    Template(
+        "CC-BY-ND-4.0",
+        "notice",
+        "Licensed under CC BY-ND 4.0",
+        ("cc", "nd"),
+    ),
+    Template(
+        "CC-BY-NC-SA-4.0",
+        "notice",
+        "Licensed under CC BY-NC-SA 4.0",
+        ("cc", "nc", "sa"),
+    ),
+    Template(
+        "CC-BY-NC-ND-4.0",
+        "notice",
+        "Licensed under CC BY-NC-ND 4.0",
+        ("cc", "nc", "nd"),
+    ),
+    Template(
+        "CC-BY-SA-4.0",
+        "sentence",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
+        "License",
+        ("creative", "commons", "sharealike"),
+    ),
+    Template(
+        "CC-BY-NC-4.0",
+        "sentence",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+        "International License",
+        ("creative", "commons", "noncommercial"),
+    ),
+    Template(
+        "CC-BY-ND-4.0",
+        "sentence",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 "
+        "International License",
+        ("creative", "commons", "noderivatives"),
+    ),
+    Template(
+        "CC-BY-NC-SA-4.0",
+        "sentence",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+        "International License",
+        ("creative", "commons", "noncommercial", "sharealike"),
+    ),
+    Template(
+        "CC-BY-NC-ND-4.0",
+        "sentence",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives "
+        "4.0 International License",
+        ("creative", "commons", "noncommercial", "noderivatives"),
+    ),
 )
 
 

@@ -164,3 +164,22 @@ def test_scan_rows(spark):
         [(None, "MIT", "notice", 1.0)] + [(3, "CC-BY-4.0", "notice", 1.0)] * 2, key=str
     )
     assert lic.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "license, name",
+    [(x.license, x.name) for x in lic.TEMPLATES if x.license[:3] in ("GPL", "LGP", "AGP", "BSD", "0BS", "ISC", "CC-")],
+)
+def test_kindred_licenses_are_told_apart(license, name):
+    """A text of one license is reported as that license and no other."""
+    text = next(x.text for x in lic.TEMPLATES if (x.license, x.name) == (license, name))
+    found = lic.Scanner(lic.TEMPLATES, 0.85).scan("word " * 300 + text + " tail" * 300)
+    assert {x[0] for x in found} == {license} and max(x[2] for x in found) == 1.0
+
+
+def test_common_licenses_are_known():
+    known = {x.license for x in lic.TEMPLATES}
+    assert known >= {"GPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-3-Clause", "Unlicense"}
+    text = "This work is licensed under the GNU Affero General Public License, version 3"
+    found = lic.Scanner(lic.TEMPLATES, 0.85).scan(text)
+    assert [x[:3] for x in found] == [("AGPL-3.0", "notice", 1.0)]
