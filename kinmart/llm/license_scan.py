@@ -20,6 +20,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from kinmart.llm.files import rows_of
 
+#: Templates of up to so many words are notices: they may hold half as many other words among
+#: theirs, longer ones (wrapped, numbered, behind comment signs) twice as many.
+NOTICE = 16
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -427,6 +430,11 @@ def align(text: Sequence[bytes], template: Sequence[bytes]) -> list[tuple[int, i
     return sorted(pairs)
 
 
+def reaches(size: int) -> list[int]:
+    """Spans in words to look for a template of ``size`` words in, the last one the largest."""
+    return [size * k // 2 + 1 for k in ((2, 3) if size <= NOTICE else (2, 3, 4, 5, 6))]
+
+
 class Scanner:
     """All templates over one shared vocabulary."""
 
@@ -444,9 +452,10 @@ class Scanner:
     def scan(self, text: str) -> list[tuple]:
         """(license, template, coverage, first_word, last_word): the best place of each template.
 
-        A template is tried on overlapping stretches of one and a half times its length, so
-        every occurrence lies whole in one of them. A stretch with fewer words of the template
-        than coverage asks for can't reach it and is passed over.
+        An occurrence may span ``reaches`` words of the text at most, other words included. For
+        each reach a template is tried on stretches that overlap by it, so every occurrence lies
+        whole in one that is little longer, wherever it starts. A stretch without a ``must`` word
+        or with fewer words of the template than coverage asks for is passed over.
         """
         words, out = words_of(text), []
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
@@ -461,15 +470,22 @@ class Scanner:
             step = max(1, size // 2)
             starts = np.arange(0, max(1, len(words) - size), step)
             sums = np.r_[0, np.cumsum(self.member[k][ids])]
-            ends = np.minimum(starts + size + step + 1, len(words))
-            best = None
-            for start in starts[sums[ends] - sums[starts] >= self.least * size].tolist():
-                end = min(start + size + step + 1, len(words))
+            musts = [np.r_[0, np.cumsum(ids == m)] for m in set(self.must[k])]
+            limit, best, tried = reaches(size)[-1], None, set()
+            for reach in reaches(size):
+                ends = np.minimum(starts + reach + step, len(words))
+                hopeful = sums[ends] - sums[starts] >= self.least * size
+                for must in musts:
+                    hopeful &= must[ends] > must[starts]
+                tried.update(zip(starts[hopeful].tolist(), ends[hopeful].tolist()))
+            for start, end in sorted(tried):
                 pairs = align(words[start:end], self.words[k])
                 aligned = {self.vocabulary[self.words[k][q]] for _, q in pairs}
                 coverage = len(pairs) / size
                 if coverage < self.least or not aligned.issuperset(self.must[k]):
                     continue
+                if pairs[-1][0] - pairs[0][0] >= limit:
+                    continue
                 found = (-coverage, start + pairs[0][0], start + pairs[-1][0], len(pairs))
                 best = min(best, found) if best else found
             if best:
@@ -492,7 +508,8 @@ def scan(
     """(doc_id, license, template, coverage, first_word, last_word) of every template found.
 
     A template is found where at least the share ``least`` of its words aligns, its ``must``
-    words among them; its best and then first place counts. Inside a place where another
+    words among them, within one and a half times (notices) or three times (longer ones) as
+    many words as it has; its best and then first place counts. Inside a place where another
     template aligns more words it is not reported (CC BY inside CC BY-NC). Texts are scanned whole. Null and
     empty texts hold no license, null ids are passed on, repeated rows are scanned each.
     """

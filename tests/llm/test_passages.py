@@ -183,3 +183,22 @@ def test_common_licenses_are_known():
     text = "This work is licensed under the GNU Affero General Public License, version 3"
     found = lic.Scanner(lic.TEMPLATES, 0.85).scan(text)
     assert [x[:3] for x in found] == [("AGPL-3.0", "notice", 1.0)]
+
+
+@pytest.mark.parametrize("every, extra", [(6, ["dnl"]), (3, ["rem", "17"]), (1, ["x", "y"])])
+def test_words_in_between_are_borne_at_every_offset(every, extra):
+    scanner = lic.Scanner(lic.TEMPLATES, 0.85)
+    for name in ("Apache-2.0", "GPL-3.0"):
+        template = next(x for x in lic.TEMPLATES if (x.license, x.name) == (name, "header"))
+        words = [w.decode() for w in lic.words_of(template.text)]
+        mixed = [w for k, word in enumerate(words) for w in (extra if k and k % every == 0 else []) + [word]]
+        for offset in range(len(words) // 2 + 1):
+            found = scanner.scan(" ".join(["q"] * (100 + offset) + mixed + ["z"] * 100))
+            assert (name, "header", 1.0, 100 + offset, 99 + offset + len(mixed)) in found
+
+
+def test_notices_bear_half_as_many_words_at_every_offset():
+    scanner = lic.Scanner(lic.TEMPLATES, 0.85)
+    for offset in range(6):
+        for notice, found in (("licensed under dnl the rem mit license", 1), ("released under the x y z v w mit license", 0)):
+            assert len(scanner.scan("q " * (50 + offset) + notice + " z" * 50)) == found
