@@ -40,11 +40,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component: shingles of five words, similarity 0.8."""
-    kept = near_duplicates(docs, NearDup(words=5)).where("kept").select("doc_id").distinct()
-    kept = stage(kept.withColumnRenamed("doc_id", "kept_id"), "pipeline-kept")
-    same = docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"])
-    return docs.join(kept, same, "left_semi")
+    """One row of each near-duplicate component: shingles of five words, similarity 0.8.
+
+    It is the row of the least id, one without id only if no other is there. Rows are told
+    apart by a number of their own, as ids may be missing or repeat.
+    """
+    row = "near_dedup_row"
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-numbered")
+    groups = near_duplicates(numbered, NearDup(words=5), doc_id=row)
+    groups = groups.select(F.col("doc_id").alias(row), "component_id")
+    ids = numbered.select(row, F.col("doc_id").cast("long").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("bare"), "id", row)).alias("first")
+    kept = groups.join(ids, row).groupBy("component_id").agg(first)
+    kept = stage(kept.select(F.col(f"first.{row}").alias(row)), "pipeline-kept")
+    return numbered.join(kept, row, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

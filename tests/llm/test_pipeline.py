@@ -96,3 +96,18 @@ def test_an_empty_corpus_gives_no_sequences(spark, folder):
         spark.createDataFrame([], schema).write.parquet(f"{path}/{table}.parquet")
     assert cp.run(spark, path).count() == 0
     assert quality_rules.base_counts("") == (0, 0, 0, 0, 0)
+
+
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    dice = random.Random(31)
+    a, b, c, d = (" ".join(f"v{dice.randint(0, 900)}" for _ in range(60)) for _ in range(4))
+    rows = [(7, a), (3, a), (None, a), (None, b), (None, b), (None, c), (5, d), (5, d), (5, d + " end")]
+    rows += [(None, None), (None, ""), (9, None), (5, "quite another text of the same id it is")]
+    docs = spark.createDataFrame([(k, x, "en", "a", 0) for k, x in rows], DOCS)
+    kept = cp.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    ends = [x for x in got if x[1] and x[1].startswith(d)]
+    assert len(ends) == 1 and ends[0][0] == 5
+    want = [(3, a), (None, b), (None, c), (None, None), (None, ""), (9, None), (5, rows[-1][1])]
+    assert [x for x in got if x not in ends] == sorted(want, key=str)
