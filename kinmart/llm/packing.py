@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kinmart.llm.files import rows_of
 from kinmart.llm.running import with_total_before
-from kinmart.llm.tokens import encoder, vocabulary_size
+from kinmart.llm.tokens import blocks_of, encoder, vocabulary_size, with_end
 from kinmart.workspace import stage
 
 PIECE = (
@@ -31,23 +31,31 @@ PIECE = (
 )
 
 
+def binaries(ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """A binary value for each stretch of ``ids``, without a copy for each."""
+    offsets = (starts * ids.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(starts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(ids)]
+    )
+
+
 def encoded(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: str, source: str):
     """(uid, doc_id, source, queue, n_tokens, ids), staged; ids take 2 bytes if they can."""
     kind = "<u2" if max(vocabulary_size(tokenizer), end_id + 1) <= 1 << 16 else "<u4"
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, end = encoder(tokenizer), np.array([end_id], kind).tobytes()
+        texts = encoder(tokenizer)
         for batch in batches:
-            ids = [
-                np.frombuffer(units.encode(row["text"] or ""), "<u4").astype(kind).tobytes() + end
-                for row in rows_of(batch.select(["text"]))
-            ]
-            n = [len(x) // int(kind[2]) for x in ids]
-            columns = [batch.column(c) for c in ("uid", "doc_id", "source", "queue")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
-                names=["uid", "doc_id", "source", "queue", "n_tokens", "ids"],
-            )
+            at = 0
+            for block in blocks_of(batch.column("text")):
+                own, at = batch.slice(at, len(block)), at + len(block)
+                ids, starts = with_end(*texts.encode_block(block), end_id)
+                columns = [own.column(c) for c in ("uid", "doc_id", "source", "queue")]
+                counts = pa.array(np.diff(starts), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, counts, binaries(ids.astype(kind), starts)],
+                    names=["uid", "doc_id", "source", "queue", "n_tokens", "ids"],
+                )
 
     name = F.col(source).cast("string")
     rows = docs.select(

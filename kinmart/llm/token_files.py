@@ -20,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kinmart.llm import files
-from kinmart.llm.tokens import encoder, vocabulary_size
+from kinmart.llm.tokens import BLOCK_BYTES, blocks_of, encoder, vocabulary_size, with_end
 from kinmart.workspace import stage
 
 MAGIC = b"KMTOKEN1"
@@ -64,13 +65,18 @@ class TokenWriter:
         self.stream, self.width = stream, width
         self.offsets, self.at = [len(MAGIC)], len(MAGIC)
         self.keys, self.nulls, self.starts = [], [], []
-        self.n_ids, self.held, self.n_held = 0, [], 0
+        self.n_docs, self.n_ids, self.held, self.n_held = 0, 0, [], 0
         stream.write(MAGIC)
 
     def add(self, key: int | None, ids: np.ndarray) -> None:
-        self.keys.append(key or 0)
-        self.nulls.append(key is None)
-        self.starts.append(self.n_ids)
+        self.add_many([key or 0], [key is None], ids, np.array([0, len(ids)]))
+
+    def add_many(self, keys, nulls, ids: np.ndarray, starts: np.ndarray) -> None:
+        """Documents whose ids lie end to end in ``ids``, each from one of ``starts`` to the next."""
+        self.keys.append(np.asarray(keys, np.int64))
+        self.nulls.append(np.asarray(nulls, bool))
+        self.starts.append(np.asarray(starts[:-1], np.int64) + self.n_ids)
+        self.n_docs += len(keys)
         self.n_ids += len(ids)
         self.held.append(ids)
         self.n_held += len(ids)
@@ -80,27 +86,28 @@ class TokenWriter:
     def flush(self, n: int) -> None:
         ids = np.concatenate(self.held) if self.held else np.zeros(0, np.uint32)
         for start in range(0, n, BLOCK):
-            data = pack(ids[start : min(n, start + BLOCK)], self.width)
-            self.stream.write(data)
-            self.at += len(data)
+            self.put(pack(ids[start : min(n, start + BLOCK)], self.width))
             self.offsets.append(self.at)
         self.held, self.n_held = [ids[n:]], len(ids) - n
 
     def close(self) -> int:
         self.flush(self.n_held)
         for values, kind in (
-            (self.offsets, "<u8"),
+            ([self.offsets], "<u8"),
             (self.keys, "<i8"),
             (self.nulls, "u1"),
-            ([*self.starts, self.n_ids], "<u8"),
-            ([self.width, BLOCK, len(self.offsets) - 1, len(self.keys)], "<u8"),
+            ([*self.starts, [self.n_ids]], "<u8"),
+            ([[self.width, BLOCK, len(self.offsets) - 1, self.n_docs]], "<u8"),
         ):
-            data = np.asarray(values, dtype=kind).tobytes()
-            self.stream.write(data)
-            self.at += len(data)
+            for part in values:
+                self.put(np.asarray(part, dtype=kind).tobytes())
         self.stream.close()
         return self.at
 
+    def put(self, data: bytes) -> None:
+        self.stream.write(data)
+        self.at += len(data)
+
 
 class TokenReader:
     """Random access to one file through its block offsets."""
@@ -155,26 +162,31 @@ def write_token_files(
     documents and ids, and ``start``, the number of ids in all files before it. ``end_id`` is
     appended to each document. A null text is empty; null ids come first; documents of one id
     keep the order of their texts. An empty table writes no file. ``file_ids`` is where a task
-    begins its next file, at the next document.
+    begins its next file, after the block of documents (at most 8 MiB of text and twice as many
+    bytes as ids, or one text) at hand.
     """
     width = bits_for(max(vocabulary_size(tokenizer), end_id + 1))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, part = encoder(tokenizer), TaskContext.get().partitionId()
-        made, out, end = [], None, np.array([end_id], np.uint32)
+        texts, part = encoder(tokenizer), TaskContext.get().partitionId()
+        made, out = [], None
 
         def close():
             size = out[1].close()
-            made.append((out[0], part, len(made), len(out[1].keys), out[1].n_ids, size))
+            made.append((out[0], part, len(made), out[1].n_docs, out[1].n_ids, size))
 
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for key, value in zip(keys, batch.column(1)):
+            at = 0
+            for block in blocks_of(batch.column(1), min(BLOCK_BYTES, 2 * file_ids)):
                 if out is None:
                     uri, stream = files.create(folder, ".tokens")
                     out = (uri, TokenWriter(stream, width))
-                ids = np.frombuffer(units.encode(value.as_py() or ""), "<u4")
-                out[1].add(key, np.concatenate([ids, end]))
+                keys = batch.column(0).slice(at, len(block))
+                at += len(block)
+                nulls = keys.is_null().to_numpy(zero_copy_only=False)
+                numbers = pc.fill_null(keys, 0).to_numpy(zero_copy_only=False)
+                ids, starts = with_end(*texts.encode_block(block), end_id)
+                out[1].add_many(numbers, nulls, ids, starts)
                 if out[1].n_ids >= file_ids:
                     close()
                     out = None

@@ -4,8 +4,11 @@ Both kinds of file in use here (byte-level BPE and lower-casing word BPE) cut a
 every run of blanks: no token, merge, look-ahead or normal form reaches from a non-blank
 character over a following blank. A text that holds no other white space than space and line
 feed is therefore the chain of its units, blanks with the word after them, and the ids of a
-unit never depend on its neighbours. The ids of units seen before are kept, so the tokenizer
-library works on new units only. Any other text goes to the library whole.
+unit never depend on its neighbours. Arrow cuts a block of texts into units and numbers the
+distinct ones; the tokenizer library encodes those it has not met of late, and numpy lays the
+ids of the units end to end. Any other text goes to the library whole.
+
+What a worker keeps between blocks is bounded by ``KEPT_BYTES``.
 """
 
 from __future__ import annotations
@@ -13,8 +16,13 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: White space of Unicode and of Python, but for space and line feed (fixed values).
@@ -22,83 +30,207 @@ OTHER_SPACE = (
     "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2000\u2001\u2002\u2003\u2004"
     "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
-BLANK_RUNS = ("  ", " \n", "\n ", "\n\n")
-KEPT_UNITS = 600_000
+#: Stand before a unit in place of what comes before it: a line feed, the start of the text or
+#: of a unit cut otherwise. A unit without one of these comes after a space.
+AFTER_LINE, AT_START = "\x01", "\x02"
 #: Signs that begin a token of their own after a plain letter or digit, in either kind of file.
 CLOSING = ".,;:!?"
+#: Bytes of the ids a worker keeps, and what an entry takes besides its text and ids.
+KEPT_BYTES, ENTRY_BYTES = 96 << 20, 200
+#: Bytes of text handled at a time.
+BLOCK_BYTES = 8 << 20
+#: New units the library encodes as one text.
+JOINED = 512
 
 
-class UnitIds(dict):
-    """Unit to its ids as little-endian unsigned 32-bit bytes; two generations bound its size.
-
-    ``before`` is put before each unit when it is encoded, so that words can be looked up
-    without the blank they come with.
-    """
+def blocks_of(texts: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[pa.Array]:
+    """Slices of a column, each of about ``block_bytes`` or of a single text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(sizes, dtype=np.int64) - sizes) // block_bytes
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(texts)]
+    for low, high in zip(cuts, cuts[1:]):
+        if high > low:
+            yield texts.slice(low, high - low)
 
-    def __init__(self, tokenizer, before: str = "", kept: int = KEPT_UNITS):
-        super().__init__()
-        self.tokenizer, self.before, self.kept, self.older = tokenizer, before, kept, {}
-        self.closing = {sign: ids_of(tokenizer, sign) for sign in CLOSING}
-
-    def __missing__(self, unit: str) -> bytes:
-        if unit[-1:] in self.closing and unit[-2:-1].isalnum() and unit[-2] <= "\xff":
-            return self[unit[:-1]] + self.closing[unit[-1]]
-        found = self.older.get(unit)
-        if found is None:
-            found = ids_of(self.tokenizer, self.before + unit)
-        if len(self) >= self.kept:
-            self.older = dict(self)
-            self.clear()
-        self[unit] = found
-        return found
 
+class UnitIds:
+    """Unit to its ids as little-endian unsigned 32-bit bytes.
 
-def ids_of(tokenizer, text: str) -> bytes:
-    return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    Two generations bound what is kept: when the younger one has used half of ``kept_bytes`` it
+    becomes the older one, and what the older one held and nobody asked for is forgotten.
+    """
 
+    def __init__(self, tokenizer, before: dict[str, str], default: str, kept_bytes: int):
+        self.tokenizer, self.before, self.default = tokenizer, before, default
+        self.young, self.old, self.used, self.half = {}, {}, 0, kept_bytes // 2
+        self.closing = dict(zip(CLOSING, self.library(list(CLOSING))))
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.border = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            # Byte-level files write space and line feed as these letters; word BPE marks ends.
+            at_blank = token[:1] in ("\u0120", "\u010a")
+            self.border[number] = at_blank if default else token.endswith("</w>")
+
+    def library(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, encoded by itself."""
+        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        lists = [one.ids for one in made]
+        flat = np.fromiter(chain.from_iterable(lists), "<u4").tobytes()
+        ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)) << 2).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def joined(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, many encoded as one text and told apart by their border tokens.
+
+        Only for texts of which each has exactly one such token; else they are encoded singly.
+        """
+        found = []
+        for low in range(0, len(texts), JOINED):
+            own = texts[low : low + JOINED]
+            whole = (" " if self.default == "" else "").join(own)
+            made = self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)
+            ids = np.array(made[0].ids, "<u4")
+            edges = np.flatnonzero(self.border[ids]) + (self.default == "")
+            if len(edges) != len(own):
+                found.extend(self.library(own))
+                continue
+            ends = [*(edges[self.default != "" :] << 2).tolist(), len(ids) << 2][: len(own)]
+            data = ids.tobytes()
+            found.extend(data[a:b] for a, b in zip([0, *ends], ends))
+        return found
 
-def is_latin(text: str) -> bool:
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of units none of which is known."""
+        before, default = self.before, self.default
+        if not default:
+            clean = [word.isalpha() for word in words]
+            texts = words
+        else:
+            clean = [word[:1] != AT_START for word in words]
+            texts = [
+                before[word[:1]] + word[1:] if word[:1] in before else default + word
+                for word in words
+            ]
+        many = iter(self.joined([text for text, ok in zip(texts, clean) if ok]))
+        rest = [text for text, ok in zip(texts, clean) if not ok]
+        single = iter(self.library(rest) if rest else ())
+        return [next(many if ok else single) for ok in clean]
+
+    def keep(self, unit: str, ids: bytes) -> None:
+        size = len(unit) + len(ids) + ENTRY_BYTES
+        if self.used + size > self.half:
+            self.old, self.young, self.used = self.young, {}, 0
+        self.young[unit] = ids
+        self.used += size
+
+    def look_up(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit; the library is asked once for all that are new."""
+        found, closing = list(map(self.young.get, units)), self.closing
+        new: dict[str, list] = {}
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            tail, word = b"", units[k]
+            if word[-1:] in closing and word[-2:-1].isalnum() and word[-2] <= "\xff":
+                word, tail = word[:-1], closing[word[-1]]
+            ids = self.young.get(word)
+            if ids is None and (ids := self.old.get(word)) is not None:
+                self.keep(word, ids)
+            if ids is None:
+                new.setdefault(word, []).append((k, tail))
+            else:
+                found[k] = ids + tail
+        for (word, places), ids in zip(new.items(), self.encode(list(new))):
+            self.keep(word, ids)
+            for k, tail in places:
+                found[k] = ids + tail
+        return found
 
 
 class Encoder:
-    """Whole texts to ids, 4 bytes each."""
+    """Whole texts to ids."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, kept_bytes: int = KEPT_BYTES):
         self.tokenizer = tokenizer
-        self.marks = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        marks = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         self.lowers = "Lowercase" in json.dumps(json.loads(tokenizer.to_str())["normalizer"])
-        blank = [ids_of(tokenizer, text) for text in ("a b", "\n a\n\n b ")]
+        blank = [self.whole(text).tolist() for text in ("a b", "\n a\n\n b ")]
         self.blanks_vanish = blank[0] == blank[1]
-        self.words = UnitIds(tokenizer)
-        self.spaced = UnitIds(tokenizer, " ")
-        self.lined = UnitIds(tokenizer, "\n", KEPT_UNITS // 4)
-
-    def encode(self, text: str) -> bytes:
-        if any(c in text for c in OTHER_SPACE) or any(mark in text for mark in self.marks):
-            return ids_of(self.tokenizer, text)
+        before = {} if self.blanks_vanish else {AFTER_LINE: "\n", AT_START: ""}
+        default = "" if self.blanks_vanish else " "
+        self.units = UnitIds(tokenizer, before, default, kept_bytes)
+        escaped = "|".join(re.escape(mark) for mark in marks if mark)
+        self.odd = f"[{OTHER_SPACE}{AFTER_LINE}{AT_START}]" + (f"|{escaped}" if escaped else "")
+        self.loose = r"  | \n|\n |\n\n|\A[ \n]|[ \n]\z"
+
+    def whole(self, text: str) -> np.ndarray:
+        """Ids of a text as the library gives them."""
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def by_unit(self, text: str) -> np.ndarray:
+        """Ids of a text with runs of blanks, unit by unit."""
+        units = [AT_START + unit for unit in UNIT.findall(text)]
+        return np.frombuffer(b"".join(self.units.look_up(units)), "<u4")
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of one text."""
+        return self.encode_block(pa.array([text], pa.string()))[0]
+
+    def encode_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts): ids of all texts end to end, and where each begins, with the end.
+
+        A null text is empty.
+        """
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, self.odd)
+        loose = None if self.blanks_vanish else pc.match_substring_regex(texts, self.loose)
+        apart = odd if loose is None else pc.or_(odd, loose)
+        single = np.flatnonzero(apart.to_numpy(zero_copy_only=False))
+        plain = pc.if_else(apart, "", texts) if len(single) else texts
+        ids, starts = self.chains(plain)
+        if not len(single):
+            return ids, starts
+        parts, at = [], 0
+        for k in single.tolist():
+            parts.append(ids[starts[at] : starts[k]])
+            own = self.whole if odd[k].as_py() else self.by_unit
+            parts.append(own(texts[k].as_py()))
+            at = k
+        parts.append(ids[starts[at] :])
+        counts = np.diff(starts)
+        counts[single] = [len(part) for part in parts[1::2]]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum(counts)])
+
+    def chains(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts) of texts in which single spaces and line feeds divide the units."""
         if self.blanks_vanish:
-            # Lower-casing ahead of the tokenizer is the same for these letters, and only these.
-            plain = text.isascii() or is_latin(text)
-            units = (text.lower() if self.lowers and plain else text).split()
-            return b"".join(map(self.words.__getitem__, units))
-        if any(run in text for run in BLANK_RUNS) or text != text.strip(" \n"):
-            return b"".join(map(self.words.__getitem__, UNIT.findall(text)))
-        parts = []
-        for line in text.split("\n"):
-            first, *others = line.split(" ")
-            parts.append(self.lined[first] if parts else self.words[first])
-            parts.extend(map(self.spaced.__getitem__, others))
-        return b"".join(parts)
-
-
-@lru_cache(maxsize=4)
+            if self.lowers:
+                # Lower-casing ahead of the tokenizer is the same where no mark combines.
+                wide = pc.match_substring_regex(texts, r"[^\x00-\x{ff}]")
+                texts = pc.if_else(wide, texts, pc.ascii_lower(texts))
+            lists = pc.ascii_split_whitespace(texts)
+        else:
+            lines = pc.replace_substring(texts, "\n", " " + AFTER_LINE)
+            lists = pc.split_pattern(pc.binary_join_element_wise(AT_START, lines, ""), " ")
+        numbered = lists.flatten().dictionary_encode()
+        distinct = self.units.look_up(numbered.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(distinct), "<u4")
+        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) >> 2
+        first = np.cumsum(sizes) - sizes
+        which = numbered.indices.to_numpy(zero_copy_only=False)
+        counts = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        ids = flat[np.repeat(first[which] - ends[:-1], counts) + np.arange(ends[-1])]
+        offsets = lists.offsets.to_numpy(zero_copy_only=False)
+        return ids, ends[offsets - offsets[0]]
+
+
+def with_end(ids: np.ndarray, starts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same block with ``end_id`` after each text."""
+    return np.insert(ids, starts[1:], end_id), starts + np.arange(len(starts))
+
+
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    """One encoder for each tokenizer file in a worker; it outlives a task."""
+    """The encoder of a tokenizer file in a worker; it outlives a task, and only one is kept."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 

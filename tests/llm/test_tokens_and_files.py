@@ -5,6 +5,8 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -18,7 +20,7 @@ from kinmart.llm.token_files import (
     unpack,
     write_token_files,
 )
-from kinmart.llm.tokens import UnitIds, encoder
+from kinmart.llm.tokens import Encoder, blocks_of, encoder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,11 +53,33 @@ def test_units_give_the_ids_of_the_whole_text(path):
         assert ids == plain(path, text), repr(text)
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_blocks_give_the_ids_of_the_whole_texts(path):
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])
+    texts = table.column("text").combine_chunks()
+    made = Encoder(encoder(path).tokenizer, kept_bytes=1 << 20)
+    n = 0
+    for block in blocks_of(texts, 1 << 18):
+        ids, starts = made.encode_block(block)
+        for k, text in enumerate(block.to_pylist()):
+            assert ids[starts[k] : starts[k + 1]].tolist() == plain(path, text)
+        n += len(block)
+    assert n == len(texts)
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_very_long_texts_give_the_ids_of_the_library(path):
+    texts = ["x" * 50_000, "ab c\n" * 400_000, "\n" * 3000 + "end", None, ""]
+    ids, starts = Encoder(encoder(path).tokenizer).encode_block(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert ids[starts[k] : starts[k + 1]].tolist() == plain(path, text)
+
+
 def test_kept_units_are_bounded():
-    units = UnitIds(encoder(WORDS).tokenizer, kept=10)
+    units = Encoder(encoder(WORDS).tokenizer, kept_bytes=20 * 220).units
     for k in range(95):
-        units[f"w{k}"]
-    assert len(units) <= 10 and len(units.older) <= 10
+        assert units.look_up([f"w{k}", "again"])[1] == units.look_up(["again"])[0]
+    assert 0 < len(units.young) <= 10 and len(units.old) <= 10
 
 
 @given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), max_size=200), st.data())
