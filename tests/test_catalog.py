@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog.oracle import ORACLES
+from catalog.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -41,13 +43,14 @@ def comparable(columns, rows):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, sql, name):
-    made = entry.queries()[name](spark, SF)
-    found = sql.execute(entry.oracle_sql()[name])
+    made = QUERIES[name](spark, SF)
+    found = sql.execute(ORACLES[name])
     columns = [column[0] for column in found.description]
     assert sorted(columns) == sorted(made.columns)
     assert comparable(made.columns, [tuple(r) for r in made.collect()]) == comparable(
