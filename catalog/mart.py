@@ -84,9 +84,13 @@ class DocumentMart:
         fingerprints.publish_library(self.fingerprints(), path, SETTINGS)
         return self.spark.read.parquet(path)
 
+    @cached_property
+    def library_by_bits(self) -> DataFrame:
+        return fingerprints.by_popcount(self.library, new_dir(self.spark, "library-by-bits"))
+
     @cached_property
     def top(self) -> DataFrame:
-        return stage(similarity.search(self.library, self.source_ids, SETTINGS), "top")
+        return stage(similarity.search(self.library_by_bits, self.source_ids, SETTINGS), "top")
 
     @cached_property
     def dim(self) -> DataFrame:

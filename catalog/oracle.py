@@ -467,7 +467,7 @@ ORACLES["top_matches"] = f"{ctes(*TOP)} SELECT {_TOP_COLUMNS} FROM top"
 
 ORACLES["top_matches_vectors"] = f"""
 {ctes(*VECTOR_BITS,
-      "chosen AS (SELECT item_id AS source_id FROM items ORDER BY md5(item_id), item_id LIMIT 100)",
+      "chosen AS (SELECT CAST(vec_id AS VARCHAR) AS source_id FROM embeddings WHERE vec_id % 20 = 0)",
       *scored(64, "chosen"), top(10))}
 SELECT {_TOP_COLUMNS} FROM top
 """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -314,14 +315,14 @@ def shard_plan(spark, sf_dir):
 def range_scan(spark, sf_dir):
     library = document_mart(spark, sf_dir).library
     plan = fingerprints.shard_plan(library, "item_id", 90, partitions=4)
-    bounds = plan.orderBy("shard").collect()
+    wanted = plan.where("shard = 1 OR next_id IS NULL").orderBy("shard").collect()
     parts = [
         library.where(fingerprints.in_range(F.col("item_id"), b.first_id, b.next_id)).select(
             F.lit(b.shard).alias("shard"), "item_id", "pc"
         )
-        for b in (bounds[1], bounds[-1])
+        for b in wanted
     ]
-    return parts[0].unionAll(parts[1])
+    return reduce(DataFrame.unionAll, parts)
 
 
 # Scoring
@@ -347,12 +348,10 @@ def score_table(spark, sf_dir):
 def score_archive(spark, sf_dir):
     """The archived score tables read back: rows, self rows and highest score per source."""
     mart = document_mart(spark, sf_dir)
-    path = new_dir(spark, "scores")
-    similarity.write_scores(
-        similarity.score_table(mart.library, mart.source_ids, SETTINGS), path
-    )
+    path, order = new_dir(spark, "scores"), new_dir(spark, "score-order")
+    similarity.write_scores(mart.library, mart.source_ids, path, order, SETTINGS)
     return (
-        spark.read.parquet(path)
+        similarity.read_scores(spark, path, order)
         .groupBy("source_id")
         .agg(
             F.count("*").alias("targets"),
@@ -366,18 +365,19 @@ def score_archive(spark, sf_dir):
 @query
 def top_matches(spark, sf_dir):
     mart = document_mart(spark, sf_dir)
-    return similarity.search(mart.library, mart.source_ids, SETTINGS)
+    return similarity.search(mart.library_by_bits, mart.source_ids, SETTINGS)
 
 
 @query
 def top_matches_vectors(spark, sf_dir):
-    """Short fingerprints tie often. The small pass size makes the search take three passes."""
+    """Short fingerprints tie often. The small pass size makes the search take several passes."""
     vectors = table(spark, sf_dir, "embeddings")
     made = fingerprints.vector_fingerprints(vectors, "vec_id", "embedding", 64)
     library = stage(made, "vectors")
-    chosen = library.orderBy(F.md5("item_id"), "item_id").limit(100)
-    sources = chosen.select(F.col("item_id").alias("source_id"))
-    return similarity.search(library, sources, Settings(n_bits=64, sources_per_pass=40))
+    chosen = vectors.where("vec_id % 20 = 0")
+    sources = chosen.select(F.col("vec_id").cast("string").alias("source_id"))
+    laid_out = fingerprints.by_popcount(library, new_dir(spark, "vectors-by-bits"))
+    return similarity.search(laid_out, sources, Settings(n_bits=64, sources_per_pass=100))
 
 
 def discount_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

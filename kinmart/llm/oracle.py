@@ -91,4 +91,84 @@ JOIN k ON k.conv_id = c.conv_id AND k.turn = c.turn
 LEFT JOIN p ON p.conv_id = c.conv_id AND p.turn = c.turn
 """
 
-ORACLES = {"op6_line_dedup": LINE_DEDUP, "op7_chat_quotes": QUOTES, "op9_warc": WARC}
+PREFIX_TRIE = r"""
+WITH t AS (
+  SELECT conv_id,
+    list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), c AS (
+  SELECT conv_id, turns, CAST(xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), CAST(range(8) AS BIGINT[])),
+      lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 4 AS INTEGER) AS h
+  FROM t
+), r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+  FROM c LEFT JOIN t AS b ON b.conv_id = c.conv_id - c.conv_id % 20
+), p AS (
+  SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM r
+), n AS (
+  SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+      FILTER (WHERE len(turns) = depth), '')) AS ends_sha256
+  FROM p GROUP BY ALL
+), k AS (
+  SELECT n.*, count(b.path) AS n_children FROM n
+  LEFT JOIN n AS b ON b.depth = n.depth + 1 AND b.path[1:n.depth] = n.path
+  GROUP BY ALL
+), s AS (
+  SELECT conv_id, depth, unnest(range(depth + 1)) AS above, path, n_children,
+    (n_convs - 1) * CASE WHEN depth = 0 THEN 0
+      ELSE len(regexp_extract_all(path[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM k
+), u AS (
+  SELECT path[1:above] AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+    CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM s GROUP BY path[1:above]
+)
+SELECT k.conv_id, k.depth, up.conv_id AS parent_conv_id, k.n_convs, k.n_children, u.n_leaves,
+  u.saved_tokens, k.ends_sha256
+FROM k JOIN u ON u.path = k.path
+LEFT JOIN k AS up ON up.depth = k.depth - 1 AND up.path = k.path[1:k.depth - 1]
+"""
+
+LEXICAL = r"""
+WITH dt AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), it AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), q AS (
+  SELECT item_id, term, count(*) AS qtf FROM it GROUP BY ALL
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM dt GROUP BY ALL
+), d AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id
+), a AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), a
+), x AS (
+  SELECT q.item_id, tf.doc_id, CAST(sum(qtf * w * ((1000000000 * tf) //
+    (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN d USING (doc_id), a
+  GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM x WHERE score > 0
+) WHERE rank <= 10
+"""
+
+ORACLES = {
+    "op6_line_dedup": LINE_DEDUP,
+    "op7_chat_quotes": QUOTES,
+    "op9_warc": WARC,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_lexical_search": LEXICAL,
+}

@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kinmart.llm import decontaminate, files, license_scan, packing, pii, quality_rules, token_files, warc
+from kinmart.llm import (
+    decontaminate,
+    files,
+    lexical,
+    license_scan,
+    packing,
+    pii,
+    prefix_trie,
+    quality_rules,
+    token_counts,
+    token_files,
+    warc,
+)
 from kinmart.llm.line_dedup import LineIndex
 from kinmart.llm.near_dup import NearDup, near_duplicates
 from kinmart.llm.quotes import link_quotes
@@ -96,6 +108,21 @@ def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), *found.columns[1:])
 
 
+def prefix_trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(lists))
+
+
+def lexical_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical.rank_documents(docs, items)
+
+
+def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_near_dup": near_dup_query,
     "op2_license_scan": license_query,
@@ -107,4 +134,7 @@ QUERIES = {
     "op8_packing": packing_query,
     "op9_warc": warc_query,
     "op10_pii": pii_query,
+    "op11_prefix_trie": prefix_trie_query,
+    "op12_lexical_search": lexical_query,
+    "op13_token_counts": token_counts_query,
 }

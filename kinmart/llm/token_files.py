@@ -162,7 +162,7 @@ def write_token_files(
     documents and ids, and ``start``, the number of ids in all files before it. ``end_id`` is
     appended to each document. A null text is empty; null ids come first; documents of one id
     keep the order of their texts. An empty table writes no file. ``file_ids`` is where a task
-    begins its next file, after the block of documents (at most 8 MiB of text and twice as many
+    begins its next file, after the block of documents (at most 4 MiB of text and twice as many
     bytes as ids, or one text) at hand.
     """
     width = bits_for(max(vocabulary_size(tokenizer), end_id + 1))

@@ -38,7 +38,7 @@ CLOSING = ".,;:!?"
 #: Bytes of the ids a worker keeps, and what an entry takes besides its text and ids.
 KEPT_BYTES, ENTRY_BYTES = 96 << 20, 200
 #: Bytes of text handled at a time.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: New units the library encodes as one text.
 JOINED = 512
 
@@ -214,13 +214,15 @@ class Encoder:
         distinct = self.units.look_up(numbered.dictionary.to_pylist())
         flat = np.frombuffer(b"".join(distinct), "<u4")
         sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) >> 2
-        first = np.cumsum(sizes) - sizes
         which = numbered.indices.to_numpy(zero_copy_only=False)
-        counts = sizes[which]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        ids = flat[np.repeat(first[which] - ends[:-1], counts) + np.arange(ends[-1])]
+        ends = np.concatenate([[0], np.cumsum(sizes[which])])
+        # The arrays below are the largest of a block: one number for each of its ids.
+        small = np.int32 if max(ends[-1], len(flat)) < 1 << 31 else np.int64
+        first = (np.cumsum(sizes) - sizes)[which] - ends[:-1]
+        places = np.repeat(first.astype(small), sizes[which])
+        places += np.arange(ends[-1], dtype=small)
         offsets = lists.offsets.to_numpy(zero_copy_only=False)
-        return ids, ends[offsets - offsets[0]]
+        return flat[places], ends[offsets - offsets[0]]
 
 
 def with_end(ids: np.ndarray, starts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -224,6 +224,20 @@ def publish_library(fingerprints: DataFrame, path: str, settings: Settings = Set
     return rows
 
 
+def by_popcount(library: DataFrame, path: str, rows_per_file: int = 250_000) -> DataFrame:
+    """A copy of the library for searching, in ranges of bit counts, read back from ``path``.
+
+    A search needs rows of certain bit counts only. Sorted by them, and in row groups of some
+    ten thousand rows, whole files and row groups of others are skipped by their statistics.
+    """
+    rows = library.select("item_id", "fp", "pc")
+    ranges = max(1, shard_count(library.count(), rows_per_file))
+    ranged = rows.repartitionByRange(ranges, "pc", "item_id").sortWithinPartitions("pc", "item_id")
+    written = ranged.write.mode("overwrite").option("compression", "zstd")
+    written.option("parquet.block.size", 8 << 20).parquet(path)
+    return library.sparkSession.read.schema(LIBRARY_DDL).parquet(path)
+
+
 def library_summary(library: DataFrame, rejects: DataFrame, settings: Settings) -> DataFrame:
     """One row: shards, fingerprints written, items rejected, packed bytes."""
     written = library.agg(F.count("*").alias("fingerprints"))

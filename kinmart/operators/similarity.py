@@ -2,12 +2,18 @@
 
 The library is only ever scanned in place: each task scores its own rows against the source
 fingerprints, which are broadcast in passes of a bounded size. Nothing pairs rows by a join.
+
+Two fingerprints of a and b bits score at most min(a, b) / max(a, b). A search therefore scores
+a sample of the library first: the score of a source's last match in it is a floor no match of
+the whole library can lie below. A pass reads only the bit counts that can reach some floor,
+which a library laid out by bit count (``fingerprints.by_popcount``) answers with few files, and
+a block of rows is scored against those sources only that it can match.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -15,19 +21,24 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinmart.config import Settings
 from kinmart.operators.fingerprints import in_range, shard_plan
-from kinmart.operators.ranking import top_matches
+from kinmart.operators.ranking import best_scores, top_matches
 from kinmart.schemas import TIE_FLAG
 from kinmart.workspace import estimated_bytes, scan_tasks, spread, stage
 
-_ROWS_AT_ONCE = 4096
+_PAIRS_AT_ONCE = 1 << 21
+_ROWS_AT_ONCE = 1024
 _PAIRS_WORTH_MOVING = 20_000_000
+#: Rows scored to find floors, and how many times as large a library must be to be worth it.
+_SAMPLE_ROWS, _WORTH_SAMPLING = 1 << 16, 8
 
 PAIR_DDL = "source_id string, target_id string, score double"
+PASSES_DDL = "pass int, ids array<string>"
+SCORES_DDL = "target_id string, scores array<float>"
 
 
 class UnscorableSources(RuntimeError):
@@ -91,7 +102,7 @@ def require_unique(library: DataFrame) -> None:
 
 @dataclass(frozen=True)
 class SourcePass:
-    """The sources of one pass over the library."""
+    """The sources of one pass over the library, by bit count."""
 
     ids: tuple[str, ...]
     words: np.ndarray
@@ -103,12 +114,14 @@ def source_passes(
 ) -> Iterator[SourcePass]:
     """Look the sources up in the library and give them pass by pass, each of a bounded size.
 
-    Only the pass in hand is on the driver; it is fetched as Arrow, not as rows.
+    Only the pass in hand is on the driver; it is fetched as Arrow, not as rows. Sources of
+    like bit counts share a pass, as they need the same rows.
     """
+    key = F.concat(F.lpad(F.col("pc").cast("string"), 10, "0"), F.lit(":"), "item_id")
     found = stage(
         library.join(
             sources.select(F.col("source_id").alias("item_id")).distinct(), "item_id", "left_semi"
-        ).select("item_id", "fp", "pc"),
+        ).select("item_id", "fp", "pc", key.alias("key")),
         "sources",
     )
     limit = settings.sources_per_pass
@@ -116,10 +129,10 @@ def source_passes(
         parts = [found]
     else:
         tasks = scan_tasks(found) + 1
-        bounds = shard_plan(found, "item_id", limit, partitions=tasks).orderBy("shard").collect()
-        parts = (found.where(in_range(F.col("item_id"), b.first_id, b.next_id)) for b in bounds)
+        bounds = shard_plan(found, "key", limit, partitions=tasks).orderBy("shard").collect()
+        parts = (found.where(in_range(F.col("key"), b.first_id, b.next_id)) for b in bounds)
     for part in parts:
-        rows = part.orderBy("item_id").toArrow()
+        rows = part.orderBy("key").toArrow()
         if rows.num_rows:
             words = pc.list_flatten(rows.column("fp")).to_numpy().reshape(rows.num_rows, -1)
             counts = rows.column("pc").to_numpy().astype(np.int32)
@@ -127,65 +140,95 @@ def source_passes(
             yield SourcePass(ids, words.astype(np.int64).view(np.uint64), counts)
 
 
-def _broadcast(library: DataFrame, sources: SourcePass) -> Broadcast:
+def _broadcast(library: DataFrame, sources: SourcePass, floors: np.ndarray | None = None):
     """Send one pass to the executors: at most sources_per_pass rows of one fingerprint."""
     context = library.sparkSession.sparkContext
-    return context.broadcast((sources.ids, sources.words, sources.counts))
+    return context.broadcast((sources.ids, sources.words, sources.counts, floors))
+
 
+def _bits(words: np.ndarray) -> np.ndarray:
+    """Rows of words as rows of zeros and ones. Sums of products of these are exact."""
+    raw = np.ascontiguousarray(words).view(np.uint8)
+    return np.unpackbits(raw, axis=1, bitorder="little").astype(np.float32)
 
-def _scores(words: np.ndarray, counts: np.ndarray, sources: SourcePass) -> np.ndarray:
-    """Sources-by-rows matrix of scores. ``words`` is rows by words, unsigned.
 
-    Unsigned matters: numpy counts the bits of the absolute value of a signed number.
+def highest_scores(a: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The highest score fingerprints of ``a`` bits can have with any of ``low`` to ``high`` bits.
+
+    Division is monotonic in floating point too, so no score of such a pair exceeds it.
     """
-    turned = np.ascontiguousarray(words.T)
-    out = np.zeros((len(sources.ids), len(counts)), dtype=np.float64)
-    common = np.empty_like(turned)
-    ones = np.empty(turned.shape, dtype=np.uint8)
-    for index, (query, query_count) in enumerate(zip(sources.words, sources.counts)):
-        np.bitwise_and(turned, query[:, None], out=common)
-        np.bitwise_count(common, out=ones)
-        shared = np.add.reduce(ones, axis=0, dtype=np.int32)
-        union = counts + query_count - shared
-        np.divide(shared, union, out=out[index], where=union > 0)
-    return out
-
-
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """Slices of a batch small enough for the scoring arrays to stay in cache."""
-    for start in range(0, batch.num_rows, _ROWS_AT_ONCE):
-        part = batch.slice(start, _ROWS_AT_ONCE)
+    less, more = np.minimum(a, high), np.maximum(a, low)
+    inside = (a >= low) & (a <= high) & (a > 0)
+    return np.where(inside, 1.0, np.divide(less, more, out=np.zeros(np.shape(more)), where=more > 0))
+
+
+class Scorer:
+    """The sources of a pass as a matrix of bits, to be multiplied by blocks of rows."""
+
+    def __init__(self, ids, words: np.ndarray, counts: np.ndarray):
+        self.ids, self.bits, self.counts = ids, _bits(words), counts
+        self.pairs = 0
+
+    def scores(self, words: np.ndarray, counts: np.ndarray, wanted=slice(None)) -> np.ndarray:
+        """Sources-by-rows matrix of scores, of the ``wanted`` sources alone."""
+        shared = (self.bits[wanted] @ _bits(words).T).astype(np.float64)
+        union = self.counts[wanted][:, None] + counts[None, :] - shared
+        self.pairs += shared.size
+        return np.divide(shared, union, out=shared, where=union > 0)
+
+    def wanted(self, counts: np.ndarray, floors: np.ndarray):
+        """The sources that rows of these bit counts can match at their floors or above."""
+        reach = highest_scores(self.counts, counts.min(), counts.max()) >= floors
+        places = np.flatnonzero(reach)
+        if len(places) and places[-1] - places[0] + 1 == len(places):
+            return slice(int(places[0]), int(places[-1]) + 1)
+        return places
+
+    @property
+    def rows_at_once(self) -> int:
+        return min(_ROWS_AT_ONCE, max(64, _PAIRS_AT_ONCE // len(self.counts)))
+
+
+def _blocks(
+    batch: pa.RecordBatch, rows: int
+) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, int]]:
+    """Slices of a batch small enough for the scoring arrays to stay in cache, and their places."""
+    for start in range(0, batch.num_rows, rows):
+        part = batch.slice(start, rows)
         words = part.column("fp").flatten().to_numpy().view(np.uint64)
-        yield part.column("item_id"), words.reshape(part.num_rows, -1), part.column("pc").to_numpy()
+        counts = part.column("pc").to_numpy()
+        yield part.column("item_id"), words.reshape(part.num_rows, -1), counts, start
 
 
-def _score_pass(library: DataFrame, sources: SourcePass) -> DataFrame:
-    shared = _broadcast(library, sources)
+def _score_rows(library: DataFrame, shared: Broadcast, single: bool) -> DataFrame:
+    """(target_id, scores): a row for each library item, its scores in the order of the pass."""
+    kind = "float" if single else "double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = SourcePass(*shared.value)
-        width = len(held.ids)
+        ids, words, counts, _ = shared.value
+        scorer = Scorer(ids, words, counts)
         for batch in batches:
-            for ids, words, counts in _blocks(batch):
-                matrix = np.ascontiguousarray(_scores(words, counts, held).T)
-                offsets = np.arange(0, matrix.size + 1, width, dtype=np.int32)
+            for targets, rows, sizes, _ in _blocks(batch, scorer.rows_at_once):
+                matrix = np.ascontiguousarray(scorer.scores(rows, sizes).T)
+                matrix = matrix.astype(np.float32 if single else np.float64)
+                offsets = np.arange(0, matrix.size + 1, len(ids), dtype=np.int32)
                 scores = pa.ListArray.from_arrays(offsets, matrix.reshape(-1))
-                yield pa.RecordBatch.from_arrays([ids, scores], ["target_id", "scores"])
-
-    names = F.lit(list(sources.ids))
-    return (
-        library.select("item_id", "fp", "pc")
-        .mapInArrow(score, "target_id string, scores array<double>")
-        .select("target_id", F.posexplode("scores").alias("place", "score"))
-        .select(F.get(names, F.col("place")).alias("source_id"), "target_id", "score")
+                yield pa.RecordBatch.from_arrays([targets, scores], ["target_id", "scores"])
+
+    return library.select("item_id", "fp", "pc").mapInArrow(
+        score, f"target_id string, scores array<{kind}>"
     )
 
 
-def _shared_out(library: DataFrame, passes: list[SourcePass]) -> DataFrame:
+def _pairs(scored: DataFrame, ids: Column) -> DataFrame:
+    """(source_id, target_id, score) of rows of scores in the order of ``ids``."""
+    placed = scored.select("target_id", ids.alias("ids"), F.posexplode("scores").alias("n", "score"))
+    return placed.select(F.get("ids", F.col("n")).alias("source_id"), "target_id", "score")
+
+
+def _shared_out(library: DataFrame, sources: SourcePass) -> DataFrame:
     """The library, over all cores when it is small and there is a lot to compare."""
-    sources = sum(len(held.ids) for held in passes)
-    words = passes[0].words.shape[1]
-    pairs = estimated_bytes(library) // (8 * words) * sources
+    pairs = estimated_bytes(library) // (8 * sources.words.shape[1]) * len(sources.ids)
     rows = library.select("item_id", "fp", "pc")
     return spread(rows, "item_id") if pairs >= _PAIRS_WORTH_MOVING else rows
 
@@ -193,12 +236,24 @@ def _shared_out(library: DataFrame, passes: list[SourcePass]) -> DataFrame:
 def score_table(
     library: DataFrame, sources: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    """Every source against every library item, itself included: source, target, score."""
-    passes = list(source_passes(sources, library, settings))
-    if not passes:
+    """Every source against every library item, itself included: source, target, score.
+
+    Of several passes each is run and staged, one row of scores a target, before the next
+    begins, so the driver and the executors hold one pass at a time.
+    """
+    tables, passes = [], source_passes(sources, library, settings)
+    held = next(passes, None)
+    while held is not None:
+        shared = _broadcast(library, held)
+        scored, ids = _score_rows(_shared_out(library, held), shared, single=False), held.ids
+        held = next(passes, None)
+        if held is not None or tables:
+            scored = stage(scored, "scores")
+            shared.destroy()
+        tables.append(_pairs(scored, F.lit(list(ids))))
+    if not tables:
         return library.sparkSession.createDataFrame([], PAIR_DDL)
-    rows = _shared_out(library, passes)
-    return reduce(DataFrame.unionAll, [_score_pass(rows, held) for held in passes])
+    return reduce(DataFrame.unionAll, tables)
 
 
 class _Best:
@@ -211,35 +266,58 @@ class _Best:
         self.rows: list[tuple[float, str]] = []
 
     def floor(self) -> float:
-        return -self.rows[-1][0] if len(self.rows) == self.size else -1.0
-
-    def offer(self, scores: np.ndarray, ids: pa.Array) -> None:
-        """Take a block whose rows are in identifier order."""
-        better = np.flatnonzero(scores >= max(self.floor(), 0.0))
-        if not better.size:
-            return
-        if better.size > self.size:
-            better = better[np.argsort(-scores[better], kind="stable")[: self.size]]
-        named = zip(-scores[better], ids.take(pa.array(better)).to_pylist())
+        return -self.rows[-1][0] if len(self.rows) == self.size else 0.0
+
+    def offer(self, places: np.ndarray, scores: np.ndarray, order: np.ndarray, ids: pa.Array):
+        """Take the rows at ``places``; ``order`` ranks the block's identifiers."""
+        if places.size > self.size:
+            first = np.lexsort((order[places], -scores[places]))[: self.size]
+            places = places[first]
+        named = zip(-scores[places], ids.take(pa.array(places)).to_pylist())
         self.rows = sorted([*self.rows, *named])[: self.size]
 
 
+def search_batches(
+    batches: Iterator[pa.RecordBatch], scorer: Scorer, keep: int, given: np.ndarray | None
+) -> list[_Best]:
+    """The best ``keep`` rows of every source; rows below its given floor are not wanted."""
+    best = [_Best(keep) for _ in scorer.ids]
+    names = pa.array(scorer.ids, pa.string())
+    given = np.zeros(len(scorer.ids)) if given is None else np.maximum(given, 0.0)
+    floors = given.copy()
+    for batch in batches:
+        batch = batch.take(pc.sort_indices(batch.column("pc")))
+        order = np.empty(batch.num_rows, np.int64)
+        order[pc.sort_indices(batch.column("item_id"))] = np.arange(batch.num_rows)
+        own = pc.index_in(batch.column("item_id"), names)
+        own = pc.fill_null(own, -1).to_numpy(zero_copy_only=False)
+        for ids, words, counts, start in _blocks(batch, scorer.rows_at_once):
+            wanted = scorer.wanted(counts, floors)
+            places = np.arange(len(scorer.ids))[wanted]
+            if not len(places):
+                continue
+            scores = scorer.scores(words, counts, wanted)
+            mine = own[start : start + len(counts)]
+            row_of = np.full(len(scorer.ids), -1)
+            row_of[places] = np.arange(len(places))
+            selves = np.flatnonzero(mine >= 0)
+            selves = selves[row_of[mine[selves]] >= 0]
+            scores[row_of[mine[selves]], selves] = -1.0
+            hits = scores >= floors[places][:, None]
+            for row in np.flatnonzero(hits.any(axis=1)).tolist():
+                source = places[row]
+                best[source].offer(
+                    np.flatnonzero(hits[row]), scores[row], order[start : start + len(counts)], ids
+                )
+                floors[source] = max(given[source], best[source].floor())
+    return best
+
+
 def _best_pass(library: DataFrame, shared: Broadcast, keep: int) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = SourcePass(*shared.value)
-        names = pa.array(held.ids, pa.string())
-        best = [_Best(keep) for _ in held.ids]
-        for batch in batches:
-            batch = batch.take(pc.sort_indices(batch.column("item_id")))
-            for ids, words, counts in _blocks(batch):
-                scores = _scores(words, counts, held)
-                own = pc.index_in(ids, names).to_numpy(zero_copy_only=False)
-                rows = np.flatnonzero(~np.isnan(own.astype(np.float64)))
-                scores[own[rows].astype(np.int64), rows] = -1.0
-                top = scores.max(axis=1)
-                for index in np.flatnonzero(top >= [b.floor() for b in best]):
-                    best[index].offer(scores[index], ids)
-        found = [(name, target, -score) for name, b in zip(held.ids, best) for score, target in b.rows]
+        ids, words, counts, floors = shared.value
+        best = search_batches(batches, Scorer(ids, words, counts), keep, floors)
+        found = [(name, target, -score) for name, b in zip(ids, best) for score, target in b.rows]
         if found:
             source, target, score = zip(*found)
             yield pa.RecordBatch.from_arrays(
@@ -250,6 +328,34 @@ def _best_pass(library: DataFrame, shared: Broadcast, keep: int) -> DataFrame:
     return library.select("item_id", "fp", "pc").mapInArrow(search, PAIR_DDL)
 
 
+def sample_floors(library: DataFrame, sources: SourcePass, keep: int, rows: int) -> np.ndarray:
+    """For each source the score of its ``keep``-th match in a sample, 0 if there are fewer.
+
+    Any rows will do for a floor, and only itself is no match of a source, so which rows are
+    sampled changes what is skipped and never what is found.
+    """
+    part = F.pmod(F.xxhash64("item_id"), F.lit(max(1, rows // _SAMPLE_ROWS)))
+    shared = _broadcast(library, sources)
+    found = best_scores(_best_pass(library.where(part == 0), shared, keep), keep)
+    last = found.where(F.col("match_rank") == keep).select("source_id", "score").collect()
+    shared.destroy()
+    place = {name: k for k, name in enumerate(sources.ids)}
+    floors = np.zeros(len(sources.ids))
+    for row in last:
+        floors[place[row["source_id"]]] = row["score"]
+    return floors
+
+
+def bit_counts(sources: SourcePass, floors: np.ndarray) -> tuple[int, int]:
+    """The least and the most bits a row can have that reaches the floor of some source."""
+    sizes = np.arange(64 * sources.words.shape[1] + 1)
+    reach = np.zeros(len(sizes), bool)
+    for count, floor in set(zip(sources.counts.tolist(), floors.tolist())):
+        reach |= highest_scores(np.full(len(sizes), count), sizes, sizes) >= floor
+    places = np.flatnonzero(reach)
+    return int(places[0]), int(places[-1])
+
+
 def search(
     library: DataFrame,
     sources: DataFrame,
@@ -266,10 +372,15 @@ def search(
     """
     n = top_n or settings.top_n
     fan_in = math.isqrt(max(1, scan_tasks(library) // 64))
-    ranked, passes = [], source_passes(sources, library, settings)
+    ranked, passes, size = [], source_passes(sources, library, settings), None
     held = next(passes, None)
     while held is not None:
-        rows, shared = _shared_out(library, [held]), _broadcast(library, held)
+        size = library.count() if size is None else size
+        rows, floors = _shared_out(library, held), None
+        if size >= _WORTH_SAMPLING * _SAMPLE_ROWS:
+            floors = sample_floors(library, held, n + 1, size)
+            rows = rows.where(F.col("pc").between(*bit_counts(held, floors)))
+        shared = _broadcast(library, held, floors)
         top = top_matches(_best_pass(rows, shared, n + 1), n, fan_in)
         held = next(passes, None)
         if held is not None or ranked:
@@ -290,23 +401,53 @@ def search_summary(top: DataFrame) -> DataFrame:
     )
 
 
-def write_scores(scored: DataFrame, path: str) -> None:
-    """Archive a score table, one folder per source, scores as float32.
+def write_scores(
+    library: DataFrame, sources: DataFrame, path: str, order: str, settings: Settings = Settings()
+) -> None:
+    """Archive every score: one row a target and pass, scores as float32 in source order.
+
+    Rows are written to ``path`` by the tasks that score them, without a shuffle; ``order``
+    holds the sources of each pass. The archive is for reading back with ``read_scores``; the
+    mart is built from double scores.
+    """
+    spark = library.sparkSession
+    names = []
+    for number, held in enumerate(source_passes(sources, library, settings)):
+        shared = _broadcast(library, held)
+        scored = _score_rows(_shared_out(library, held), shared, single=True)
+        written = scored.write.mode("overwrite").option("compression", "zstd")
+        written.parquet(f"{path}/pass={number}")
+        shared.destroy()
+        frame = spark.createDataFrame([(number, list(held.ids))], PASSES_DDL)
+        names.append(stage(frame, "score-passes"))
+    made = reduce(DataFrame.unionAll, names) if names else spark.createDataFrame([], PASSES_DDL)
+    made.write.mode("overwrite").parquet(order)
+    if not names:
+        none = spark.createDataFrame([], SCORES_DDL)
+        none.write.mode("overwrite").parquet(f"{path}/pass=0")
+
+
+def read_scores(
+    spark: SparkSession, path: str, order: str, source_ids: Sequence[str] | None = None
+) -> DataFrame:
+    """(source_id, target_id, tanimoto_score) of an archive, of some sources or of all.
 
-    A source holds as many rows as the library. Rebalancing brings its rows together and
-    lets adaptive execution cut them into files of the advisory size, so no task gets a
-    whole source. The archive is for reading back; the mart is built from double scores.
+    One source is one place of one pass, so only that pass is read and nothing is exploded.
     """
-    (
-        scored.select(
-            "source_id",
-            F.col("source_id").alias("source"),
+    passes = spark.read.schema(PASSES_DDL).parquet(order)
+    scores = spark.read.schema(f"{SCORES_DDL}, pass int").parquet(path)
+    if source_ids is None:
+        rows = scores.join(passes, "pass")
+        return _pairs(rows, F.col("ids")).withColumnRenamed("score", "tanimoto_score")
+    found = passes.select("pass", F.posexplode("ids").alias("place", "source_id"))
+    found = found.where(F.col("source_id").isin(list(source_ids))).collect()
+    parts = [
+        scores.where(F.col("pass") == row["pass"]).select(
+            F.lit(row["source_id"]).alias("source_id"),
             "target_id",
-            F.col("score").cast("float").alias("tanimoto_score"),
+            F.get("scores", F.lit(row["place"])).alias("tanimoto_score"),
         )
-        .hint("rebalance", "source")
-        .write.mode("overwrite")
-        .option("compression", "zstd")
-        .partitionBy("source")
-        .parquet(path)
-    )
+        for row in found
+    ]
+    empty = "source_id string, target_id string, tanimoto_score float"
+    return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], empty)

@@ -15,13 +15,18 @@ from pyspark.sql import types as T
 from kinmart.config import Settings
 from kinmart.operators import conform as conforming
 from kinmart.operators import selection
-from kinmart.operators.fingerprints import publish_library, text_fingerprints, text_rejects
+from kinmart.operators.fingerprints import (
+    by_popcount,
+    publish_library,
+    text_fingerprints,
+    text_rejects,
+)
 from kinmart.operators.ranking import latest_per_key
 from kinmart.operators.similarity import (
+    read_scores,
     require_complete,
     require_fingerprints,
     require_unique,
-    score_table,
     search,
     write_scores,
 )
@@ -36,7 +41,9 @@ from kinmart.workspace import scratch, stage
 LIBRARY = "silver.fingerprint"
 LIBRARY_REJECTS = "silver.fingerprint_rejected"
 TOP = "silver.similarity_top"
+LIBRARY_BY_BITS = "silver.fingerprint_by_bits"
 SCORES = "silver.similarity_score"
+SCORE_ORDER = "silver.similarity_score_order"
 LOOKUP = "bronze.id_lookup"
 HISTORY = "_history/quality_check"
 WATERMARK_TABLE = "meta.ingest_watermark"
@@ -171,6 +178,9 @@ def build_library(
         rejects = work.write(LIBRARY_REJECTS, text_rejects(molecules, KEY, "canonical_smiles"))
         require_complete(molecules, library, rejects)
         require_unique(library)
+        version = store.new_version(LIBRARY_BY_BITS)
+        by_popcount(library, f"{store.path}/{version}", settings.shard_size)
+        work.adopt(LIBRARY_BY_BITS, version)
         return rows
 
 
@@ -185,15 +195,25 @@ def build_mart(
         require_complete(work[q.MOLECULES], library, work[LIBRARY_REJECTS])
         require_fingerprints(sources, library)
         if archive:
-            version = store.new_version(SCORES)
-            write_scores(score_table(library, sources, settings), f"{store.path}/{version}")
-            work.adopt(SCORES, version)
-        top = work.write(TOP, search(library, sources, settings))
+            versions = {name: store.new_version(name) for name in (SCORES, SCORE_ORDER)}
+            paths = (f"{store.path}/{version}" for version in versions.values())
+            write_scores(library, sources, *paths, settings)
+            for name, version in versions.items():
+                work.adopt(name, version)
+        top = work.write(TOP, search(work[LIBRARY_BY_BITS], sources, settings))
         work.write(q.DIM, mart.dim_molecule(work[q.MOLECULES], top))
         work.write(q.FACT, mart.fact_similarity(top))
         return _gate(store, work, run_id, "gold", settings)
 
 
+def scores(store: TableStore, source_ids: Iterable[str] | None = None) -> DataFrame:
+    """The archived scores of the last build that kept them, of some sources or of all."""
+    current = store.current()
+    paths = (f"{store.path}/{current[name]}" for name in (SCORES, SCORE_ORDER))
+    wanted = None if source_ids is None else list(source_ids)
+    return read_scores(store.spark, *paths, wanted)
+
+
 def create_views(store: TableStore, settings: Settings = Settings()) -> list[str]:
     """Register the five delivery views and the latest check results in the session."""
     fact, dim = store[q.FACT], store[q.DIM]

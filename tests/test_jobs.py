@@ -78,7 +78,7 @@ def test_from_bronze_to_views(spark, store, rows):
     counts = q.report_counts(report).first()
     assert counts.blocking == 0 and counts.checks > 10
     assert store[q.SOURCES].count() == 4 and store[q.REJECTED].count() == 1
-    assert store[q.FACT].count() == 12 and store[jobs.SCORES].count() == 4 * 24
+    assert store[q.FACT].count() == 12 and jobs.scores(store).count() == 4 * 24
     assert jobs.create_views(store, SMALL)[-1] == "v_quality_latest"
     assert spark.table("v_avg_similarity_per_source").count() == 4
     assert spark.table("v_avg_alogp_deviation").count() == 4

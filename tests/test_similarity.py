@@ -7,16 +7,27 @@ from pyspark.sql import functions as F
 from kinmart import Settings
 from kinmart.functions.bits import tanimoto
 from kinmart.operators.ranking import top_matches
+from kinmart.operators import similarity
+from kinmart.operators.fingerprints import by_popcount
 from kinmart.operators.similarity import (
     LibraryMismatch,
+    Scorer,
     UnscorableSources,
+    _broadcast,
+    _score_rows,
+    bit_counts,
+    highest_scores,
     missing_fingerprints,
+    read_scores,
     require_complete,
     require_fingerprints,
     require_unique,
+    sample_floors,
     score_table,
     search,
+    search_batches,
     search_summary,
+    source_passes,
     write_scores,
 )
 from kinmart.workspace import new_dir
@@ -147,23 +158,76 @@ def test_summary_counts_flags(spark):
     assert tuple(search_summary(made).first()) == (2, 8, 8)
 
 
-def test_archive_is_one_folder_per_source_in_single_precision(spark):
+@pytest.mark.parametrize("per_pass", [4096, 3])
+def test_archive_is_one_row_a_target_in_single_precision(spark, per_pass):
     sets = {f"I{n}": set(range(n % 10 + 1)) for n in range(50)}
     held = library(spark, sets).repartition(4)
-    path = new_dir(spark, "archive")
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    spark.conf.set(size, "200b")
-    try:
-        write_scores(score_table(held, ids(spark, "I6", "I9"), DENSE), path)
-    finally:
-        spark.conf.unset(size)
-    back = spark.read.parquet(path)
-    assert back.schema["tanimoto_score"].dataType.simpleString() == "float"
-    assert back.count() == 100
-    one = back.where("source = 'I6' AND target_id = 'I9'").first()
-    assert one.source_id == "I6" and one.tanimoto_score == float(np.float32(0.7))
-    files = back.where("source = 'I6'").select(F.input_file_name()).distinct().count()
-    assert files > 1  # a source is split, not sent to one task
+    settings = Settings(n_bits=64, sources_per_pass=per_pass)
+    path, names = new_dir(spark, "archive"), [f"I{n}" for n in (6, 9, 11, 20, 31)]
+    order = new_dir(spark, "archive-order")
+    write_scores(held, ids(spark, *names), path, order, settings)
+    raw = spark.read.parquet(path)
+    assert raw.count() == 50 * -(-5 // per_pass)
+    assert raw.schema["scores"].dataType.simpleString() == "array<float>"
+    back = read_scores(spark, path, order)
+    want = {(s, t): float(np.float32(jaccard(sets[s], sets[t]))) for s in names for t in sets}
+    assert {(r[0], r[1]): r[2] for r in back.collect()} == want
+    some = read_scores(spark, path, order, ["I9", "I31", "nowhere"])
+    assert {(r[0], r[1]): r[2] for r in some.collect()} == {
+        k: v for k, v in want.items() if k[0] in ("I9", "I31")
+    }
+    write_scores(held, ids(spark), *(paths := (f"{path}-none", f"{order}-none")), settings)
+    assert read_scores(spark, *paths).count() == 0 == read_scores(spark, *paths, ["I9"]).count()
+
+
+def test_scores_are_written_where_they_are_made(spark):
+    held = library(spark, random_sets(50, 64, 20))
+    made = _score_rows(held, _broadcast(held, next(source_passes(ids(spark, "I0001"), held, DENSE))), True)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+
+
+def test_no_score_exceeds_its_bound():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        a, b = (set(rng.choice(64, rng.integers(0, 64), replace=False).tolist()) for _ in "ab")
+        low, high = sorted((len(b), len(b) + int(rng.integers(0, 5))))
+        bound = highest_scores(np.array([len(a)]), low, high)[0]
+        assert jaccard(a, b) <= bound <= 1
+    assert highest_scores(np.array([0, 4]), 0, 0).tolist() == [0, 0]
+    assert highest_scores(np.array([10]), 20, 30).tolist() == [0.5]
+
+
+def test_rows_and_pairs_out_of_reach_are_skipped(spark, monkeypatch):
+    """Sources of few bits with close matches: rows of many bits are neither read nor scored."""
+    sets = random_sets(4000, 512, 500, seed=9)
+    near = {f"S{n:03d}": set(range(n % 3, 20 + n % 3)) for n in range(60)}
+    frame = by_popcount(library(spark, {**sets, **near}, 8), new_dir(spark, "bits"), 500)
+    sources = ids(spark, *[f"S{n:03d}" for n in range(0, 60, 20)])
+    settings = Settings(n_bits=512, top_n=5)
+    held = next(source_passes(sources, frame, settings))
+    floors = sample_floors(frame, held, 6, frame.count())
+    low, high = bit_counts(held, floors)
+    assert (floors > 0.7).all() and 0 < low <= 20 <= high < 32
+    skipped = frame.where(~F.col("pc").between(low, high)).count()
+    assert skipped > 3500
+    plan = frame.where(F.col("pc").between(low, high))._jdf.queryExecution().toString()
+    assert f"GreaterThanOrEqual(pc,{low})" in plan and f"LessThanOrEqual(pc,{high})" in plan
+    monkeypatch.setattr(similarity, "_ROWS_AT_ONCE", 64)
+    scorer = Scorer(held.ids, held.words, held.counts)
+    batches = [b.select(["item_id", "fp", "pc"]) for b in frame.toArrow().to_batches()]
+    found = search_batches(iter(batches), scorer, 6, floors)
+    assert scorer.pairs < 3 * 4060 / 4 and all(len(b.rows) == 6 for b in found)
+
+
+def test_search_with_sampled_floors_equals_ranking_the_full_table(spark, rows, monkeypatch):
+    monkeypatch.setattr(similarity, "_SAMPLE_ROWS", 40)
+    sets = {**random_sets(500, 128, 60), **{f"C{n:03d}": {1, 2, 3} for n in range(150)}}
+    settings = Settings(n_bits=128, top_n=6, sources_per_pass=11)
+    frame = by_popcount(library(spark, sets, 2), new_dir(spark, "bits"), 100)
+    sources = ids(spark, *sorted(sets)[::20])
+    want = top_matches(score_table(frame, sources, settings), 6)
+    assert rows(search(frame, sources, settings)) == rows(want)
 
 
 def test_plan_has_no_join_of_pairs(spark):
