@@ -35,10 +35,11 @@ OTHER_SPACE = (
 AFTER_LINE, AT_START = "\x01", "\x02"
 #: Signs that begin a token of their own after a plain letter or digit, in either kind of file.
 CLOSING = ".,;:!?"
-#: Bytes of the ids a worker keeps, and what an entry takes besides its text and ids.
-KEPT_BYTES, ENTRY_BYTES = 96 << 20, 200
+CLOSED = r"[0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}][.,;:!?]$"
+#: Bytes a worker keeps of units and their ids.
+KEPT_BYTES = 32 << 20
 #: Bytes of text handled at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 #: New units the library encodes as one text.
 JOINED = 512
 
@@ -53,17 +54,29 @@ def blocks_of(texts: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[pa.Ar
             yield texts.slice(low, high - low)
 
 
+def stretches(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``flat[first : first + size]`` of every row, end to end."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    # The largest array of a block has one number for each of its ids.
+    small = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    places = np.repeat((first - (ends - sizes)).astype(small), sizes)
+    places += np.arange(total, dtype=small)
+    return flat[places]
+
+
 class UnitIds:
-    """Unit to its ids as little-endian unsigned 32-bit bytes.
+    """The ids of units met of late, in arrays: no Python object is kept for a unit.
 
-    Two generations bound what is kept: when the younger one has used half of ``kept_bytes`` it
-    becomes the older one, and what the older one held and nobody asked for is forgotten.
+    When they take more than ``kept_bytes``, those met longest ago are forgotten.
     """
 
     def __init__(self, tokenizer, before: dict[str, str], default: str, kept_bytes: int):
         self.tokenizer, self.before, self.default = tokenizer, before, default
-        self.young, self.old, self.used, self.half = {}, {}, 0, kept_bytes // 2
-        self.closing = dict(zip(CLOSING, self.library(list(CLOSING))))
+        self.kept_bytes, self.turn = kept_bytes, 0
+        self.words = pa.array([], pa.string())
+        self.first, self.sizes, self.met = (np.zeros(0, np.int64) for _ in range(3))
+        self.flat = np.zeros(0, "<u4")
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         self.border = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
@@ -71,78 +84,91 @@ class UnitIds:
             at_blank = token[:1] in ("\u0120", "\u010a")
             self.border[number] = at_blank if default else token.endswith("</w>")
 
-    def library(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, encoded by itself."""
+    def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of texts, each encoded by itself."""
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         lists = [one.ids for one in made]
-        flat = np.fromiter(chain.from_iterable(lists), "<u4").tobytes()
-        ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)) << 2).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), "<u4", int(sizes.sum())), sizes
 
-    def joined(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, many encoded as one text and told apart by their border tokens.
+    def joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same, many encoded as one text and told apart by their border tokens.
 
         Only for texts of which each has exactly one such token; else they are encoded singly.
         """
-        found = []
+        flat, sizes, last = [], [], self.default == ""
         for low in range(0, len(texts), JOINED):
             own = texts[low : low + JOINED]
-            whole = (" " if self.default == "" else "").join(own)
+            whole = (" " if last else "").join(own)
             made = self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)
             ids = np.array(made[0].ids, "<u4")
-            edges = np.flatnonzero(self.border[ids]) + (self.default == "")
-            if len(edges) != len(own):
-                found.extend(self.library(own))
-                continue
-            ends = [*(edges[self.default != "" :] << 2).tolist(), len(ids) << 2][: len(own)]
-            data = ids.tobytes()
-            found.extend(data[a:b] for a, b in zip([0, *ends], ends))
-        return found
+            edges = np.flatnonzero(self.border[ids])
+            if len(edges) == len(own):
+                cuts = np.r_[0, edges + 1] if last else np.r_[edges, len(ids)]
+                counts = np.diff(cuts)
+            else:
+                ids, counts = self.library(own)
+            flat.append(ids)
+            sizes.append(counts)
+        return np.concatenate(flat), np.concatenate(sizes)
 
-    def encode(self, words: list[str]) -> list[bytes]:
-        """Ids of units none of which is known."""
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first, sizes) of units none of which is known."""
         before, default = self.before, self.default
-        if not default:
-            clean = [word.isalpha() for word in words]
-            texts = words
-        else:
+        if default:
             clean = [word[:1] != AT_START for word in words]
-            texts = [
+            words = [
                 before[word[:1]] + word[1:] if word[:1] in before else default + word
                 for word in words
             ]
-        many = iter(self.joined([text for text, ok in zip(texts, clean) if ok]))
-        rest = [text for text, ok in zip(texts, clean) if not ok]
-        single = iter(self.library(rest) if rest else ())
-        return [next(many if ok else single) for ok in clean]
-
-    def keep(self, unit: str, ids: bytes) -> None:
-        size = len(unit) + len(ids) + ENTRY_BYTES
-        if self.used + size > self.half:
-            self.old, self.young, self.used = self.young, {}, 0
-        self.young[unit] = ids
-        self.used += size
-
-    def look_up(self, units: list[str]) -> list[bytes]:
-        """The ids of each unit; the library is asked once for all that are new."""
-        found, closing = list(map(self.young.get, units)), self.closing
-        new: dict[str, list] = {}
-        for k in [k for k, ids in enumerate(found) if ids is None]:
-            tail, word = b"", units[k]
-            if word[-1:] in closing and word[-2:-1].isalnum() and word[-2] <= "\xff":
-                word, tail = word[:-1], closing[word[-1]]
-            ids = self.young.get(word)
-            if ids is None and (ids := self.old.get(word)) is not None:
-                self.keep(word, ids)
-            if ids is None:
-                new.setdefault(word, []).append((k, tail))
-            else:
-                found[k] = ids + tail
-        for (word, places), ids in zip(new.items(), self.encode(list(new))):
-            self.keep(word, ids)
-            for k, tail in places:
-                found[k] = ids + tail
-        return found
+        else:
+            clean = [word.isalpha() for word in words]
+        first, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        flat, at, clean = [], 0, np.array(clean, bool)
+        for some, method in ((clean, self.joined), (~clean, self.library)):
+            places = np.flatnonzero(some)
+            if not len(places):
+                continue
+            ids, counts = method([words[k] for k in places.tolist()])
+            first[places] = np.cumsum(counts) - counts + at
+            sizes[places] = counts
+            at += len(ids)
+            flat.append(ids)
+        return np.concatenate(flat), first, sizes
+
+    def look_up(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(flat, first, sizes): where the ids of each of some distinct units are."""
+        self.turn += 1
+        found = pc.fill_null(pc.index_in(units, value_set=self.words), -1)
+        places = found.to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(places < 0)
+        self.met[places[places >= 0]] = self.turn
+        if len(new):
+            names = units.take(pa.array(new))
+            ids, first, sizes = self.encode(names.to_pylist())
+            places[new] = len(self.words) + np.arange(len(new))
+            self.words = pa.concat_arrays([self.words, names])
+            self.first = np.concatenate([self.first, first + len(self.flat)])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.met = np.concatenate([self.met, np.full(len(new), self.turn)])
+            self.flat = np.concatenate([self.flat, ids])
+        answer = self.flat, self.first[places], self.sizes[places]
+        if self.held_bytes > self.kept_bytes:
+            self.forget()
+        return answer
+
+    @property
+    def held_bytes(self) -> int:
+        return self.words.nbytes + self.flat.nbytes + 24 * len(self.words)
+
+    def forget(self) -> None:
+        """Keep the units met last, in about half of the bytes allowed."""
+        n = int(len(self.words) * self.kept_bytes / (2 * self.held_bytes))
+        kept = np.sort(np.argsort(-self.met, kind="stable")[:n])
+        self.words = self.words.take(pa.array(kept))
+        self.flat = stretches(self.flat, self.first[kept], self.sizes[kept])
+        self.sizes, self.met = self.sizes[kept], self.met[kept]
+        self.first = np.cumsum(self.sizes) - self.sizes
 
 
 class Encoder:
@@ -157,6 +183,8 @@ class Encoder:
         before = {} if self.blanks_vanish else {AFTER_LINE: "\n", AT_START: ""}
         default = "" if self.blanks_vanish else " "
         self.units = UnitIds(tokenizer, before, default, kept_bytes)
+        ids, sizes = self.units.library(["", *CLOSING])
+        self.signs = ids, np.cumsum(sizes) - sizes, sizes
         escaped = "|".join(re.escape(mark) for mark in marks if mark)
         self.odd = f"[{OTHER_SPACE}{AFTER_LINE}{AT_START}]" + (f"|{escaped}" if escaped else "")
         self.loose = r"  | \n|\n |\n\n|\A[ \n]|[ \n]\z"
@@ -167,8 +195,11 @@ class Encoder:
 
     def by_unit(self, text: str) -> np.ndarray:
         """Ids of a text with runs of blanks, unit by unit."""
-        units = [AT_START + unit for unit in UNIT.findall(text)]
-        return np.frombuffer(b"".join(self.units.look_up(units)), "<u4")
+        units = pa.array([AT_START + unit for unit in UNIT.findall(text)], pa.string())
+        numbered = units.dictionary_encode()
+        flat, first, sizes = self.units.look_up(numbered.dictionary)
+        which = numbered.indices.to_numpy(zero_copy_only=False)
+        return stretches(flat, first[which], sizes[which])
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of one text."""
@@ -211,18 +242,30 @@ class Encoder:
             lines = pc.replace_substring(texts, "\n", " " + AFTER_LINE)
             lists = pc.split_pattern(pc.binary_join_element_wise(AT_START, lines, ""), " ")
         numbered = lists.flatten().dictionary_encode()
-        distinct = self.units.look_up(numbered.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(distinct), "<u4")
-        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) >> 2
+        flat, ends = self.distinct_ids(numbered.dictionary)
         which = numbered.indices.to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(sizes[which])])
-        # The arrays below are the largest of a block: one number for each of its ids.
-        small = np.int32 if max(ends[-1], len(flat)) < 1 << 31 else np.int64
-        first = (np.cumsum(sizes) - sizes)[which] - ends[:-1]
-        places = np.repeat(first.astype(small), sizes[which])
-        places += np.arange(ends[-1], dtype=small)
+        sizes = np.diff(ends)[which]
+        ids = stretches(flat, ends[:-1][which], sizes)
+        starts = np.concatenate([[0], np.cumsum(sizes)])
         offsets = lists.offsets.to_numpy(zero_copy_only=False)
-        return flat[places], ends[offsets - offsets[0]]
+        return ids, starts[offsets - offsets[0]]
+
+    def distinct_ids(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends) of distinct units: each is a stem, looked up, and maybe a closing sign."""
+        closed = pc.match_substring_regex(units, CLOSED)
+        sign = pc.if_else(closed, pc.utf8_slice_codeunits(units, -1), "")
+        sign = pc.index_in(sign, value_set=pa.array(["", *CLOSING]))
+        sign = sign.to_numpy(zero_copy_only=False)
+        stems = pc.if_else(closed, pc.utf8_slice_codeunits(units, 0, -1), units)
+        stems = stems.dictionary_encode()
+        stem = stems.indices.to_numpy(zero_copy_only=False)
+        flat, first, sizes = self.units.look_up(stems.dictionary)
+        both = np.concatenate([self.signs[0], flat])
+        firsts, counts = (np.empty(2 * len(units), np.int64) for _ in range(2))
+        firsts[::2], counts[::2] = first[stem] + len(self.signs[0]), sizes[stem]
+        firsts[1::2], counts[1::2] = self.signs[1][sign], self.signs[2][sign]
+        ids = stretches(both, firsts, counts)
+        return ids, np.concatenate([[0], np.cumsum(counts)[1::2]])
 
 
 def with_end(ids: np.ndarray, starts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

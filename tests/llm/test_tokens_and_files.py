@@ -75,11 +75,13 @@ def test_very_long_texts_give_the_ids_of_the_library(path):
         assert ids[starts[k] : starts[k + 1]].tolist() == plain(path, text)
 
 
-def test_kept_units_are_bounded():
-    units = Encoder(encoder(WORDS).tokenizer, kept_bytes=20 * 220).units
-    for k in range(95):
-        assert units.look_up([f"w{k}", "again"])[1] == units.look_up(["again"])[0]
-    assert 0 < len(units.young) <= 10 and len(units.old) <= 10
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_kept_units_are_bounded(path):
+    made = Encoder(encoder(path).tokenizer, kept_bytes=4000)
+    for k in range(300):
+        assert made.encode(f"w{k} again, w{k}").tolist() == plain(path, f"w{k} again, w{k}")
+        assert made.units.held_bytes <= 4000 + 200
+    assert "again" in "".join(made.units.words.to_pylist())
 
 
 @given(st.integers(1, 32), st.lists(st.integers(0, 2**32 - 1), max_size=200), st.data())
