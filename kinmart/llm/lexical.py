@@ -5,7 +5,7 @@ document its length and how often it holds each term of the items. Scores are th
 by block of documents. In a block every item's documents are grouped by presence mask, the set
 of its terms they hold: a bit for each term, set for all documents of a term at once. A mask's
 highest possible score is what its terms would give at their best places in the block. Masks
-are evaluated by that score, highest first, until it is below the last score of the item's list
+are evaluated by that score, highest first, some documents at a time, until it is below the last score of the item's list
 so far: what is left can't enter it any more. Lists carry on from block to block of a task and
 are merged in two steps, so no task sees more than a list of each task of its share.
 """
@@ -29,8 +29,6 @@ from kinmart.workspace import scratch, stage
 WEIGHT, IMPACT, LENGTH_SHARE = 1000, 1_000_000_000, 75
 #: Characters of items searched at a time, documents grouped at a time, lists merged first.
 BLOCK_CHARS, BLOCK_DOCS, MERGED = 8 << 20, 8192, 256
-#: Masks evaluated before the first look at what is left; the number doubles after each.
-FIRST_MASKS = 16
 
 #: A-Z are lowered, all other ASCII signs but letters and digits divide terms.
 _LETTERS = bytes(
@@ -204,9 +202,11 @@ class Block:
         counts = np.diff(np.r_[starts, len(order)])
         doc = np.concatenate([self.doc[a:b] for a, b in zip(low, high)])
         gain = np.concatenate([w * self.impact[a:b] for w, a, b in zip(worth, low, high)])
-        at, step = 0, FIRST_MASKS
+        held_by = np.cumsum(counts[ranked])
+        at, wanted_docs = 0, best.top
         while at < len(ranked) and bound[ranked[at]] >= best.least:
-            some = ranked[at : at + step]
+            some = ranked[at : 1 + int(np.searchsorted(held_by, wanted_docs))]
+            at += len(some)
             some = some[bound[some] >= best.least]
             places = np.repeat(starts[some] - np.cumsum(counts[some]) + counts[some], counts[some])
             chosen = live[order[places + np.arange(len(places))]]
@@ -217,7 +217,7 @@ class Block:
             np.add.at(scores, doc[part], gain[part])
             best.offer(scores[chosen], self.nulls[chosen], self.ids[chosen])
             self.seen += len(chosen)
-            at, step = at + step, 2 * step
+            wanted_docs = 4 * int(held_by[at - 1])
 
 
 def blocks_from(batch: pa.RecordBatch, n_docs: int, n_terms: int) -> Iterator[Block]:
