@@ -130,3 +130,69 @@ def test_components_of_chains_stars_and_loops(spark):
     want |= {1: 1, 2: 1, 50: 50, 51: 50, 52: 50}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_pages_of_one_template_ask_for_no_checks(spark, monkeypatch):
+    """60 common words and 20 own ones a page, no two alike enough: what is checked grows with
+    the pages, not with their square."""
+    asked = []
+    for name in ("short_lists", "list_blocks"):
+        plain = getattr(near_dup, name)
+
+        def counted(*args, plain=plain):
+            made = plain(*args)
+            asked.append(made.count())
+            return made
+
+        monkeypatch.setattr(near_dup, name, counted)
+    seen = []
+    for n in (400, 800):
+        dice = random.Random(n)
+        common = [f"t{k}" for k in range(60)]
+        rows = [(k, " ".join(common + [f"o{k}x{j}" for j in range(20)]), "n", 1, "b") for k in range(n)]
+        rows.append((n, " ".join(common + dice.sample(common, 20)), "n", 1, "b"))
+        asked.clear()
+        got = found(spark, rows, NearDup(words=2))
+        assert all(r[0] == r[2] for r in got) and len(got) == n + 1
+        seen.append(sum(asked))
+    assert seen[1] <= 2 * seen[0] + 10
+
+
+def test_long_lists_are_worked_off_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "SHORT", 4)
+    monkeypatch.setattr(near_dup, "BLOCK", 5)
+    for seed in (3, 11):
+        rows = corpus(seed, 250)
+        assert found(spark, rows, NearDup(words=2)) == brute(rows, 2)
+
+
+def test_long_texts(spark):
+    dice = random.Random(7)
+    base = [f"w{dice.randint(0, 50_000)}" for _ in range(60_000)]
+    other = base[:50_000] + [f"x{k}" for k in range(4_000)]
+    rows = [(1, " ".join(base), "n", 1, "b"), (2, " ".join(other), "n", 1, "b"), (3, "w " * 50_000, "n", 1, "b")]
+    assert found(spark, rows, NearDup(words=2)) == brute(rows, 2)
+
+
+def test_many_rows_without_id_are_not_multiplied(spark, monkeypatch):
+    made = []
+    plain = near_dup.candidate_sets
+    monkeypatch.setattr(near_dup, "candidate_sets", lambda *a: made.append(plain(*a)) or made[-1])
+    held = []
+    compare = near_dup.compare
+    monkeypatch.setattr(near_dup, "compare", lambda b, s, p: held.append(s.count()) or compare(b, s, p))
+    rows = []
+    for k in range(150):
+        words = [f"a{k // 2}b{j}" for j in range(40)]
+        words[k % 2] = "one" if k % 2 else words[0]
+        rows.append((None, " ".join(words), "n", 1, "b"))
+    assert found(spark, rows, NearDup(words=2)) == brute(rows, 2)
+    assert held and max(held) <= len(rows)
+
+
+def test_links_of_a_given_table_are_all_found(spark):
+    """Recall 1 against all pairs of a given table, with both lengths of shingles."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r["doc_id"], r["text"], "n", 1, "b") for r in docs.collect()]
+    for words in (2, 5):
+        assert found(spark, rows, NearDup(words=words)) == brute(rows, words)
