@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from kinmart.llm.files import rows_of
+from kinmart.workspace import stage
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret")
@@ -37,14 +38,14 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SECRET = re.compile(
     r"(?i)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s{0,8}[=:]\s{0,8}[\"']"
-    r"([^\"'\s]{8,200})[\"']"
+    r"([^\"'\s]{8,})[\"']"
 )
 #: What every match of ``SECRET`` holds, quick to look for.
 ASSIGNED = re.compile(r"[=:]\s{0,8}[\"']")
 #: ``SECRET`` and ``MARKED`` for Spark, where white space is that of Python.
 NODE_IN_SPARK = (
     r"[0-9@]|(?iU)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)"
-    r"[\s\x1c-\x1f]{0,8}[=:][\s\x1c-\x1f]{0,8}[\"'][^\"'\s\x1c-\x1f]{8,200}[\"']"
+    r"[\s\x1c-\x1f]{0,8}[=:][\s\x1c-\x1f]{0,8}[\"'][^\"'\s\x1c-\x1f]{8,}[\"']"
 )
 WORD = re.compile(r"[^\s\"'(),;<>=|]+")
 MARKED = re.compile(r"[0-9@]")
@@ -55,6 +56,8 @@ PRIOR_AGREEING = 10.0
 #: Messages have settled when none changes by more than this. From this round on they are damped.
 CLOSE, STEADY = 1e-4, 20
 BUCKETS = 1 << 14
+#: Nodes whose messages are passed together; documents are kept whole.
+NODES_AT_ONCE = 20_000
 Span = tuple[int, int, int]
 
 
@@ -258,7 +261,14 @@ class SkipChain:
     sure: float = 0.9
 
     def beliefs(self, graphs: list[Graph], rounds: int = 200) -> np.ndarray:
-        """Label probabilities of all nodes of some documents by loopy message passing.
+        """Label probabilities of all nodes of some documents."""
+        return self.passed(graphs, rounds)[0]
+
+    def passed(self, graphs: list[Graph], rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
+        """(beliefs, residual) by loopy message passing.
+
+        ``residual`` is for each document by how much a message still changed in its last round:
+        at most ``CLOSE``, unless its loops have kept it from settling in ``rounds``.
 
         A round passes messages forward through each document and back, so evidence crosses any
         number of copies in one. A document is done when no message has changed by ``CLOSE``;
@@ -279,7 +289,7 @@ class SkipChain:
         pair = np.stack([self.chain, self.skip])[edges[:, 2]]
         sent = np.zeros((2, len(edges), len(LABELS)))
         ways = ((0, 1, pair), (1, 0, pair.transpose(0, 2, 1)))
-        going = np.arange(len(edges))
+        going, residual = np.arange(len(edges)), np.zeros(len(graphs))
         for turn in range(rounds):
             if not len(going):
                 break
@@ -298,9 +308,11 @@ class SkipChain:
                     sent[way, now] += step
                     np.add.at(scores, edges[now, target], step)
                     np.maximum.at(change, edges[now, 3], np.abs(step).max(axis=1))
+            own = np.unique(edges[going, 3])
+            residual[own] = change[own]
             going = going[change[edges[going, 3]] > CLOSE]
         scores = np.exp(scores - scores.max(axis=1, keepdims=True))
-        return scores / scores.sum(axis=1, keepdims=True)
+        return scores / scores.sum(axis=1, keepdims=True), residual
 
     def added(self, text: str, graph: Graph, beliefs: np.ndarray, base: list[Span]) -> list[Span]:
         """Spans of nodes labelled with confidence and outside all pattern spans."""
@@ -343,7 +355,8 @@ def fit(
     text: str = "text",
 ) -> SkipChain:
     """Fit on at most ``sample_docs`` documents (those of least hashed id that have a node) and
-    ``sample_nodes`` of their nodes; only hashed features and labels of these reach the driver.
+    ``sample_nodes`` of their nodes, those of least hash; only hashed features and labels of
+    these reach the driver. The same rows give the same field however they are partitioned.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     marked = rows.where(F.col("text").rlike(NODE_IN_SPARK))
@@ -362,17 +375,23 @@ def fit(
                 for k, label in enumerate(labels):
                     a, kind = last.get(k, (0, -1))
                     before = labels[a] if kind >= 0 else -1
-                    out.append((graph.features[k].tolist(), label, kind, before))
-            columns = list(zip(*out)) or [[]] * 4
-            kinds = [pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int32()]
+                    token = row["text"][slice(*graph.spans[k])]
+                    draw = xxhash.xxh32_intdigest(f"{row['doc_id']}:{k}:{token}")
+                    out.append((graph.features[k].tolist(), label, kind, before, draw))
+            columns = list(zip(*out)) or [[]] * 5
+            kinds = [pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, k) for x, k in zip(columns, kinds)],
-                names=["features", "label", "edge", "before"],
+                names=["features", "label", "edge", "before", "draw"],
             )
 
-    schema = "features array<int>, label int, edge int, before int"
-    held = marked.join(wanted, "doc_id").select("text").mapInArrow(nodes, schema)
-    held = held.limit(sample_nodes).toPandas()
+    schema = "features array<int>, label int, edge int, before int, draw long"
+    held = stage(marked.join(wanted, "doc_id").mapInArrow(nodes, schema), "pii-nodes")
+    # Of very many nodes a share a little above the bound is fetched, then cut to it.
+    share = 1.05 * sample_nodes / max(1, held.count())
+    held = held.where(F.col("draw") < int(min(1.0, share) * (1 << 32))).toPandas()
+    order = ["draw", "label", "edge", "before"]
+    held = held.sort_values(order, kind="stable").head(sample_nodes).reset_index(drop=True)
     n = len(LABELS)
     if not len(held):
         weights = np.zeros((BUCKETS, n))
@@ -418,45 +437,61 @@ def softmax_weights(features: np.ndarray, labels: np.ndarray, epochs: int = 12)
 
 
 def find(docs: DataFrame, model: SkipChain, text: str = "text") -> DataFrame:
-    """(row, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every document.
+    """(row, n_email, n_ip, n_card, n_phone, base_sha256, spans, residual) of every document.
 
     ``row`` holds the columns of ``docs`` as they came. Spans are ``kind:start:end`` in code
     points, end exclusive, by kind and start, joined by commas: those of the patterns, which
     always stay, and those the field adds outside them. A null or empty text has none. Counts
-    and ``base_sha256`` are of the pattern spans alone.
+    and ``base_sha256`` are of the pattern spans alone. ``residual`` tells how far the field's
+    messages were from settled: 0 without nodes, above ``CLOSE`` where they never did.
     """
     whole = docs.select(
         F.col(text).cast("string").alias("text"),
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
     )
-    names = [*(f"n_{kind}" for kind in BASE), "base_sha256", "spans"]
+    names = [*(f"n_{kind}" for kind in BASE), "base_sha256", "spans", "residual"]
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [row["text"] or "" for row in rows_of(batch.select(["text"]))]
-            bases = [base_spans(x) for x in texts]
-            spans = list(bases)
-            marked = [k for k, x in enumerate(texts) if MARKED.search(x) or assigned(x)]
-            graphs = [graph_of(texts[k], bases[k]) for k in marked]
-            if graphs:
-                beliefs = model.beliefs(graphs)
-                at = 0
-                for k, graph in zip(marked, graphs):
-                    own = beliefs[at : at + len(graph.spans)]
-                    at += len(graph.spans)
-                    more = model.added(texts[k], graph, own, bases[k])
-                    spans[k] = sorted([*bases[k], *more])
-            counts = [
-                pa.array([sum(x[0] == kind for x in b) for b in bases], pa.int64())
-                for kind in range(len(BASE))
-            ]
-            sums = [hashlib.sha256(written(b).encode()).hexdigest() for b in bases]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), *counts, pa.array(sums), pa.array([written(x) for x in spans], pa.string())],
-                names=["row", *names],
-            )
+            for low in range(0, batch.num_rows, 256):
+                yield label_some(batch.slice(low, 256))
+
+    def label_some(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bases, spans, residual = [], [], np.zeros(batch.num_rows)
+        held: list[tuple[int, str, Graph]] = []
+
+        def pass_messages() -> None:
+            beliefs, left = model.passed([graph for _, _, graph in held])
+            at = 0
+            for (k, text, graph), change in zip(held, left):
+                own = beliefs[at : at + len(graph.spans)]
+                at += len(graph.spans)
+                spans[k] = sorted([*bases[k], *model.added(text, graph, own, bases[k])])
+                residual[k] = change
+            held.clear()
+
+        for k, row in enumerate(rows_of(batch.select(["text"]))):
+            value = row["text"] or ""
+            bases.append(base_spans(value))
+            spans.append(bases[k])
+            if MARKED.search(value) or assigned(value):
+                held.append((k, value, graph_of(value, bases[k])))
+                if sum(len(graph.spans) for _, _, graph in held) > NODES_AT_ONCE:
+                    pass_messages()
+        if held:
+            pass_messages()
+        counts = [
+            pa.array([sum(x[0] == kind for x in b) for b in bases], pa.int64())
+            for kind in range(len(BASE))
+        ]
+        sums = [hashlib.sha256(written(b).encode()).hexdigest() for b in bases]
+        columns = [pa.array(sums, pa.string()), pa.array([written(x) for x in spans], pa.string())]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("row"), *counts, *columns, pa.array(residual)], names=["row", *names]
+        )
 
     schema = whole.select("row").schema
     for name in names:
-        schema = schema.add(name, "long" if name.startswith("n_") else "string")
+        kind = "long" if name.startswith("n_") else "double" if name == "residual" else "string"
+        schema = schema.add(name, kind)
     return whole.mapInArrow(label, schema)

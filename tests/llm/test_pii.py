@@ -196,3 +196,77 @@ def test_secrets_of_letters_are_found_with_their_copies(spark):
     want = [f"secret:{m.start()}:{m.end()}" for m in re.finditer(key, text)]
     assert got[1]["spans"].split(",") == want and len(want) == 13
     assert got[2]["spans"] == ""
+
+
+def test_assigned_values_may_have_any_length(spark, model):
+    for n in (200, 201, 5000):
+        value = LETTERS * (n // len(LETTERS)) + LETTERS[: n % len(LETTERS)]
+        text = f'a password = "{value}" and {value} again'
+        assert len(pii.graph_of(text, []).spans) == 2
+        got = found(spark, model, [(1, text, 1, "", "")])
+        want = [f"secret:{m.start()}:{m.end()}" for m in re.finditer(value, text)]
+        assert got[1]["spans"].split(",") == want and got[1]["residual"] <= pii.CLOSE
+
+
+def test_the_sample_of_nodes_does_not_depend_on_partitions(spark):
+    dice, rows = random.Random(12), []
+    for k in range(120):
+        rows.append((k, f'{prose(dice)} token = "{secret(dice)}" on day {k} of {1900 + k}', 1, "", ""))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    one = pii.fit(docs.coalesce(1), sample_nodes=150)
+    other = pii.fit(docs.repartition(5, "text"), sample_nodes=150)
+    assert np.array_equal(one.weights, other.weights) and np.array_equal(one.skip, other.skip)
+
+
+def test_small_loopy_graphs_come_near_enumeration():
+    """On graphs with loops the beliefs are near the true marginals and agree on the label."""
+    dice, n = np.random.default_rng(8), 3
+    seen = 0
+    for _ in range(60):
+        size = int(dice.integers(3, 6))
+        pairs = [(a, b) for b in range(size) for a in range(b)]
+        some = [pairs[k] for k in dice.choice(len(pairs), min(len(pairs), size + 1), replace=False)]
+        chain = [p for p in some if p[1] - p[0] == 1]
+        skip = [p for p in some if p[1] - p[0] > 1]
+        labels = len(pii.LABELS)
+        weights = np.full((pii.BUCKETS, labels), -50.0)
+        weights[:size, :n] = dice.normal(size=(size, n)) * 1.5
+        features = np.full((size, pii.FEATURES), size)
+        features[:, 0] = np.arange(size)
+        weights[size] = 0.0
+        weights[size, n:] = -50.0
+        graph = pii.Graph([(k, k + 1) for k in range(size)], features, np.zeros(size, np.int64), chain, skip)
+        table = lambda: np.pad(dice.normal(size=(n, n)) * 0.4, (0, labels - n))
+        model = pii.SkipChain(weights, table(), table() + np.eye(labels))
+        got, residual = model.passed([graph])
+        assert residual[0] <= pii.CLOSE
+        scores = weights[features].sum(axis=1)[:, :n]
+        truth = np.zeros((size, n))
+        for point in np.ndindex(*[n] * size):
+            total = sum(scores[k, v] for k, v in enumerate(point))
+            total += sum(model.chain[point[a], point[b]] for a, b in chain)
+            total += sum(model.skip[point[a], point[b]] for a, b in skip)
+            for k, v in enumerate(point):
+                truth[k, v] += np.exp(total)
+        truth /= truth.sum(axis=1, keepdims=True)
+        assert np.abs(got[:, :n] - truth).max() < 0.15
+        sure = truth.max(axis=1) > 0.7
+        assert (got[sure].argmax(axis=1) == truth[sure].argmax(axis=1)).all()
+        seen += int(sure.sum())
+    assert seen > 50
+
+
+def test_planted_secrets_of_the_given_documents_are_found(spark):
+    """Recall of quoted tokens, and of their bare copies, on a given table: at least 0.9."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    made = pii.find(docs, pii.fit(docs)).select("row.text", "spans").collect()
+    planted = caught = marked = 0
+    for row in made:
+        spans = {x for x in row["spans"].split(",") if x.startswith("secret:")}
+        marked += len(spans)
+        values = {m[1] for m in re.finditer(r'(?i)token = "([^"\s]{8,})"', row["text"] or "")}
+        for value in values:
+            for m in re.finditer(re.escape(value), row["text"]):
+                planted += 1
+                caught += f"secret:{m.start()}:{m.end()}" in spans
+    assert planted > 10 and caught >= 0.9 * planted and marked <= 1.1 * planted
