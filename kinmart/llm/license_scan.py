@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -450,7 +450,10 @@ class Scanner:
         self.must = [[self.vocabulary[m.encode()] for m in t.must] for t in templates]
 
     def scan(self, text: str) -> list[tuple]:
-        """(license, template, coverage, first_word, last_word): the best place of each template.
+        """(license, template, coverage, first_word, last_word): every place of each template.
+
+        Of places of one template that overlap, the one that aligns most words counts, then the
+        first of equals.
 
         An occurrence may span ``reaches`` words of the text at most, other words included. For
         each reach a template is tried on stretches that overlap by it, so every occurrence lies
@@ -471,7 +474,7 @@ class Scanner:
             starts = np.arange(0, max(1, len(words) - size), step)
             sums = np.r_[0, np.cumsum(self.member[k][ids])]
             musts = [np.r_[0, np.cumsum(ids == m)] for m in set(self.must[k])]
-            limit, best, tried = reaches(size)[-1], None, set()
+            limit, places, tried = reaches(size)[-1], set(), set()
             for reach in reaches(size):
                 ends = np.minimum(starts + reach + step, len(words))
                 hopeful = sums[ends] - sums[starts] >= self.least * size
@@ -486,16 +489,28 @@ class Scanner:
                     continue
                 if pairs[-1][0] - pairs[0][0] >= limit:
                     continue
-                found = (-coverage, start + pairs[0][0], start + pairs[-1][0], len(pairs))
-                best = min(best, found) if best else found
-            if best:
-                out.append((template.license, template.name, -best[0], *best[1:]))
-        return [x[:5] for x in out if not any(self.covers(y, x) for y in out)]
+                places.add((-coverage, start + pairs[0][0], start + pairs[-1][0], len(pairs)))
+            taken: list[tuple[int, int]] = []
+            for cost, first, last, aligned in sorted(places):
+                k = bisect_left(taken, (first,))
+                apart = (k == len(taken) or taken[k][0] > last) and (not k or taken[k - 1][1] < first)
+                if apart:
+                    taken.insert(k, (first, last))
+                    out.append((template.license, template.name, -cost, first, last, aligned))
+        out.sort(key=lambda x: (x[3], x[4], x[0], x[1]))
+        places_of: dict[tuple, list[tuple]] = {}
+        for x in out:
+            places_of.setdefault(x[:2], []).append((x[3], x[4], x[5]))
+        return [x[:5] for x in out if not self.covered(x, places_of.values())]
 
     @staticmethod
-    def covers(y: tuple, x: tuple) -> bool:
-        """Whether ``y`` aligns more words in a stretch that holds that of ``x``."""
-        return y[5] > x[5] and y[3] <= x[3] and y[4] >= x[4]
+    def covered(x: tuple, others: Iterable[list[tuple]]) -> bool:
+        """Whether a place that holds that of ``x`` aligns more words; a template's don't overlap."""
+        for own in others:
+            k = bisect_left(own, (x[3] + 1,)) - 1
+            if k >= 0 and own[k][1] >= x[4] and own[k][2] > x[5]:
+                return True
+        return False
 
 
 def scan(
@@ -505,11 +520,11 @@ def scan(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """(doc_id, license, template, coverage, first_word, last_word) of every template found.
+    """(doc_id, license, template, coverage, first_word, last_word) of every place of a template.
 
     A template is found where at least the share ``least`` of its words aligns, its ``must``
     words among them, within one and a half times (notices) or three times (longer ones) as
-    many words as it has; its best and then first place counts. Inside a place where another
+    many words as it has; places of one template don't overlap, the best and then first ones count. Inside a place where another
     template aligns more words it is not reported (CC BY inside CC BY-NC). Texts are scanned whole. Null and
     empty texts hold no license, null ids are passed on, repeated rows are scanned each.
     """

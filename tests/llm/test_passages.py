@@ -202,3 +202,56 @@ def test_notices_bear_half_as_many_words_at_every_offset():
     for offset in range(6):
         for notice, found in (("licensed under dnl the rem mit license", 1), ("released under the x y z v w mit license", 0)):
             assert len(scanner.scan("q " * (50 + offset) + notice + " z" * 50)) == found
+
+
+def every_window(scanner, text):
+    """(license, template, first, last) by aligning each template at every word of the text."""
+    words, out = lic.words_of(text), []
+    for k, template in enumerate(scanner.templates):
+        size, held = len(scanner.words[k]), []
+        for start in range(len(words)):
+            for reach in lic.reaches(size):
+                pairs = lic.align(words[start : start + reach], scanner.words[k])
+                aligned = {scanner.vocabulary[scanner.words[k][q]] for _, q in pairs}
+                if len(pairs) < scanner.least * size or not aligned.issuperset(scanner.must[k]):
+                    continue
+                if pairs[-1][0] - pairs[0][0] < lic.reaches(size)[-1]:
+                    held.append((-len(pairs), start + pairs[0][0], start + pairs[-1][0]))
+        taken = []
+        for cost, first, last in sorted(set(held)):
+            if all(last < a or first > b for a, b, _ in taken):
+                taken.append((first, last, -cost))
+        out.extend((template.license, template.name, *place) for place in taken)
+    kept = [
+        x for x in out
+        if not any(y[4] > x[4] and y[2] <= x[2] and y[3] >= x[3] for y in out)
+    ]
+    return sorted(x[:4] for x in kept)
+
+
+def test_scans_equal_a_scan_of_every_window():
+    dice = random.Random(21)
+    some = [x for x in lic.TEMPLATES if len(lic.words_of(x.text)) <= 40]
+    scanner = lic.Scanner(some, 0.85)
+    filler = ["the", "of", "license", "software", "and", "mit", "gnu", "word", "public"]
+    for _ in range(25):
+        parts = []
+        for _ in range(dice.randint(1, 5)):
+            parts += dice.choices(filler, k=dice.randint(8, 40))
+            words = dice.choice(some).text.split()
+            if dice.random() < 0.5 and len(words) > 8:
+                words[dice.randrange(len(words))] = "changed"
+            parts += words
+        text = " ".join(parts + dice.choices(filler, k=30))
+        got = sorted((x[0], x[1], x[3], x[4]) for x in scanner.scan(text))
+        assert got == every_window(scanner, text)
+
+
+def test_every_grant_of_a_file_is_reported():
+    grant = next(x for x in lic.TEMPLATES if x.license == "MIT" and len(x.text) > 300)
+    text = f"one {grant.text} two " + "between " * 50 + f"{grant.text} three {grant.text}"
+    found = [x for x in lic.Scanner(lic.TEMPLATES, 0.85).scan(text) if x[1] == grant.name]
+    size = len(lic.words_of(grant.text))
+    assert [(x[0], x[2], x[3]) for x in found] == [
+        ("MIT", 1.0, 1), ("MIT", 1.0, 52 + size), ("MIT", 1.0, 53 + 2 * size)
+    ]
