@@ -26,7 +26,6 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 NAMES = uuid.UUID("5f0d7a52-4f5e-5c1b-9d0e-3a1f6b2c8e77")
 END = b"\r\n\r\n"
 CHUNK = 1 << 18
-LONGEST_HEAD = 1 << 20
 RECORD = (
     "record_id string, record_type string, target_uri string, page_id long, refers_to long, "
     "payload_bytes long, payload_digest string, payload binary"
@@ -89,7 +88,7 @@ class RecordParser:
     def __init__(self, keep_payload: bool):
         self.head: dict[str, str] | None = None
         self.http: dict[str, str] = {}
-        self.held = b""
+        self.held = bytearray()
         self.left = 0
         self.in_payload = False
         self.block, self.payload = hashlib.sha1(), hashlib.sha1()
@@ -102,22 +101,23 @@ class RecordParser:
         return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
 
     def cut_head(self, data: bytes) -> tuple[bytes | None, bytes]:
+        """The head and what follows it, or None as long as its end has not come."""
+        seen = max(0, len(self.held) - len(END) + 1)
         self.held += data
-        at = self.held.find(END)
+        at = self.held.find(END, seen)
         if at < 0:
-            if len(self.held) > LONGEST_HEAD:
-                raise ValueError("a record's head does not end")
             return None, b""
-        head, rest, self.held = self.held[:at], self.held[at + 4 :], b""
+        head, rest, self.held = bytes(self.held[:at]), bytes(self.held[at + len(END) :]), bytearray()
         return head, rest
 
     def feed(self, data: bytes) -> None:
         if self.head is None:
             head, data = self.cut_head(data)
+            begins = bytes((self.held if head is None else head)[:5])
+            if not b"WARC/".startswith(begins):
+                raise ValueError("a member does not begin with a WARC record")
             if head is None:
                 return
-            if not head.startswith(b"WARC/"):
-                raise ValueError("a member does not begin with a WARC record")
             self.head = self.fields(head)
             self.left = int(self.head["content-length"])
             self.in_payload = not self.head.get("content-type", "").startswith("application/http")

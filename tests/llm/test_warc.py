@@ -98,3 +98,10 @@ def test_records_are_framed_however_the_bytes_come():
 def test_damage_is_noticed(data):
     with pytest.raises((ValueError, zlib.error)):
         list(warc.parse(io.BytesIO(data)))
+
+
+def test_heads_may_have_any_length():
+    url = "http://a/" + "x" * 3_000_000
+    raw = warc.record_bytes(1, url, b"abc", bare("abc"), 3, None, "d")
+    rows = list(warc.parse(io.BytesIO(member(raw)), keep_payload=True))
+    assert rows[0][2] == url and rows[0][7] == b"abc"
