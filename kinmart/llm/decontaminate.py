@@ -10,12 +10,12 @@ does not count and items match whole words.
 
 from __future__ import annotations
 
-import uuid
+import pickle
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from kinmart.llm.files import rows_of
@@ -151,14 +151,21 @@ class Matcher:
         return sorted(out, key=lambda m: (m["first_word"], m["item_id"] is None, m["item_id"]))
 
 
-@lru_cache(maxsize=2)
+_kept: dict[tuple, Matcher] = {}
+
+
 def _matcher(name: str, shared, percent: float) -> Matcher:
-    return Matcher(shared.value, percent)
+    """The matcher of a block of items, known by its content; a worker keeps only one."""
+    if (name, percent) not in _kept:
+        _kept.clear()
+        _kept[name, percent] = Matcher(shared.value, percent)
+    return _kept[name, percent]
 
 
 def match_block(docs: DataFrame, items: list, percent: float, text: str) -> DataFrame:
     """(row, matches): every document, its columns in ``row``, with its matches in this block."""
-    shared, name = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+    name = xxhash.xxh3_128_hexdigest(pickle.dumps(items))
     whole = docs.select(
         F.col(text).cast("string").alias("text"),
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
