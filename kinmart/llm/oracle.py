@@ -41,13 +41,25 @@ GROUP BY l.doc_id
 """
 
 QUOTES = r"""
-WITH RECURSIVE l AS (
+WITH RECURSIVE originals AS (
+  SELECT conv_id, turn, max(text) AS said FROM conversations GROUP BY conv_id, turn
+), quoting AS (
+  SELECT c.conv_id, c.turn, c.role,
+    CASE WHEN c.turn % 4 = 3 AND far.said IS NOT NULL THEN
+      concat('> > ', replace(far.said, chr(10), concat(chr(10), '> > ')), chr(10)) ELSE '' END ||
+    CASE WHEN c.turn % 2 = 1 AND near.said IS NOT NULL THEN
+      concat('> ', replace(near.said, chr(10), concat(chr(10), '> ')), chr(10)) ELSE '' END ||
+    coalesce(c.text, '') AS text
+  FROM conversations c
+  LEFT JOIN originals near ON near.conv_id = c.conv_id AND near.turn = c.turn - 1 - c.turn % 3
+  LEFT JOIN originals far ON far.conv_id = c.conv_id AND far.turn = c.turn - 2
+), l AS (
   SELECT conv_id, turn, place, whole,
     length(regexp_replace(regexp_extract(whole, '^[ \t]*(?:>[ \t]*)+'), '[^>]', '', 'g')) AS level,
     regexp_replace(whole, '^[ \t]*(?:>[ \t]*)+', '') AS line
   FROM (SELECT conv_id, turn, unnest(parts) AS whole, unnest(range(len(parts))) AS place
         FROM (SELECT conv_id, turn, string_split(coalesce(text, ''), chr(10)) AS parts
-              FROM conversations))
+              FROM quoting))
 ), r AS (
   SELECT *, sum(new) OVER (PARTITION BY conv_id, turn ORDER BY place) AS run
   FROM (SELECT *, CASE WHEN level <> lag(level) OVER (PARTITION BY conv_id, turn ORDER BY place)
@@ -70,7 +82,7 @@ WITH RECURSIVE l AS (
     ORDER BY level, weight DESC, first DESC) = 1
 ), t AS (
   SELECT c.conv_id, c.turn, c.turn AS thread
-  FROM conversations c LEFT JOIN p ON p.conv_id = c.conv_id AND p.turn = c.turn
+  FROM quoting c LEFT JOIN p ON p.conv_id = c.conv_id AND p.turn = c.turn
   WHERE p.turn IS NULL
   UNION ALL
   SELECT p.conv_id, p.turn, t.thread
@@ -85,7 +97,7 @@ SELECT c.conv_id,
   row_number() OVER (PARTITION BY c.conv_id ORDER BY thread, c.turn) - 1 AS position,
   c.turn, c.role, CASE WHEN quotes THEN own ELSE coalesce(c.text, '') END AS content,
   reply_to, thread
-FROM conversations c
+FROM quoting c
 JOIN t ON t.conv_id = c.conv_id AND t.turn = c.turn
 JOIN k ON k.conv_id = c.conv_id AND k.turn = c.turn
 LEFT JOIN p ON p.conv_id = c.conv_id AND p.turn = c.turn

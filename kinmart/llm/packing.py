@@ -69,23 +69,26 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: str
     return stage(rows.mapInArrow(make, schema), "pack-ids"), kind
 
 
-def quanta(lengths: DataFrame, mixture: Mapping[str, float] | None, window: int) -> DataFrame:
+def quanta(
+    lengths: DataFrame, mixture: Mapping[str, float] | None, window: int, temperature: float
+) -> DataFrame:
     """(queue, quantum): tokens a queue is given in a round; a round gives about one window.
 
     ``mixture`` maps a source to its target share of the tokens. A source that it does not name
-    keeps its natural share, and without a mixture all do, so all queues end together.
+    gets a share in proportion to its tokens to the power of 1 / ``temperature``: at 1 its
+    natural one, so that all queues end together, at 2 its square root, which gives small
+    sources more of the early windows.
     """
-    weight = F.col("tokens") / F.col("all_tokens")
+    if temperature <= 0 or any(not share > 0 for share in (mixture or {}).values()):
+        raise ValueError("shares and temperature must be positive")
+    tokens = stage(lengths.groupBy("queue").agg(F.sum("n_tokens").alias("tokens")), "pack-queues")
+    power = F.pow(F.col("tokens").cast("double"), F.lit(1.0 / temperature))
+    total = tokens.agg(F.sum(power).alias("all")).first()["all"] or 1.0
+    weight = power / F.lit(total)
     if mixture:
-        if any(not share > 0 for share in mixture.values()):
-            raise ValueError("shares must be positive")
         named = F.create_map(*(F.lit(x) for k, v in mixture.items() for x in ("=" + k, float(v))))
         weight = F.coalesce(F.element_at(named, F.col("queue")), weight)
-    tokens = stage(lengths.groupBy("queue").agg(F.sum("n_tokens").alias("tokens")), "pack-queues")
-    total = tokens.agg(F.sum("tokens").alias("all_tokens"), F.count(F.lit(1)).alias("n"))
-    total = total.first()
-    weighted = tokens.withColumn("all_tokens", F.lit(total["all_tokens"] or 1))
-    return weighted.select("queue", (weight * window).alias("quantum"))
+    return tokens.select("queue", (weight * window).alias("quantum"))
 
 
 def pack(
@@ -99,6 +102,7 @@ def pack(
     text: str = "text",
     source: str = "source",
     with_ids: bool = False,
+    temperature: float = 1.0,
 ) -> DataFrame:
     """Pieces of all documents: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, source, ids).
@@ -111,7 +115,7 @@ def pack(
     """
     tokens, kind = encoded(docs, tokenizer, end_id, doc_id, text, source)
     lengths = tokens.select("uid", "doc_id", "queue", "n_tokens")
-    share = quanta(lengths, mixture, window)
+    share = quanta(lengths, mixture, window, temperature)
     queued = with_total_before(lengths, "queue", ["doc_id", "uid"], "n_tokens")
     first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, F.lit(packet)))
     packets = queued.select("*", first.alias("start"))

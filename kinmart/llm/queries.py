@@ -83,14 +83,36 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quoting(conversations: DataFrame) -> DataFrame:
+    """The given conversations with quotes, of which they hold none: every second message first
+    quotes an earlier one of its conversation, every fourth with another inside that quote."""
+    originals = conversations.groupBy("conv_id", "turn").agg(F.max("text").alias("said"))
+    rows = conversations
+    for name, back in (("near", 1 + F.col("turn") % 3), ("far", F.lit(2))):
+        earlier = originals.select(
+            "conv_id", F.col("turn").alias("at"), F.col("said").alias(name)
+        )
+        rows = rows.withColumn("at", F.col("turn") - back).join(earlier, ["conv_id", "at"], "left")
+        rows = rows.drop("at")
+    marked = lambda c, mark: F.concat(
+        F.lit(mark), F.replace(F.col(c), F.lit("\n"), F.concat(F.lit("\n"), F.lit(mark))), F.lit("\n")
+    )
+    none = F.lit("")
+    inner = F.when(F.col("turn") % 4 == 3, F.coalesce(marked("far", "> > "), none)).otherwise(none)
+    outer = F.when(F.col("turn") % 2 == 1, F.coalesce(marked("near", "> "), none)).otherwise(none)
+    text = F.concat(inner, outer, F.coalesce("text", none))
+    return rows.select("conv_id", "turn", "role", text.alias("text"))
+
+
 def quotes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_quotes(table(spark, sf_dir, "conversations"))
+    return link_quotes(quoting(table(spark, sf_dir, "conversations")))
 
 
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source's target share goes with the square root of its tokens."""
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), END_OF_PACKED)
-    return pieces.drop("ids")
+    path = tokenizer_path("byte_bpe_50k.json")
+    return packing.pack(docs, path, END_OF_PACKED, temperature=2.0).drop("ids")
 
 
 def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,3 +111,8 @@ def test_one_row_of_each_component_stays_whatever_the_ids(spark):
     assert len(ends) == 1 and ends[0][0] == 5
     want = [(3, a), (None, b), (None, c), (None, None), (None, ""), (9, None), (5, rows[-1][1])]
     assert [x for x in got if x not in ends] == sorted(want, key=str)
+
+
+def test_a_column_of_any_name_passes_unchanged(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "mine"), (2, "a b c d e f", "mine")], "doc_id long, text string, Near_Dedup_Row string")
+    assert [tuple(r) for r in cp.drop_near_duplicates(spark, docs, "").collect()] == [(1, "a b c d e f", "mine")]

@@ -181,3 +181,19 @@ def test_windows_follow_the_mixture(spark):
     assert abs(share - 0.75) < 0.02
     with pytest.raises(ValueError):
         packing.pack(docs, BYTES, 1, {"a": 0.0})
+
+
+def test_temperature_evens_out_the_sources(spark):
+    """Shares follow the square roots of the sources' tokens, until the small one is empty."""
+    rows = [(k, "w " * 40, "a" if k % 10 else "b", "", 0) for k in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    pieces = packing.pack(docs, BYTES, 1, window=256, packet=16, temperature=2.0).collect()
+    check_pieces(rows, pieces, 256)
+    want = 1 / (1 + 9**0.5)
+    last = max(p.sequence_id for p in pieces if p.source == "b")
+    for w in range(0, last - 1, 4):
+        held = [p for p in pieces if w <= p.sequence_id < w + 4]
+        share = sum(p.length for p in held if p.source == "b") / sum(p.length for p in held)
+        assert abs(share - want) < 0.02
+    with pytest.raises(ValueError):
+        packing.pack(docs, BYTES, 1, temperature=0)
