@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kinmart.llm import decontaminate, packing, quality_rules
 from kinmart.llm.line_dedup import LineIndex
 from kinmart.llm.near_dup import NearDup, near_duplicates
-from kinmart.workspace import stage
+from kinmart.workspace import scratch, stage
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
@@ -46,6 +46,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     apart by a number of their own, as ids may be missing or repeat.
     """
     row = "near_dedup_row"
+    while row in [c.lower() for c in docs.columns]:
+        row += "_"
     numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-numbered")
     groups = near_duplicates(numbered, NearDup(words=5), doc_id=row)
     groups = groups.select(F.col("doc_id").alias(row), "component_id")
@@ -82,5 +84,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch() as held:
+            docs = held.keep(stage(apply(spark, docs, sf_dir), f"pipeline-{name}"))
     return STAGES[-1][1](spark, docs, sf_dir)
