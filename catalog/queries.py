@@ -13,7 +13,7 @@ from catalog import inputs
 from catalog.mart import SETTINGS, document_mart, role, table
 from kinmart import Settings
 from kinmart.functions.bits import tanimoto
-from kinmart.functions.casts import safe_decimal
+from kinmart.functions.casts import register_safe_numeric, safe_decimal
 from kinmart.operators import fingerprints, ranking, selection, similarity
 from kinmart.operators.conform import conform
 from kinmart.plans import mart as marts
@@ -21,6 +21,7 @@ from kinmart.plans import quality as q
 from kinmart.plans.jobs import latest_results
 from kinmart.schemas import KEY
 from kinmart.sources import batches, records, release
+from kinmart.sources.store import TableStore
 from kinmart.streaming import ingest, upserts
 from kinmart.workspace import new_dir, stage
 
@@ -110,11 +111,13 @@ def batch_files(spark: SparkSession, sf_dir: str) -> str:
     path = new_dir(spark, "batch_files")
 
     def write(folder: str, rows: DataFrame) -> None:
-        rows.write.option("header", True).option("escape", '"').csv(f"{path}/{folder}")
+        # In order of the key, so that a row's place in its file is known.
+        ordered = rows.coalesce(1).sortWithinPartitions("p_partkey").drop("p_partkey")
+        ordered.write.option("header", True).option("escape", '"').csv(f"{path}/{folder}")
 
     size = F.col("p_size")
     key, name = F.col("p_partkey").alias("compound_id"), F.col("p_name").alias("compound_name")
-    write("a", part.where(size < 17).select(key, name, F.col("p_brand").alias("lab_id")))
+    write("a", part.where(size < 17).select(key, name, F.col("p_brand").alias("lab_id"), "p_partkey"))
     broken = F.concat(F.lit('say "'), "p_name", F.lit('",\nthen '), "p_type")
     write(
         "b",
@@ -123,6 +126,7 @@ def batch_files(spark: SparkSession, sf_dir: str) -> str:
             broken.alias("COMPOUND_NAME"),
             F.col("p_size").alias("IC50_nM"),
             F.col("p_partkey").alias("mystery"),
+            "p_partkey",
         ),
     )
     write(
@@ -131,6 +135,7 @@ def batch_files(spark: SparkSession, sf_dir: str) -> str:
             F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("compound_name"),
             F.when(size > 45, F.lit("   ")).otherwise(F.lit("2024-01-25")).alias("Collection_Date"),
             F.col("p_type").alias("p_type"),
+            "p_partkey",
         ),
     )
     return path
@@ -140,7 +145,7 @@ def batch_files(spark: SparkSession, sf_dir: str) -> str:
 def land_csv(spark, sf_dir):
     landed = batches.land_batches(spark, batch_files(spark, sf_dir)).rows
     layout = F.split("source_file", "/")[0]
-    return landed.drop("source_row").withColumn("source_file", layout)
+    return landed.withColumn("source_file", layout)
 
 
 @query
@@ -259,10 +264,37 @@ def fingerprint_library(spark, sf_dir):
     return words_text(document_mart(spark, sf_dir).fingerprints())
 
 
+PUBLISHED = Settings(shard_size=250)
+
+
 @query
 def published_library(spark, sf_dir):
+    """The shards a library is published in, each read back from its own folder."""
+    path = new_dir(spark, "published")
+    fingerprints.publish_library(document_mart(spark, sf_dir).library, path, PUBLISHED)
+    return (
+        spark.read.parquet(path)
+        .select("*", F.col("_metadata.file_path").alias("file"))
+        .groupBy(F.col("shard").cast("bigint").alias("shard"))
+        .agg(
+            F.min("item_id").alias("first_id"),
+            F.max("item_id").alias("last_id"),
+            F.count("*").alias("items"),
+            F.sum("pc").alias("bits"),
+            F.max(F.size("fp")).alias("n_words"),
+            F.count_distinct("file").alias("files"),
+        )
+    )
+
+
+@query
+def fingerprint_exchange(spark, sf_dir):
+    """Fingerprints as packed bytes, the layout for exchange, and read back from it."""
     library = document_mart(spark, sf_dir).library
-    return library.select("item_id", "pc", F.size("fp").alias("n_words"))
+    packed = fingerprints.to_packed_bytes(library, SETTINGS.n_bits)
+    again = fingerprints.from_packed_bytes(packed, SETTINGS.n_bits)
+    hexed = packed.select("item_id", F.lower(F.hex("fingerprint")).alias("packed"))
+    return hexed.join(again.select("item_id", "pc"), "item_id")
 
 
 @query
@@ -490,32 +522,37 @@ def layer_counts(spark, sf_dir):
 # Quality. The drafts carry defects, so that every check has something to count.
 
 
-def silver_draft(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def silver_draft(spark: SparkSession, sf_dir: str, dropping: bool = False) -> dict[str, DataFrame]:
+    """All documents as molecules with defects; ``dropping`` loses those of one language."""
     dictionary, properties, structures = document_bronze(spark, sf_dir)
-    named = dictionary.where(F.col("molecule_type") != "de")
-    silver = conform(named, properties, structures).where(F.col("molecule_type") != "es")
+    silver = conform(dictionary, properties, structures)
+    silver = silver.where(F.col("molecule_type") != "es") if dropping else silver
     blanked = F.when(F.col("molecule_type") == "fr", F.lit("  ")).when(
         ~F.coalesce(F.col("ro3_pass"), F.lit(False)), F.col("canonical_smiles")
     )
     molecules = silver.withColumn("canonical_smiles", blanked)
     copies = molecules.where(F.col("aromatic_rings") == 0)
     return {
-        q.DICTIONARY: named,
+        q.DICTIONARY: dictionary,
         q.PROPERTIES: properties,
         q.STRUCTURES: structures,
         q.MOLECULES: molecules.unionAll(copies),
     }
 
 
-def source_draft(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def source_draft(spark: SparkSession, sf_dir: str, dropping: bool = False) -> dict[str, DataFrame]:
+    """All input rows with defects; ``dropping`` loses some chosen and some rejected ones."""
     molecules, rows = customer_case(spark, sf_dir)
     draft = role(spark, sf_dir, inputs.DRAFT_SOURCES)
     matched = selection.resolve_names(molecules, rows).select(KEY, "canonical_smiles", "origin")
-    chosen = matched.where(F.col("canonical_smiles") != "BUILDING").unionByName(draft)
     rejected = selection.rejected_rows(molecules, rows)
-    kept = rejected.where(F.col("source_file") != "5-LOW").withColumn(
+    if dropping:
+        matched = matched.where(F.col("canonical_smiles") != "BUILDING")
+        rejected = rejected.where(F.col("source_file") != "5-LOW")
+    kept = rejected.withColumn(
         "source_row", F.when(F.col("reason") != "compound name is blank", F.col("source_row"))
     )
+    chosen = matched.unionByName(draft)
     return {q.MOLECULES: molecules, q.INPUTS: rows, q.SOURCES: chosen, q.REJECTED: kept}
 
 
@@ -531,8 +568,13 @@ DRAFTS = {"silver": silver_draft, "source": source_draft, "gold": gold_draft}
 CHECK_SETTINGS = Settings(top_n=600, target_size=100)
 
 
+#: Checks that count lost rows read a draft that has lost some; all others read every row.
+OF_LOST_ROWS = ("every_structure_is_kept", "every_input_row_is_accounted_for")
+
+
 def draft_observations(spark, sf_dir, layer: str, names: tuple[str, ...] = ()) -> DataFrame:
-    return q.observe(DRAFTS[layer](spark, sf_dir), (layer,), CHECK_SETTINGS, names)
+    lost = {"dropping": True} if set(names) & set(OF_LOST_ROWS) else {}
+    return q.observe(DRAFTS[layer](spark, sf_dir, **lost), (layer,), CHECK_SETTINGS, names)
 
 
 def _register_checks() -> None:
@@ -728,3 +770,74 @@ def stream_no_offset(spark, sf_dir):
     land_pages(landing, pages, "r1")
     rows = landing.table("molecule_dictionary")
     return rows.select(KEY, (F.col("first_approval") % 2 == 0).alias("renewed"))
+
+
+def customer_pages(
+    spark: SparkSession, sf_dir: str, path: str, pages: Column, name: Column
+) -> str:
+    """Customers as pages of records without offsets, each record of its own identifier."""
+    customers = table(spark, sf_dir, "customer")
+    total = customers.count()
+    record = F.struct(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias(KEY),
+        name.alias("pref_name"),
+        F.col("c_nationkey").alias("first_approval"),
+    )
+    page = F.floor(F.col("c_custkey") / 50).alias("page")
+    paged = customers.groupBy(page).agg(F.collect_list(record).alias("molecules"))
+    meta = F.struct(F.lit(total).alias("total_count")).alias("page_meta")
+    paged.where(pages).repartition(4, "page").select(
+        F.to_json(F.struct("molecules", meta))
+    ).write.mode("append").text(path)
+    return path
+
+
+@query
+def stream_corrected(spark, sf_dir):
+    """Pages without offsets: the even ones, the same once more but corrected, then the rest.
+
+    Beside the newest row of each key: whether the release was complete after each step, and
+    how many records each brought.
+    """
+    landing = ingest.Landing(spark, new_dir(spark, "landing"))
+    path = new_dir(spark, "pages")
+    even, name = F.col("page") % 2 == 0, F.col("c_name")
+    steps, complete = [], []
+    for wanted, called in ((even, name), (even, F.concat(name, F.lit("!"))), (~even, name)):
+        customer_pages(spark, sf_dir, path, wanted, called)
+        steps.append(land_pages(landing, path, "r1"))
+        complete.append(landing.watermark("molecule").is_complete)
+    rows = landing.table("molecule_dictionary")
+    return rows.select(
+        KEY,
+        "pref_name",
+        "first_approval",
+        F.col("loaded_at").isNotNull().alias("is_timed"),
+        F.lit(",".join(str(x).lower() for x in complete)).alias("complete"),
+        F.lit(",".join(map(str, steps))).alias("landed"),
+    )
+
+
+@query
+def store_rebuild(spark, sf_dir):
+    """Suppliers written as a table, then twice rebuilt: what is current, how many commits it
+    took, whether the versions are the same and every row says when it was loaded."""
+    store = TableStore(spark, new_dir(spark, "store"))
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    made = [store.write("bronze.supplier", suppliers.repartition(n, "s_suppkey")) for n in (1, 3, 2)]
+    first, last = (made[k].select(suppliers.columns) for k in (0, -1))
+    same = first.exceptAll(last).isEmpty() and last.exceptAll(first).isEmpty()
+    return store["bronze.supplier"].select(
+        *suppliers.columns,
+        F.lit(store.commit_number()).alias("commits"),
+        F.lit(same).alias("is_same"),
+        F.col("loaded_at").isNotNull().alias("is_timed"),
+    )
+
+
+@query
+def safe_numeric_sql(spark, sf_dir):
+    """The safe cast called from SQL text, as a function of the session that Spark inlines."""
+    register_safe_numeric(spark)
+    role(spark, sf_dir, inputs.PART_NUMBERS).createOrReplaceTempView("part_numbers")
+    return spark.sql("SELECT p_partkey, safe_numeric(raw) AS number FROM part_numbers")

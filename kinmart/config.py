@@ -21,6 +21,7 @@ class Settings:
     top_n: int = 10
     pivot_sources: int = 10
     sources_per_pass: int = 4096
+    hashing: str = "md5"
 
     def __post_init__(self) -> None:
         if self.n_bits <= 0 or self.n_bits % 8:
@@ -28,6 +29,8 @@ class Settings:
         for name in ("shard_size", "top_n", "pivot_sources", "sources_per_pass"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1, got {getattr(self, name)}")
+        if self.hashing not in ("md5", "xxhash64"):
+            raise ValueError(f"hashing must be md5 or xxhash64, got {self.hashing}")
         if self.radius < 0 or self.target_size < 0:
             raise ValueError("radius and target_size must not be negative")
 

@@ -63,7 +63,9 @@ def text_fingerprints(
     ).where(usable(text))
     positions = spread(given, "item_id").select(
         "item_id",
-        hashed_bits(MAKERS[features](text, settings.radius), settings.n_bits).alias("bits"),
+        hashed_bits(
+            MAKERS[features](text, settings.radius), settings.n_bits, settings.hashing
+        ).alias("bits"),
     )
     return pack_positions(positions, settings.n_bits)
 
@@ -172,17 +174,15 @@ def shard_count(rows: int, shard_size: int) -> int:
     return -(-rows // shard_size)
 
 
-def shard_plan(items: DataFrame, item_id: str, shard_size: int, partitions: int) -> DataFrame:
-    """Exact key ranges of ``shard_size`` items: shard, first_id, next_id (null for the last).
+def _placed(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """``df`` staged in ranges of ``key``, with each row's place in the whole order: ``row``.
 
-    A global row_number would move every key to one task. Here the sorted ranges are staged
-    with each key's place in its range, one count per range gives the offset, and only the
-    first key of each shard is left to pair up.
+    A global row_number would move every row to one task. Here the sorted ranges are staged
+    with each row's place in its range, and one count per range gives the offset.
     """
-    keys = items.select(F.col(item_id).alias("key"))
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     placed = stage(
-        range_sorted(keys, "key", partitions)
+        range_sorted(df, key, partitions)
         .withColumn("part", F.spark_partition_id())
         .withColumn("place", place),
         "ranges",
@@ -193,9 +193,17 @@ def shard_plan(items: DataFrame, item_id: str, shard_size: int, partitions: int)
         .count()
         .select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
     )
+    row = (F.col("offset") + F.col("place")).alias("row")
+    return placed.join(offsets, "part").select(*df.columns, row)
+
+
+def shard_plan(items: DataFrame, item_id: str, shard_size: int, partitions: int) -> DataFrame:
+    """Exact key ranges of ``shard_size`` items: shard, first_id, next_id (null for the last).
+
+    Only the first key of each shard is left to pair up.
+    """
     first = (
-        placed.join(offsets, "part")
-        .withColumn("row", F.col("offset") + F.col("place"))
+        _placed(items.select(F.col(item_id).alias("key")), "key", partitions)
         .where(F.col("row") % shard_size == 0)
         .select((F.col("row") / shard_size).cast("bigint").alias("shard"), "key")
     )
@@ -212,15 +220,24 @@ def in_range(key: Column, first_id: str, next_id: str | None) -> Column:
 
 
 def publish_library(fingerprints: DataFrame, path: str, settings: Settings = Settings()) -> int:
-    """Write the library as range-partitioned parquet and return its row count.
+    """Write the library in exact shards and return its row count.
 
+    Shard k holds rows k * shard_size to (k + 1) * shard_size of the order by identifier, as
+    ``shard_plan`` has it, in one sorted file in the folder ``shard=k``, written by one task.
     The fingerprints are staged first: they are dear to compute and range partitioning would
     compute them twice.
     """
     staged = stage(fingerprints, "fingerprints")
     rows = staged.count()
-    ranged = range_sorted(staged, "item_id", shard_count(rows, settings.shard_size))
-    ranged.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    placed = _placed(staged, "item_id", max(1, shard_count(rows, settings.shard_size)))
+    shard = (F.col("row") / settings.shard_size).cast("bigint").alias("shard")
+    sharded = placed.select("item_id", "fp", "pc", shard)
+    sharded = sharded.repartition("shard").sortWithinPartitions("shard", "item_id")
+    written = sharded.write.mode("overwrite").option("compression", "zstd")
+    written.partitionBy("shard").parquet(path)
+    if not rows:
+        none = staged.sparkSession.createDataFrame([], LIBRARY_DDL)
+        none.write.mode("overwrite").parquet(f"{path}/shard=0")
     return rows
 
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinmart.config import Settings
@@ -35,6 +35,8 @@ _ROWS_AT_ONCE = 1024
 _PAIRS_WORTH_MOVING = 20_000_000
 #: Rows scored to find floors, and how many times as large a library must be to be worth it.
 _SAMPLE_ROWS, _WORTH_SAMPLING = 1 << 16, 8
+#: Stretches of sorted identifiers that are compared in one task.
+_MOST_STRETCHES = 1_000_000
 
 PAIR_DDL = "source_id string, target_id string, score double"
 PASSES_DDL = "pass int, ids array<string>"
@@ -81,9 +83,58 @@ def library_gap(items: DataFrame, library: DataFrame, rejects: DataFrame) -> Dat
     return items.agg(F.count("*").alias("items")).select(gap.alias("observed"))
 
 
+def _sorted_stretches(library: DataFrame) -> DataFrame:
+    """(first, last, repeated): sorted stretches of identifiers as the tasks read them, and
+    identifiers that are repeated within one. Nulls are left out."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        for batch in batches:
+            ids = batch.column("item_id").drop_null()
+            if not len(ids):
+                continue
+            if last is not None:
+                ids = pa.concat_arrays([pa.array([last], pa.string()), ids])
+            ahead, behind = ids.slice(1), ids.slice(0, len(ids) - 1)
+            falls = np.flatnonzero(pc.less(ahead, behind).to_numpy(zero_copy_only=False))
+            same = ahead.filter(pc.equal(ahead, behind)).unique()
+            first = ids[0].as_py() if first is None else first
+            starts = [first, *(ids[int(k) + 1].as_py() for k in falls)]
+            ends = [ids[int(k)].as_py() for k in falls]
+            made = [*zip(starts, ends), *((None, None) for _ in same)]
+            if made:
+                yield _stretch_rows(made, [None] * len(ends) + same.to_pylist())
+            first, last = starts[-1], ids[-1].as_py()
+        if last is not None:
+            yield _stretch_rows([(first, last)], [None])
+
+    ddl = "first string, last string, repeated string"
+    return stage(library.select("item_id").mapInArrow(scan, ddl), "stretches")
+
+
+def _stretch_rows(bounds: list[tuple], repeated: list) -> pa.RecordBatch:
+    columns = [*zip(*bounds), repeated]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), pa.string()) for c in columns], ["first", "last", "repeated"]
+    )
+
+
 def repeated_ids(library: DataFrame) -> DataFrame:
-    """Identifiers the library holds more than once."""
-    return library.groupBy("item_id").count().where("count > 1").select("item_id")
+    """Identifiers the library holds more than once.
+
+    A published library lies sorted in its files, so an identifier's copies lie next to each
+    other or at the border of two stretches, and one scan without a shuffle finds them. One
+    that does not, whose stretches are many or overlap, is grouped by identifier instead.
+    """
+    found = _sorted_stretches(library)
+    stretches = found.where("first is not null")
+    order = Window.orderBy("first", "last")
+    borders = stretches.withColumn("before", F.lag("last").over(order))
+    if stretches.count() > _MOST_STRETCHES or not borders.where("first < before").isEmpty():
+        return library.groupBy("item_id").count().where("count > 1").select("item_id")
+    inside = found.where("repeated is not null").select(F.col("repeated").alias("item_id"))
+    across = borders.where("first = before").select(F.col("first").alias("item_id"))
+    return inside.unionAll(across).distinct()
 
 
 def require_complete(items: DataFrame, library: DataFrame, rejects: DataFrame) -> None:

@@ -88,6 +88,9 @@ NAME_COLUMN = "compound_name"
 
 INPUT_COMPOUND = _struct((TEXT, ("source_file",)), (LONG, ("source_row",)), (TEXT, INPUT_COLUMNS))
 
+# When a row was written. An upsert refreshes it, a rebuild writes it anew.
+LOADED = "loaded_at"
+
 CAST_COLUMNS = ("mw_freebase", "full_mwt", "alogp", "psa", "qed_weighted", "np_likeness_score")
 
 MOLECULE = _struct(

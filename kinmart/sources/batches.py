@@ -1,9 +1,12 @@
 """Delimited batch files whose headers drift, landed row by row with their exact position.
 
 Files are read as lines, so a file of any size is split over tasks. A quoted value may hold
-line breaks, so whether a line starts a record depends on the lines before it. Each line is
-reduced to what it does to the quoting state, and a running state over the lines, first
-within a split and then over the splits of a file, tells where records start.
+line breaks, so whether a line starts a record depends on the lines before it. A task doesn't
+know how its split opens and follows both cases: it joins lines that no case begins a record
+with, numbers the records of either case, and reports how the split ends in either. One row a
+split then tells, over the splits of each file, which case holds and how many records came
+before. Lines are read once and stay in their tasks; only records that a split's border cuts,
+or that look cut until the case is known, are brought together.
 """
 
 from __future__ import annotations
@@ -14,7 +17,10 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,11 +75,6 @@ def line_effect(line: str | None) -> int:
     return SWAP if from_outside else KEEP
 
 
-@F.pandas_udf(T.IntegerType())
-def _effects(lines: pd.Series) -> pd.Series:
-    return lines.map(line_effect, na_action=None).astype("int32")
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _cells(records: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Cells of each record. A blank record has none."""
@@ -137,19 +138,135 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of all .csv files under ``path``, the extension in any case.
 
     Columns: path, source_file (the path below the folder, so that files of one name in two
-    folders stay apart), split (where the task's part of the file starts), place, line. Bytes
-    that are not UTF-8 become replacement characters.
+    folders stay apart), split (where the task's part of the file starts), line. Bytes that are
+    not UTF-8 become replacement characters.
     """
     reader = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.[cC][sS][vV]")
     return reader.option("recursiveFileLookup", "true").text(path).select(
         F.col("_metadata.file_path").alias("path"),
         _below(spark, path, F.col("_metadata.file_path")).alias("source_file"),
         F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("place"),
         F.make_valid_utf8("value").alias("line"),
     )
 
 
+PIECE = (
+    "path string, source_file string, split bigint, seq bigint, text string, begins_out boolean, "
+    "begins_in boolean, next_out boolean, next_in boolean, n_out bigint, n_in bigint, "
+    "end_out int, end_in int"
+)
+_PIECE_FIELDS = tuple(part.split()[0] for part in PIECE.split(", "))
+_PIECE_KINDS = (
+    [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+    + [pa.bool_()] * 4
+    + [pa.int64()] * 2
+    + [pa.int32()] * 2
+)
+#: Splits whose openings may be sent to every task: some 100 bytes each.
+_OPENINGS_TO_SEND = 200_000
+
+
+class _Split:
+    """One split of a file, line by line, under both states it may open in."""
+
+    def __init__(self, path: str, source_file: str, split: int, longest: int | None):
+        self.name, self.longest = (path, source_file, split), longest
+        # A file opens outside quotes; of any other split both cases are followed.
+        self.states = [OUTSIDE, INSIDE if split else OUTSIDE]
+        self.seq, self.counts = 0, np.zeros(2, np.int64)
+        self.open: list[str] = []
+        self.held, self.begun = 0, (False, False)
+
+    def _piece(self, following: tuple, ends: tuple) -> pa.RecordBatch:
+        """The piece that is open, closed."""
+        row = (*self.name, self.seq, "\n".join(self.open), *self.begun, *following, *self.counts, *ends)
+        self.seq += 1
+        self.open, self.held = [], 0
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v], k) for v, k in zip(row, _PIECE_KINDS)], names=_PIECE_FIELDS
+        )
+
+    def _extend(self, lines: pa.Array) -> None:
+        if len(lines):
+            self.open.extend(lines.to_pylist())
+            self.held += len(lines) + pc.sum(pc.utf8_length(lines)).as_py()
+            if self.longest is not None and self.held > self.longest + 1:
+                raise ValueError(f"a record of over {self.longest} characters in {self.name[0]}")
+
+    def add(self, lines: pa.Array) -> Iterator[pa.RecordBatch]:
+        """Pieces that are whole: lines up to the next that begins a record in some case."""
+        n = len(lines)
+        quoted = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
+        begins = np.empty((2, n), bool)
+        at = 0
+        for place in quoted.tolist():
+            begins[:, at : place + 1] = np.array(self.states)[:, None] == OUTSIDE
+            at, effect = place + 1, line_effect(lines[place].as_py())
+            if effect == SWAP:
+                self.states = [INSIDE if s == OUTSIDE else OUTSIDE for s in self.states]
+            elif effect != KEEP:
+                self.states = [effect, effect]
+        begins[:, at:] = np.array(self.states)[:, None] == OUTSIDE
+        starts = np.flatnonzero(begins.any(axis=0))
+        if not len(starts):
+            self._extend(lines)
+            return
+        first = int(starts[0])
+        if self.open or first:
+            self._extend(lines.slice(0, first))
+            yield self._piece(tuple(begins[:, first].tolist()), (None, None))
+        # All but the last of these are whole; most are one line.
+        sizes = np.diff(starts)
+        whole = len(sizes)
+        if whole:
+            texts = lines.take(pa.array(starts[:-1]))
+            if (sizes > 1).any():
+                held = texts.to_pylist()
+                for k in np.flatnonzero(sizes > 1).tolist():
+                    held[k] = "\n".join(lines.slice(starts[k], sizes[k]).to_pylist())
+                texts = pa.array(held, pa.string())
+            flags, counts = begins[:, starts], np.cumsum(begins[:, starts], axis=1)
+            columns = [pa.array([v], k).take(pa.array(np.zeros(whole, np.int64))) for v, k in zip(self.name, _PIECE_KINDS)]
+            columns += [pa.array(np.arange(whole) + self.seq), texts]
+            columns += [pa.array(flags[k, :-1]) for k in (0, 1)] + [pa.array(flags[k, 1:]) for k in (0, 1)]
+            columns += [pa.array(counts[k, :-1] + self.counts[k]) for k in (0, 1)]
+            columns += [pa.nulls(whole, pa.int32())] * 2
+            if self.longest is not None and pc.max(pc.utf8_length(texts)).as_py() > self.longest:
+                raise ValueError(f"a record of over {self.longest} characters in {self.name[0]}")
+            self.seq += whole
+            yield pa.RecordBatch.from_arrays(columns, names=_PIECE_FIELDS)
+        self.counts = self.counts + begins[:, starts].sum(axis=1)
+        self.begun = tuple(begins[:, starts[-1]].tolist())
+        self._extend(lines.slice(int(starts[-1])))
+
+    def end(self) -> pa.RecordBatch:
+        return self._piece((None, None), tuple(self.states))
+
+
+def scan_splits(lines: DataFrame, longest: int | None) -> DataFrame:
+    """Pieces of records of every split, and how each split ends; made inside the tasks."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            paths = batch.column("path").dictionary_encode().indices.to_numpy()
+            places = batch.column("split").to_numpy()
+            cuts = np.flatnonzero((np.diff(paths) != 0) | (np.diff(places) != 0)) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                name = [batch.column(c)[low].as_py() for c in ("path", "source_file", "split")]
+                if split is None or tuple(name) != split.name:
+                    if split is not None:
+                        yield split.end()
+                    split = _Split(*name, longest)
+                yield from split.add(batch.column("line").slice(low, high - low))
+        if split is not None:
+            yield split.end()
+
+    return lines.select("path", "source_file", "split", "line").mapInArrow(scan, PIECE)
+
+
 def read_records(lines: DataFrame, longest: int | None = None) -> DataFrame:
     """Whole records with their place in the file: path, source_file, source_row, record.
 
@@ -157,47 +274,46 @@ def read_records(lines: DataFrame, longest: int | None = None) -> DataFrame:
     closed makes the rest of its file one record; ``longest``, in characters, refuses longer
     ones by name of their file. Without it any record lands.
     """
-    quoted = F.when(F.contains(F.col("line"), F.lit('"')), F.col("line"))
-    seen = lines.withColumn("effect", _effects(quoted))
-    within = _carry(seen, "effect", ["path", "split"], "place", "so_far")
-
-    # One row per split: what the whole split does, and how many records start in it for
-    # either state it may begin in.
-    def starts(opening: int) -> Column:
-        state = _then(F.lit(opening), F.col("so_far"))
-        return F.count_if(state == OUTSIDE)
-
-    last = F.max_by(_then(F.col("so_far"), F.col("effect")), "place")
-    splits = within.groupBy("path", "split").agg(
-        last.alias("whole"), starts(OUTSIDE).alias("if_outside"), starts(INSIDE).alias("if_inside")
+    pieces = stage(scan_splits(lines, longest), "batch-pieces")
+    inside_ends = F.col("end_in") == INSIDE
+    whole = F.when(F.col("end_out") == OUTSIDE, F.when(inside_ends, KEEP).otherwise(OUTSIDE)).otherwise(
+        F.when(inside_ends, INSIDE).otherwise(SWAP)
     )
+    splits = pieces.where("end_out is not null").select("path", "split", "n_out", "n_in", whole.alias("whole"))
     opened = _carry(splits, "whole", ["path"], "split", "opening").withColumn(
-        "opening", _then(F.lit(OUTSIDE), F.col("opening"))
+        "outside", _then(F.lit(OUTSIDE), F.col("opening")) == OUTSIDE
     )
-    started = F.when(F.col("opening") == OUTSIDE, F.col("if_outside")).otherwise(F.col("if_inside"))
+    started = F.when(F.col("outside"), F.col("n_out")).otherwise(F.col("n_in"))
     earlier = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = opened.select(
-        "path", "split", "opening", F.coalesce(F.sum(started).over(earlier), F.lit(0)).alias("offset")
+    offsets = stage(
+        opened.select(
+            "path", "split", "outside", F.coalesce(F.sum(started).over(earlier), F.lit(0)).alias("offset")
+        ),
+        "batch-splits",
     )
-
-    in_split = Window.partitionBy("path", "split").orderBy("place")
-    begins = (_then(F.col("opening"), F.col("so_far")) == OUTSIDE).cast("int")
-    upto = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = (
-        within.join(offsets, ["path", "split"])
-        .withColumn("begins", begins)
-        .withColumn("source_row", F.col("offset") + F.sum("begins").over(upto))
+    if offsets.count() <= _OPENINGS_TO_SEND:
+        offsets = F.broadcast(offsets)
+
+    def of_case(name: str) -> Column:
+        return F.when(F.col("outside"), F.col(f"{name}_out")).otherwise(F.col(f"{name}_in"))
+
+    numbered = pieces.join(offsets, ["path", "split"]).select(
+        "path",
+        "source_file",
+        "split",
+        "seq",
+        "text",
+        (F.col("offset") + of_case("n")).alias("source_row"),
+        (of_case("begins") & F.coalesce(of_case("next"), of_case("end") == OUTSIDE)).alias("is_whole"),
     )
+    alone = numbered.where("is_whole").select("path", "source_file", "source_row", F.col("text").alias("record"))
+    held = F.array_sort(F.collect_list(F.struct("split", "seq", "text")))
+    joined = F.array_join(F.transform(held, lambda piece: piece["text"]), "\n")
     if longest is not None:
-        size = F.sum(F.length("line") + 1).over(Window.partitionBy("path", "source_row").orderBy("place"))
         refuse = F.raise_error(F.concat(F.lit(f"a record of over {longest} characters in "), "path"))
-        numbered = numbered.withColumn("held", size).withColumn(
-            "line", F.when(F.col("held") <= longest + 1, F.col("line")).otherwise(refuse)
-        )
-    pieces = F.array_sort(F.collect_list(F.struct("split", "place", "line")))
-    return numbered.groupBy("path", "source_file", "source_row").agg(
-        F.array_join(F.transform(pieces, lambda piece: piece["line"]), "\n").alias("record")
-    )
+        joined = F.when(F.sum(F.length("text") + 1) <= longest + 1, joined).otherwise(refuse)
+    cut = numbered.where("not is_whole").groupBy("path", "source_file", "source_row")
+    return alone.unionByName(cut.agg(joined.alias("record")))
 
 
 def _normal_header(cell: Column) -> Column:
@@ -221,11 +337,8 @@ def land_batches(
     it the other files do, and ``refused`` lists it with its headers. Header names keep their
     place by name, so files may differ; row numbers count records with the header as row one.
     """
-    cells = stage(
-        read_records(read_lines(spark, path), longest).select(
-            "path", "source_file", "source_row", _split_cells(F.col("record")).alias("cells")
-        ),
-        "batches",
+    cells = read_records(read_lines(spark, path), longest).select(
+        "path", "source_file", "source_row", _split_cells(F.col("record")).alias("cells")
     )
     headers = stage(
         cells.where("source_row = 1").select(

@@ -13,6 +13,9 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinmart.schemas import LOADED
 
 
 class ConcurrentCommitError(RuntimeError):
@@ -64,7 +67,12 @@ class Transaction(Mapping):
         self._current = store.current()
 
     def write(self, table: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        """Write a new version and return it as read back."""
+        """Write a new version and return it as read back.
+
+        Rows say when they were loaded, in ``loaded_at``; those that already do keep their time.
+        """
+        if LOADED not in df.columns:
+            df = df.withColumn(LOADED, F.current_timestamp())
         version = self._store.new_version(table)
         writer = df.write.option("compression", "zstd")
         if partition_by:

@@ -2,8 +2,9 @@
 
 Spark's checkpoint remembers which files were read. Rows and progress are written under the
 micro-batch's number, so a batch that is run again replaces itself and nothing counts twice.
-A page is known by its offset, or by its content if it states none, so one that is delivered
-twice counts once, and a run is complete only when its pages cover the release without a gap.
+A page is known by its offset, and one that states none by the identifiers of its records, so
+what is delivered twice counts once, corrected or not, and a run is complete only when its pages
+cover the release without a gap.
 """
 
 from __future__ import annotations
@@ -18,13 +19,21 @@ from pyspark.sql import types as T
 from kinmart.schemas import KEY
 from kinmart.sources.records import MoleculeLayout, lookup_rows, molecule_tables
 from kinmart.sources.store import Folder
-from kinmart.streaming.upserts import ARRIVAL, BATCH, append_batch, read_latest
+from kinmart.streaming.upserts import (
+    ARRIVAL,
+    BATCH,
+    append_batch,
+    fold,
+    pieces,
+    read_latest,
+    read_pieces,
+)
 
 Loader = Callable[[DataFrame], dict[str, DataFrame]]
 
 PROGRESS = (
     "epoch bigint, release string, batch bigint, page string, offset bigint, records bigint, "
-    "total_count bigint"
+    "total_count bigint, table string, nameless array<string>"
 )
 
 
@@ -50,6 +59,7 @@ class Resource:
     collection: str
     load: Loader
     tables: tuple[str, ...]
+    id_field: str = KEY
 
 
 def _lookup_tables(records: DataFrame) -> dict[str, DataFrame]:
@@ -106,22 +116,46 @@ class Landing:
 
     def pages(self, resource: str) -> DataFrame:
         """Every distinct page landed, by run: its offset, if it states one, and its records."""
-        folder = Folder(self.spark, f"{self.path}/_progress/{resource}")
-        if not folder.names():
-            rows = self.spark.createDataFrame([], PROGRESS)
-        else:
-            rows = self.spark.read.schema(PROGRESS).parquet(folder.path)
+        rows = self._progress(resource)
         return rows.groupBy("epoch", "release", "page").agg(
             F.max("offset").alias("offset"),
             F.max("records").alias("records"),
             F.max("total_count").alias("total_count"),
         )
 
+    def _progress(self, resource: str) -> DataFrame:
+        folder = Folder(self.spark, f"{self.path}/_progress/{resource}")
+        if not folder.names():
+            return self.spark.createDataFrame([], PROGRESS)
+        return self.spark.read.schema(PROGRESS).parquet(folder.path)
+
+    def _loose(self, resource: str) -> DataFrame:
+        """(epoch, loose): by run, the different records that only pages without offsets held.
+
+        A record is known by its identifier, so a corrected page adds nothing. Records without
+        one are known by their content. Of a release that holds an identifier twice, pages
+        without offsets never count as complete.
+        """
+        rows = self._progress(resource).where("offset is null")
+        nothing = self.spark.createDataFrame([], "epoch bigint, loose bigint")
+        first = rows.select("table").first()
+        if first is None:
+            return nothing
+        bare = rows.select("epoch", F.explode("nameless").alias("id")).distinct()
+        found = bare.groupBy("epoch").agg(F.count("*").alias("loose"))
+        landed = pieces(self.spark, f"{self.path}/{first['table']}")
+        if landed:
+            place = F.col(f"{ARRIVAL}.at")
+            held = read_pieces(self.spark, landed).select(KEY, f"{ARRIVAL}.epoch", place.alias("at"))
+            held = held.groupBy("epoch", KEY).agg(F.max("at").alias("at")).where("at < 0")
+            found = found.unionByName(held.groupBy("epoch").agg(F.count("*").alias("loose")))
+        return found.groupBy("epoch").agg(F.sum("loose").alias("loose"))
+
     def progress(self, resource: str) -> DataFrame:
         """Per run over a resource: records covered without a gap, and whether that is all.
 
         Pages with offsets cover the stretch from 0 to the first record that none of them
-        holds. Pages without offsets can't leave a gap and add their records.
+        holds. Pages without offsets can't leave a gap and add the records that are new.
         """
         placed = F.col("offset").isNotNull()
         end = F.when(placed, F.col("offset") + F.col("records"))
@@ -131,14 +165,21 @@ class Landing:
         pages = self.pages(resource).withColumn("gap", F.coalesce(F.col("offset") > reached, F.lit(False)))
         pages = pages.withColumn("cut", F.max("gap").over(run.rowsBetween(Window.unboundedPreceding, 0)))
         covered = F.coalesce(F.max(F.when(~F.col("cut"), end)), F.lit(0))
-        loose = F.coalesce(F.sum(F.when(~placed, F.col("records"))), F.lit(0))
         complete = F.coalesce(F.col("records") >= F.col("total_count"), F.lit(False))
+        loose = F.coalesce("loose", F.lit(0))
+        runs = pages.groupBy("epoch", "release").agg(
+            covered.alias("covered"),
+            F.coalesce(F.sum(F.when(placed, F.col("records"))), F.lit(0)).alias("placed"),
+            F.max("total_count").alias("total_count"),
+        )
         return (
-            pages.groupBy("epoch", "release")
-            .agg(
-                (covered + loose).cast("bigint").alias("records"),
-                F.sum("records").cast("bigint").alias("landed"),
-                F.max("total_count").alias("total_count"),
+            runs.join(self._loose(resource), "epoch", "left")
+            .select(
+                "epoch",
+                "release",
+                (F.col("covered") + loose).cast("bigint").alias("records"),
+                (F.col("placed") + loose).cast("bigint").alias("landed"),
+                "total_count",
             )
             .withColumn("is_complete", complete)
         )
@@ -169,7 +210,7 @@ class Landing:
         timeout: int | None = None,
     ) -> int:
         """Land the page files under ``pages`` that were not read yet; returns the records of
-        pages that are new.
+        pages that are new. Landed batches are folded as they add up.
 
         A release that is complete is skipped. A new release, or ``force``, starts from the
         first page. Anything else goes on where the last run stopped. A file is one page, or
@@ -195,6 +236,9 @@ class Landing:
                 raise TimeoutError(f"{resource.name} was not landed within {timeout} s")
         finally:
             query.stop()
+        for name in resource.tables:
+            # Pages have an order of their own, whichever micro-batch read them.
+            fold(self.spark, f"{self.path}/{name}", [KEY], (ARRIVAL, BATCH))
         mark = self.watermark(resource.name)
         return mark.landed - before if mark and mark.epoch == epoch else 0
 
@@ -261,6 +305,16 @@ class Landing:
         records = exploded.select(order.alias(ARRIVAL), "record")
         for name, rows in resource.load(records).items():
             append_batch(rows, f"{self.path}/{name}", number, [KEY])
+        bare = F.filter(
+            F.transform(
+                F.coalesce(F.col(resource.collection), F.array().cast("array<string>")),
+                lambda r: F.when(
+                    F.coalesce(F.get_json_object(r, f"$.{resource.id_field}"), F.lit("")) == "",
+                    F.md5(r),
+                ),
+            ),
+            lambda r: r.isNotNull(),
+        )
         done = pages.select(
             F.lit(epoch).cast("bigint").alias("epoch"),
             F.lit(release).alias("release"),
@@ -269,6 +323,8 @@ class Landing:
             offset.alias("offset"),
             F.greatest(F.size(resource.collection), F.lit(0)).cast("bigint").alias("records"),
             F.col("page_meta.total_count").alias("total_count"),
+            F.lit(resource.tables[0]).alias("table"),
+            F.when(offset.isNull(), bare).alias("nameless"),
         )
         # Written last: progress never runs ahead of the rows it stands for.
         target = f"{self.path}/_progress/{resource.name}/part={number}"

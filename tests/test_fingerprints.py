@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,8 @@ from kinmart.operators.fingerprints import (
     vector_fingerprints,
     wrong_width,
 )
-from kinmart.workspace import new_dir
+from kinmart.operators.similarity import search
+from kinmart.workspace import new_dir, stage
 
 TEXTS = {
     "a": "one two  three\tfour\n one two",
@@ -191,9 +193,36 @@ def test_library_is_published_in_key_ranges_that_prune(spark, rows):
     assert part.count() == 50
     assert "GreaterThanOrEqual(item_id,K0100)" in part._jdf.queryExecution().executedPlan().toString()
     assert library.where(in_range(F.col("item_id"), "K0590", None)).count() == 10
-    ranges = library.groupBy(F.input_file_name()).agg(F.min("item_id"), F.max("item_id")).collect()
-    bounds = sorted((r[1], r[2]) for r in ranges)
-    assert len(bounds) > 1 and all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
+    files = library.groupBy("shard", F.input_file_name()).agg(
+        F.count("*"), F.min("item_id"), F.max("item_id")
+    )
+    found = sorted((r[0], r[2], r[3], r[4]) for r in files.collect())
+    plan = shard_plan(made, "item_id", 100, partitions=3).orderBy("shard").collect()
+    assert [(r[0], r[2]) for r in found] == [(p.shard, p.first_id) for p in plan]
+    assert [r[1] for r in found] == [100] * 6 and found[-1][3] == "K0599"
+
+
+def test_an_empty_library_can_be_published(spark, tmp_path):
+    path = f"file://{tmp_path}/none"
+    assert publish_library(text_fingerprints(items(spark).limit(0), "id", "text"), path) == 0
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_the_second_hash_family_ranks_alike(spark):
+    """Bits differ, what is near does not: of 40 texts each finds the same nearest ones."""
+    dice = random.Random(3)
+    words = [f"w{n}" for n in range(400)]
+    base = [" ".join(dice.choices(words, k=60)) for _ in range(8)]
+    texts = {f"{n}": " ".join(w if dice.random() > 0.02 * (n // 8) else "x" for w in base[n % 8].split()) for n in range(40)}
+    tops = []
+    for hashing in ("md5", "xxhash64"):
+        settings = Settings(n_bits=8192, top_n=4, hashing=hashing)
+        library = stage(text_fingerprints(items(spark, texts), "id", "text", settings), "hashed")
+        found = search(library, library.select(F.col("item_id").alias("source_id")), settings)
+        tops.append({s: {r.target_id for r in found.collect() if r.source_id == s} for s in texts})
+    assert tops[0] == tops[1]
+    with pytest.raises(ValueError, match="hashing"):
+        Settings(hashing="crc")
 
 
 def test_summary_totals(spark):

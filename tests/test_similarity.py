@@ -15,10 +15,12 @@ from kinmart.operators.similarity import (
     UnscorableSources,
     _broadcast,
     _score_rows,
+    _sorted_stretches,
     bit_counts,
     highest_scores,
     missing_fingerprints,
     read_scores,
+    repeated_ids,
     require_complete,
     require_fingerprints,
     require_unique,
@@ -153,6 +155,33 @@ def test_library_must_be_complete(spark):
     require_unique(held)
 
 
+def test_repeated_ids_are_found_without_moving_a_sorted_library(spark, rows):
+    names = [f"K{n:04d}" for n in range(500)]
+
+    def held(*more):
+        given = [(n, [1], 1) for n in sorted([*names, *more])]
+        return spark.createDataFrame(given, LIBRARY)
+
+    def ranges(frame):
+        path = new_dir(spark, "sorted")
+        frame.repartitionByRange(7, "item_id").sortWithinPartitions("item_id").write.parquet(path)
+        return spark.read.parquet(path)
+
+    assert repeated_ids(ranges(held())).count() == 0
+    twice = [names[n] for n in (0, 17, 17, 499)]
+    for frame in (ranges(held(*twice)), held(*twice).repartition(5), held(*twice).coalesce(1)):
+        assert rows(repeated_ids(frame)) == [("K0000",), ("K0017",), ("K0499",)]
+    plan = _sorted_stretches(ranges(held()))._jdf.queryExecution().executedPlan().toString()
+    found = repeated_ids(ranges(held(*twice)))._jdf.queryExecution().analyzed().toString()
+    assert "Exchange" not in plan and "item_id#" in found and "count(1)" not in found
+    # The copies of one identifier at the border of two files.
+    path = new_dir(spark, "border")
+    for part in (held().where("item_id <= 'K0100'"), held().where("item_id >= 'K0100'")):
+        part.coalesce(1).sortWithinPartitions("item_id").write.mode("append").parquet(path)
+    assert rows(repeated_ids(spark.read.parquet(path))) == [("K0100",)]
+    assert repeated_ids(held().limit(0)).count() == 0
+
+
 def test_summary_counts_flags(spark):
     made = search(library(spark, {f"I{n}": {1} for n in range(9)}), ids(spark, "I0", "I1"), DENSE)
     assert tuple(search_summary(made).first()) == (2, 8, 8)

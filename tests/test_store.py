@@ -95,3 +95,10 @@ def test_staging_uses_the_shared_folder_of_the_session(spark):
     assert shared_dir(spark).startswith(named.rstrip("/"))
     staged = stage(numbers(spark, 1), "numbers")
     assert values(staged) == [1] and staged.inputFiles()[0].startswith(named)
+
+
+def test_rows_say_when_they_were_loaded(spark, store):
+    first = store.write("a", numbers(spark, 1)).first()
+    again = store.write("b", store["a"]).first()
+    assert first.loaded_at is not None and again.loaded_at == first.loaded_at
+    assert store.write("a", numbers(spark, 1)).first().loaded_at > first.loaded_at
