@@ -30,7 +30,7 @@ from kinmart.operators.ranking import best_scores, top_matches
 from kinmart.schemas import TIE_FLAG
 from kinmart.workspace import estimated_bytes, scan_tasks, spread, stage
 
-_PAIRS_AT_ONCE = 1 << 21
+_PAIRS_AT_ONCE = 1 << 20
 _ROWS_AT_ONCE = 1024
 _PAIRS_WORTH_MOVING = 20_000_000
 #: Rows scored to find floors, and how many times as large a library must be to be worth it.
@@ -307,60 +307,96 @@ def score_table(
     return reduce(DataFrame.unionAll, tables)
 
 
-class _Best:
-    """The highest scores seen so far for one source, best first, at most ``size`` of them."""
+class Best:
+    """The highest scores seen so far for every source, best first, ``keep`` of them.
 
-    __slots__ = ("size", "rows")
-
-    def __init__(self, size: int):
-        self.size = size
-        self.rows: list[tuple[float, str]] = []
-
-    def floor(self) -> float:
-        return -self.rows[-1][0] if len(self.rows) == self.size else 0.0
+    Scores of one row are in order of score, then identifier; -1 marks a free place. ``ids``
+    are places in ``names``, which holds no more identifiers than the lists do.
+    """
 
-    def offer(self, places: np.ndarray, scores: np.ndarray, order: np.ndarray, ids: pa.Array):
-        """Take the rows at ``places``; ``order`` ranks the block's identifiers."""
-        if places.size > self.size:
-            first = np.lexsort((order[places], -scores[places]))[: self.size]
-            places = places[first]
-        named = zip(-scores[places], ids.take(pa.array(places)).to_pylist())
-        self.rows = sorted([*self.rows, *named])[: self.size]
+    def __init__(self, sources: int, keep: int, floors: np.ndarray | None):
+        self.keep = keep
+        self.given = np.zeros(sources) if floors is None else np.maximum(floors, 0.0)
+        self.floors = self.given.copy()
+        self.scores = np.full((sources, keep), -1.0)
+        self.ids = np.zeros((sources, keep), np.int64)
+        self.names = pa.array([], pa.string())
+
+    def begin(self, names: pa.Array) -> int:
+        """Make room for a batch's identifiers; returns the place of the first."""
+        first = len(self.names)
+        self.names = pa.concat_arrays([self.names, names])
+        self.order = np.empty(len(self.names), np.int64)
+        self.order[pc.sort_indices(self.names)] = np.arange(len(self.names))
+        return first
+
+    def offer(self, sources: np.ndarray, scores: np.ndarray, first: int, gap: float) -> None:
+        """Take a block: its scores for some sources, its first place in ``names``.
+
+        ``gap`` is less than any difference of two unequal scores.
+        """
+        hits = scores >= self.floors[sources][:, None]
+        some = np.flatnonzero(hits.any(axis=1))
+        if not len(some):
+            return
+        sources, scores, n = sources[some], np.where(hits[some], scores[some], -1.0), scores.shape[1]
+        places = np.broadcast_to(np.arange(n), scores.shape)
+        if n > self.keep:
+            # Equal scores are told apart by a step too small to change the order of others.
+            order = self.order[first : first + n].argsort().argsort()
+            key = order * (gap / (4 * n)) - scores
+            places = np.argpartition(key, self.keep - 1, axis=1)[:, : self.keep]
+            scores = np.take_along_axis(scores, places, axis=1)
+        scores = np.concatenate([self.scores[sources], scores], axis=1)
+        ids = np.concatenate([self.ids[sources], places + first], axis=1)
+        ranked = np.lexsort((self.order[ids], -scores), axis=1)[:, : self.keep]
+        self.scores[sources] = np.take_along_axis(scores, ranked, axis=1)
+        self.ids[sources] = np.take_along_axis(ids, ranked, axis=1)
+        self.floors[sources] = np.maximum(self.given[sources], self.scores[sources, -1])
+
+    def end(self) -> None:
+        """Forget the identifiers that are on no list."""
+        held = np.unique(self.ids)
+        self.names = self.names.take(pa.array(held))
+        self.ids = np.searchsorted(held, self.ids)
+
+    def rows(self, sources: pa.Array) -> pa.RecordBatch:
+        source, place = np.nonzero(self.scores >= 0)
+        found = self.ids[source, place]
+        columns = [sources.take(pa.array(source)), self.names.take(pa.array(found))]
+        columns.append(pa.array(self.scores[source, place]))
+        return pa.RecordBatch.from_arrays(columns, ["source_id", "target_id", "score"])
 
 
 def search_batches(
-    batches: Iterator[pa.RecordBatch], scorer: Scorer, keep: int, given: np.ndarray | None
-) -> list[_Best]:
-    """The best ``keep`` rows of every source; rows below its given floor are not wanted."""
-    best = [_Best(keep) for _ in scorer.ids]
+    batches: Iterator[pa.RecordBatch], scorer: Scorer, keep: int, floors: np.ndarray | None
+) -> Best:
+    """The best ``keep`` rows of every source; rows below its floor are not wanted."""
+    best = Best(len(scorer.ids), keep, floors)
     names = pa.array(scorer.ids, pa.string())
-    given = np.zeros(len(scorer.ids)) if given is None else np.maximum(given, 0.0)
-    floors = given.copy()
+    gap = 1.0 / (2 * scorer.bits.shape[1]) ** 2
+    every = np.arange(len(scorer.ids))
     for batch in batches:
+        if not batch.num_rows:
+            continue
         batch = batch.take(pc.sort_indices(batch.column("pc")))
-        order = np.empty(batch.num_rows, np.int64)
-        order[pc.sort_indices(batch.column("item_id"))] = np.arange(batch.num_rows)
-        own = pc.index_in(batch.column("item_id"), names)
-        own = pc.fill_null(own, -1).to_numpy(zero_copy_only=False)
-        for ids, words, counts, start in _blocks(batch, scorer.rows_at_once):
-            wanted = scorer.wanted(counts, floors)
-            places = np.arange(len(scorer.ids))[wanted]
-            if not len(places):
+        first = best.begin(batch.column("item_id"))
+        own = pc.fill_null(pc.index_in(batch.column("item_id"), names), -1)
+        own = own.to_numpy(zero_copy_only=False)
+        for _, words, counts, start in _blocks(batch, scorer.rows_at_once):
+            wanted = scorer.wanted(counts, best.floors)
+            sources = every[wanted]
+            if not len(sources):
                 continue
             scores = scorer.scores(words, counts, wanted)
             mine = own[start : start + len(counts)]
-            row_of = np.full(len(scorer.ids), -1)
-            row_of[places] = np.arange(len(places))
+            row_of = np.full(len(every), -1)
+            row_of[sources] = np.arange(len(sources))
             selves = np.flatnonzero(mine >= 0)
             selves = selves[row_of[mine[selves]] >= 0]
             scores[row_of[mine[selves]], selves] = -1.0
-            hits = scores >= floors[places][:, None]
-            for row in np.flatnonzero(hits.any(axis=1)).tolist():
-                source = places[row]
-                best[source].offer(
-                    np.flatnonzero(hits[row]), scores[row], order[start : start + len(counts)], ids
-                )
-                floors[source] = max(given[source], best[source].floor())
+            best.offer(sources, scores, first + start, gap)
+        best.end()
     return best
 
 
@@ -368,13 +404,7 @@ def _best_pass(library: DataFrame, shared: Broadcast, keep: int) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, words, counts, floors = shared.value
         best = search_batches(batches, Scorer(ids, words, counts), keep, floors)
-        found = [(name, target, -score) for name, b in zip(ids, best) for score, target in b.rows]
-        if found:
-            source, target, score = zip(*found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(source), pa.array(target), pa.array(score, pa.float64())],
-                ["source_id", "target_id", "score"],
-            )
+        yield best.rows(pa.array(ids, pa.string()))
 
     return library.select("item_id", "fp", "pc").mapInArrow(search, PAIR_DDL)
 

@@ -246,7 +246,7 @@ def test_rows_and_pairs_out_of_reach_are_skipped(spark, monkeypatch):
     scorer = Scorer(held.ids, held.words, held.counts)
     batches = [b.select(["item_id", "fp", "pc"]) for b in frame.toArrow().to_batches()]
     found = search_batches(iter(batches), scorer, 6, floors)
-    assert scorer.pairs < 3 * 4060 / 4 and all(len(b.rows) == 6 for b in found)
+    assert scorer.pairs < 3 * 4060 / 4 and (found.scores >= 0).all()
 
 
 def test_search_with_sampled_floors_equals_ranking_the_full_table(spark, rows, monkeypatch):
