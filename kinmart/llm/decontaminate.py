@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from kinmart.llm.files import rows_of
+from kinmart.llm.files import giving_back, rows_of
 
 BLOCK_CHARS = 8 << 20
 MATCH = "array<struct<item_id:bigint,distance:bigint,first_word:bigint,n_words:bigint>>"
@@ -175,6 +175,7 @@ def match_block(docs: DataFrame, items: list, percent: float, text: str) -> Data
         pa.struct([(x, pa.int64()) for x in ("item_id", "distance", "first_word", "n_words")])
     )
 
+    @giving_back
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _matcher(name, shared, percent)
         for batch in batches:

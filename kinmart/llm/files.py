@@ -8,13 +8,15 @@ GCS and HDFS.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from kinmart.workspace import new_dir, stage
 
@@ -44,6 +46,39 @@ def open_random(uri: str):
     return system.open_input_file(path)
 
 
+#: Rows in a batch that Spark hands to a task, and what it takes unless told otherwise.
+BATCH_ROWS, MODEST_ROWS, USUAL_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000, "10000"
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Smaller batches of whole documents, unless the session has a size of its own.
+
+    Ten thousand texts with their columns are some hundred megabytes, held by the executor and
+    by the worker at once and by each for every core.
+    """
+    if spark.conf.get(BATCH_ROWS, USUAL_ROWS) == USUAL_ROWS:
+        spark.conf.set(BATCH_ROWS, str(MODEST_ROWS))
+
+
+def giving_back(work):
+    """``work`` on batches, after which the worker returns free memory to the system.
+
+    Workers outlive tasks, and what the allocators keep of one operator is of no use to the next.
+    """
+
+    @wraps(work)
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def folder_for(df: DataFrame, name: str) -> str:
     return new_dir(df.sparkSession, name)
 
@@ -65,7 +100,7 @@ def manifest_batch(made: list[tuple]) -> pa.RecordBatch:
 
 
 def one_task_each(manifest: DataFrame) -> DataFrame:
-    """The rows of a staged manifest, dealt out so that every file is read by a task of its own."""
+    """The rows of a staged manifest, dealt out over as many tasks as there are files."""
     return manifest.repartition(max(1, manifest.count()))
 
 

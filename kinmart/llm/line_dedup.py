@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from kinmart.llm.cuckoo import CuckooFilter, Full
-from kinmart.llm.files import rows_of
+from kinmart.llm.files import giving_back, rows_of
 from kinmart.workspace import stage
 
 KEYS_PER_SHARD = 1 << 18
@@ -42,6 +42,7 @@ def line_key(line: bytes, min_chars: int) -> tuple[int, int] | None:
 def keys_of(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
     """(doc_id, k1, k2): each key of a row once. Rows without id have none."""
 
+    @giving_back
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, one, two = [], [], []

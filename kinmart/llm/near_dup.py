@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from kinmart.llm.components import components
-from kinmart.llm.files import rows_of
+from kinmart.llm.files import giving_back, rows_of
 from kinmart.workspace import scratch, stage
 
 ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -123,6 +123,7 @@ def set_hash(values: np.ndarray) -> tuple[int, int]:
 def features(docs: DataFrame, job: NearDup, doc_id: str, text: str) -> DataFrame:
     """(node, doc_id, hash, n_shingles, s1, s2, bands), staged; a node is one row of ``docs``."""
 
+    @giving_back
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -150,6 +151,7 @@ def features(docs: DataFrame, job: NearDup, doc_id: str, text: str) -> DataFrame
 def bucket_rows(found: DataFrame) -> DataFrame:
     """(key, node): a row for each band."""
 
+    @giving_back
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column("node").to_numpy(zero_copy_only=False)
@@ -238,6 +240,7 @@ def candidate_sets(
     id and hash of the text; of rows that repeat both, which follow each other, one is taken.
     """
 
+    @giving_back
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
@@ -316,6 +319,7 @@ def rare_shingles(held: DataFrame, percent: int) -> DataFrame:
     order for all sets, with counters of a fixed number whatever the corpus holds.
     """
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros(COUNTERS, np.int64)
         for batch in batches:
@@ -333,6 +337,7 @@ def rare_shingles(held: DataFrame, percent: int) -> DataFrame:
     table[summed.column("at").to_numpy()] = summed.column("hits").to_numpy()
     shared = held.sparkSession.sparkContext.broadcast(table)
 
+    @giving_back
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = shared.value
         for batch in batches:
@@ -376,6 +381,7 @@ def short_lists(lists: DataFrame, percent: int) -> DataFrame:
         a, b = node[a[fits]], node[b[fits]]
         return np.minimum(a, b), np.maximum(a, b)
 
+    @giving_back
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, out = None, ([], [], []), []
 
@@ -411,6 +417,7 @@ def short_lists(lists: DataFrame, percent: int) -> DataFrame:
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): the pairs that are similar enough on their full sets."""
 
+    @giving_back
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from kinmart.llm.files import rows_of
+from kinmart.llm.files import giving_back, rows_of
 from kinmart.llm.running import with_total_before
 from kinmart.llm.tokens import blocks_of, encoder, vocabulary_size, with_end
 from kinmart.workspace import stage
@@ -43,6 +43,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str, text: str
     """(uid, doc_id, source, queue, n_tokens, ids), staged; ids take 2 bytes if they can."""
     kind = "<u2" if max(vocabulary_size(tokenizer), end_id + 1) <= 1 << 16 else "<u4"
 
+    @giving_back
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = encoder(tokenizer)
         for batch in batches:
@@ -151,6 +152,7 @@ def pack(
     by_doc = pieces.groupBy("uid").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
     joined = tokens.join(by_doc, "uid").select("doc_id", "source", "n_tokens", "ids", "pieces")
 
+    @giving_back
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in PIECE.split(", ")]
         kinds = [pa.int64()] * 7 + [pa.string(), pa.binary()]
@@ -200,6 +202,7 @@ def sequences(pieces: DataFrame, window: int = 2048, pad_id: int = 0) -> DataFra
         F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("held")
     )
 
+    @giving_back
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []

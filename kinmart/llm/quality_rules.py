@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from kinmart.llm.files import rows_of
+from kinmart.llm.files import giving_back, rows_of
 
 #: Tokens of the n-grams: runs of letters and digits, runs of other signs.
 TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\s]+")
@@ -160,6 +160,7 @@ def fit(
     size = 1 << bits
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, trusted = np.zeros(size, np.int64), np.zeros(size, np.int64)
         held: list[tuple[np.ndarray, bool]] = []
@@ -196,6 +197,7 @@ def fit(
     chosen = [(int(x), True) for x in measured] + [(int(x), False) for x in bad]
     sample = F.broadcast(spark.createDataFrame(chosen, "doc_id long, good boolean"))
 
+    @giving_back
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [model.score(row["text"] or "") for row in rows_of(batch.select(["text"]))]
@@ -223,6 +225,7 @@ def judge(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
     )
 
+    @giving_back
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kinmart.llm import files
+from kinmart.llm.files import giving_back
 from kinmart.llm.tokens import BLOCK_BYTES, blocks_of, encoder, vocabulary_size, with_end
 from kinmart.workspace import stage
 
@@ -167,6 +168,7 @@ def write_token_files(
     """
     width = bits_for(max(vocabulary_size(tokenizer), end_id + 1))
 
+    @giving_back
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, part = encoder(tokenizer), TaskContext.get().partitionId()
         made, out = [], None
@@ -211,6 +213,7 @@ def read_digests(manifest: DataFrame) -> DataFrame:
     integers, computed from what the file holds. A task reads one file, some blocks at a time.
     """
 
+    @giving_back
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
