@@ -11,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kinmart.llm import decontaminate, packing, quality_rules
+from kinmart.llm.files import modest_batches
 from kinmart.llm.line_dedup import LineIndex
 from kinmart.llm.near_dup import NearDup, near_duplicates
 from kinmart.workspace import scratch, stage
@@ -28,6 +29,7 @@ def with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio."""
+    modest_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_rules.fit(docs, labels)
     return quality_rules.judge(docs, model).where("kept").select("row.*")
@@ -35,6 +37,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that a document of smaller id holds."""
+    modest_batches(spark)
     cleaned = LineIndex.build(docs).clean(docs)
     return with_text(cleaned.select("row.*", "text"), docs.columns)
 
@@ -45,6 +48,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     It is the row of the least id, one without id only if no other is there. Rows are told
     apart by a number of their own, as ids may be missing or repeat.
     """
+    modest_batches(spark)
     row = "near_dedup_row"
     while row in [c.lower() for c in docs.columns]:
         row += "_"
@@ -60,11 +64,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item within the error budget."""
+    modest_batches(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all sequences, every source at its natural share of each window."""
+    modest_batches(spark)
     return packing.pack(docs, public_tokenizers.path(TOKENIZER), END_ID).drop("ids")
 
 
