@@ -116,3 +116,25 @@ def test_one_row_of_each_component_stays_whatever_the_ids(spark):
 def test_a_column_of_any_name_passes_unchanged(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", "mine"), (2, "a b c d e f", "mine")], "doc_id long, text string, Near_Dedup_Row string")
     assert [tuple(r) for r in cp.drop_near_duplicates(spark, docs, "").collect()] == [(1, "a b c d e f", "mine")]
+
+
+def test_texts_stay_where_they_are_while_near_duplicates_are_dropped(spark, rows, monkeypatch):
+    texts = [f"v{k} w{k} x{k} y{k} z{k} end" for k in range(300)]
+    given = [(k, texts[k % 290], "en", "a", 0) for k in range(300)]
+    docs = spark.createDataFrame(given, DOCS)
+    want = sorted(r for r in given if r[0] < 290)
+
+    def run():
+        kept = cp.drop_near_duplicates(spark, docs, "")
+        assert sorted(rows(kept)) == want
+        return kept._jdf.queryExecution().executedPlan().toString()
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "hashpartitioning" not in run()
+        # More rows than may be broadcast.
+        monkeypatch.setattr(cp, "MOST_SENT", 9)
+        assert "hashpartitioning" in run()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
