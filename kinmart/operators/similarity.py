@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -85,18 +86,22 @@ def library_gap(items: DataFrame, library: DataFrame, rejects: DataFrame) -> Dat
 
 def _sorted_stretches(library: DataFrame) -> DataFrame:
     """(first, last, repeated): sorted stretches of identifiers as the tasks read them, and
-    identifiers that are repeated within one. Nulls are left out."""
+    identifiers that are repeated within one. Nulls are left out. A file starts a stretch, as a
+    task may read files that leave out others between them."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = last = None
+        first = last = last_file = None
         for batch in batches:
-            ids = batch.column("item_id").drop_null()
+            batch = batch.filter(pc.is_valid(batch.column("item_id")))
+            ids, files = batch.column("item_id"), batch.column("file").to_numpy()
             if not len(ids):
                 continue
             if last is not None:
                 ids = pa.concat_arrays([pa.array([last], pa.string()), ids])
+                files = np.concatenate([[last_file], files])
             ahead, behind = ids.slice(1), ids.slice(0, len(ids) - 1)
-            falls = np.flatnonzero(pc.less(ahead, behind).to_numpy(zero_copy_only=False))
+            less = pc.less(ahead, behind).to_numpy(zero_copy_only=False)
+            falls = np.flatnonzero(less | (files[1:] != files[:-1]))
             same = ahead.filter(pc.equal(ahead, behind)).unique()
             first = ids[0].as_py() if first is None else first
             starts = [first, *(ids[int(k) + 1].as_py() for k in falls)]
@@ -104,12 +109,16 @@ def _sorted_stretches(library: DataFrame) -> DataFrame:
             made = [*zip(starts, ends), *((None, None) for _ in same)]
             if made:
                 yield _stretch_rows(made, [None] * len(ends) + same.to_pylist())
-            first, last = starts[-1], ids[-1].as_py()
+            first, last, last_file = starts[-1], ids[-1].as_py(), files[-1]
         if last is not None:
             yield _stretch_rows([(first, last)], [None])
 
     ddl = "first string, last string, repeated string"
-    return stage(library.select("item_id").mapInArrow(scan, ddl), "stretches")
+    try:
+        ids = library.select("item_id", F.xxhash64("_metadata.file_path").alias("file"))
+    except AnalysisException:  # not read from files as it is
+        ids = library.select("item_id", F.lit(0).cast("long").alias("file"))
+    return stage(ids.mapInArrow(scan, ddl), "stretches")
 
 
 def _stretch_rows(bounds: list[tuple], repeated: list) -> pa.RecordBatch:

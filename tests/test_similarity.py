@@ -182,6 +182,18 @@ def test_repeated_ids_are_found_without_moving_a_sorted_library(spark, rows):
     assert repeated_ids(held().limit(0)).count() == 0
 
 
+def test_sorted_files_need_no_shuffle_in_whatever_order_tasks_read_them(spark, rows):
+    # Tasks read large files first: the first file, then the third.
+    path, at = new_dir(spark, "sizes"), 0
+    for size in (400, 100, 300, 20, 20, 20, 20, 20):
+        given = [(f"K{n:04d}", [n * 7919], 1) for n in range(at, at + size)]
+        spark.createDataFrame(given, LIBRARY).coalesce(1).write.mode("append").parquet(path)
+        at += size - 1
+    found = repeated_ids(spark.read.parquet(path))
+    assert "count(1)" not in found._jdf.queryExecution().analyzed().toString()
+    assert rows(found) == [(f"K{n:04d}",) for n in (399, 498, 797, 816, 835, 854, 873)]
+
+
 def test_summary_counts_flags(spark):
     made = search(library(spark, {f"I{n}": {1} for n in range(9)}), ids(spark, "I0", "I1"), DENSE)
     assert tuple(search_summary(made).first()) == (2, 8, 8)
